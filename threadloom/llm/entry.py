@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import mixing, url_filter
+from . import mixing, simhash, url_filter
 
 
 def queries() -> dict[str, Callable]:
-    return {"op1_mix_sources": mixing.op1_mix_sources, "op7_url_filter": url_filter.op7_url_filter}
+    return {"op1_mix_sources": mixing.op1_mix_sources, "op7_url_filter": url_filter.op7_url_filter, "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
