@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import mixing, simhash, substring, url_filter
+from . import decontam, mixing, simhash, substring, url_filter
 
 
 def queries() -> dict[str, Callable]:
-    return {"op1_mix_sources": mixing.op1_mix_sources, "op7_url_filter": url_filter.op7_url_filter, "op9_substring_dedup": substring.op9_substring_dedup, "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup}
+    return {"op1_mix_sources": mixing.op1_mix_sources, "op2_decontaminate": decontam.op2_decontaminate, "op7_url_filter": url_filter.op7_url_filter, "op9_substring_dedup": substring.op9_substring_dedup, "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": mixing.OP1_SQL, "op7_url_filter": url_filter.OP7_SQL, "op9_substring_dedup": substring.OP9_SQL}
+    return {"op1_mix_sources": mixing.OP1_SQL, "op2_decontaminate": decontam.OP2_SQL, "op7_url_filter": url_filter.OP7_SQL, "op9_substring_dedup": substring.OP9_SQL}
