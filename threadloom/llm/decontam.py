@@ -98,12 +98,8 @@ class Index:
         return self.postings.join(a, "term").select("window", "doc_id", "key", at.alias("start"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
-    """doc_id, key, n_words, n_hit, n_items, items (ids as sorted strings) of every row of docs.
-
-    A word inside any exact occurrence of a window is hit. Null and empty texts have no words; items without words and
-    null item texts have no window; an item of null id counts as an item but is not listed. Repeated rows each get the
-    same values; an empty benchmark hits nothing. Other columns are ignored."""
+def hits(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
+    """(_doc_id, _key, n_hit, n_items, items), staged, of the documents that hold any window."""
     index = Index(docs, benchmark, length)
     found = stage(index.phrases().select("doc_id", "key", "item_id", "start", "n"), "phrases")
     hit = found.select("doc_id", "key", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("pos")).distinct().groupBy("doc_id", "key").agg(F.count("*").alias("n_hit"))
@@ -112,6 +108,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> Da
     per = stage(per, "hits")
     unstage(index.postings)
     release(docs.sparkSession)
+    return per
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
+    """The rows of docs that hold no window of the benchmark."""
+    per = hits(docs, benchmark, length).select("_doc_id", "_key")
+    return docs.join(per, (row_key() == per["_key"]) & docs["doc_id"].eqNullSafe(per["_doc_id"]), "left_anti")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
+    """doc_id, key, n_words, n_hit, n_items, items (ids as sorted strings) of every row of docs.
+
+    A word inside any exact occurrence of a window is hit. Null and empty texts have no words; items without words and
+    null item texts have no window; an item of null id counts as an item but is not listed. Repeated rows each get the
+    same values; an empty benchmark hits nothing. Other columns are ignored."""
+    per = hits(docs, benchmark, length)
     own = docs.select("doc_id", row_key().alias("key"), word_total(tokens(F.col("text"))).alias("n_words"))
     out = own.join(per, (own["key"] == per["_key"]) & own["doc_id"].eqNullSafe(per["_doc_id"]), "left")
     zero = F.lit(0).cast("long")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import ann, decontam, mixing, simhash, substring, tokens, toxicity, url_filter, warc
+from . import ann, decontam, mixing, pii, simhash, substring, tokens, toxicity, url_filter, warc
 
 
 def queries() -> dict[str, Callable]:
-    return {"op1_mix_sources": mixing.op1_mix_sources, "op2_decontaminate": decontam.op2_decontaminate, "op3_token_output": tokens.op3_token_output, "op5_toxicity": toxicity.op5_toxicity, "op6_nearest": ann.op6_nearest, "op7_url_filter": url_filter.op7_url_filter, "op8_warc": warc.op8_warc, "op9_substring_dedup": substring.op9_substring_dedup, "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup}
+    return {"op1_mix_sources": mixing.op1_mix_sources, "op2_decontaminate": decontam.op2_decontaminate, "op3_token_output": tokens.op3_token_output, "op4_pii": pii.op4_pii, "op5_toxicity": toxicity.op5_toxicity, "op6_nearest": ann.op6_nearest, "op7_url_filter": url_filter.op7_url_filter, "op8_warc": warc.op8_warc, "op9_substring_dedup": substring.op9_substring_dedup, "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, stage, unstage
+from .common import release, row_key, stage, unstage
 
 #: Rows of one variant key that one task compares; larger buckets are dealt out in pairs of blocks.
 BLOCK = 4096
@@ -71,14 +71,14 @@ def simhash(texts: list[bytes | None], words: int = 4, seed: int = 42) -> np.nda
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long); texts without words have 0."""
+    """doc_id, key (row_key), fp (the fingerprint as a signed long); texts without words have 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = simhash(b.column(1).to_pylist(), words)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            fp = simhash(b.column(2).to_pylist(), words)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, key long, fp long")
 
 
 def segments(k: int) -> list[tuple[int, int]]:
@@ -193,7 +193,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, words: int = 4, k: int = 4) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable, itself included) for every row of docs.
+    """doc_id, key, fp, group (the component's smallest fingerprint), component_id (the smallest doc_id reachable, itself
+    included) for every row of docs.
 
     Null and empty texts have fingerprint 0 and are linked like any other; texts shorter than a shingle are one shingle.
     Rows equal in fingerprint are one node, so groups of exact copies cost one row. Null ids take part and never are the
@@ -206,8 +207,21 @@ def simhash_groups(docs: DataFrame, words: int = 4, k: int = 4) -> DataFrame:
     roots = components(links)
     nodes = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = nodes.join(smallest, "root").select("fp", "component_id")
-    return prints.join(member, "fp").select("doc_id", "fp", "component_id")
+    member = nodes.join(smallest, "root").select("fp", F.col("root").alias("group"), "component_id")
+    return prints.join(member, "fp").select("doc_id", "key", "fp", "group", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, words: int = 4, k: int = 4) -> DataFrame:
+    """docs with one row of each group of near copies: the smallest doc_id, null last, then the smallest text digest."""
+    groups = simhash_groups(docs, words, k)
+    first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("m"))
+    same = groups.groupBy("doc_id", "key").agg(F.count("*").alias("rows"))
+    first = first.select(F.col("m.doc_id").alias("_id"), F.col("m.key").alias("_key"))
+    first = stage(first.join(same, (first["_key"] == same["key"]) & first["_id"].eqNullSafe(same["doc_id"])).select("_id", "_key", (F.col("rows") > 1).alias("_again")), "firsts")
+    keyed = docs.withColumn("_own", row_key())
+    kept = keyed.join(first, (F.col("_own") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    once = kept.where("_again").dropDuplicates(["doc_id", "_own"])
+    return kept.where("not _again").unionByName(once).select(*docs.columns)
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 #: ASCII punctuation taken off the ends of words.
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -120,13 +121,13 @@ def train(labelled: DataFrame, max_rows: int = 30_000, epochs: int = 4, bits: in
     return fitted["slot"].to_numpy(), fitted["weight"].to_numpy()
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = 20) -> DataFrame:
-    """docs (without text) with `score`, 0 to 1; texts without words score as the bias says. Needs no shuffle."""
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = 20, keep_text: bool = False) -> DataFrame:
+    """docs (without text, unless kept) with `score`, 0 to 1; texts without words score as the bias says. Needs no shuffle."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c not in ("text", "score")]
     held = docs.select(*names, F.col("text").cast("binary").alias("_text"))
-    schema = held.select(*names).schema.add("score", "double")
+    schema = StructType([*(held if keep_text else held.select(*names)).schema.fields, StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, w = shared.value
@@ -139,9 +140,11 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = 20)
                 hit = np.flatnonzero(weights[slot])
                 pair = np.unique(doc[hit].astype(np.int64) << 32 | slot[hit])  # presences
                 out[first : first + n] += np.bincount(pair >> 32, weights[pair & 0xFFFFFFFF], minlength=n)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(1.0 / (1.0 + np.exp(-np.clip(out, -35, 35))))], [*names, "score"])
+            kept = b.columns if keep_text else b.columns[: len(names)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(1.0 / (1.0 + np.exp(-np.clip(out, -35, 35))))], schema.fieldNames())
 
-    return held.mapInArrow(run, schema)
+    out = held.mapInArrow(run, schema)
+    return out.select(*[F.col("_text").cast("string").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != "score"], "score") if keep_text else out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -149,15 +152,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, threshold: float = 0.5) -> DataFrame:
-    """docs (without text) with held_out, score and predicted.
+def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, threshold: float = 0.5, keep_text: bool = False) -> DataFrame:
+    """docs (without text, unless kept) with held_out, score and predicted.
 
     Labels are learnt from rows that aren't held out, by text alone. Null and empty texts are scored too. A document with
     several labels is as many examples; unlabelled and null-labelled ones are none; with no examples every score is one
     half. Repeated rows stay."""
     marked = docs.select("doc_id", "text").join(labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label")), F.col("doc_id") == F.col("_id"))
     known = marked.where(~held_out(F.col("doc_id"))).select("text", "label", F.col("doc_id").alias("row"))
-    out = score(docs, train(known, max_rows))
+    out = score(docs, train(known, max_rows), keep_text=keep_text)
     return out.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
