@@ -30,10 +30,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    df.write.parquet(path := new_path(spark, name))
+    df.write.parquet(path := new_path(spark, name), compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

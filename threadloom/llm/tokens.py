@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -22,10 +23,10 @@ from .files import names, open_fs, write_whole
 from .rans import Table, pack, unpack
 
 #: Ids of a block (a longer document makes a longer block), words that a worker's memo may hold, words encoded at once.
-BLOCK_IDS, MEMO, GROUP = 1 << 20, 400_000, 50
+BLOCK_IDS, MEMO, GROUP = 1 << 20, 300_000, 50
 TAIL = "<QI4s"
 #: ASCII marks that the tokenizer never joins to the letters before them.
-MARKS = b".,;:!?"
+MARKS = ".,;:!?"
 
 
 class WordIds:
@@ -46,63 +47,93 @@ class WordIds:
         split = ((config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         self.end = config["model"].get("end_of_word_suffix")
         self.by_word = bool(self.end) and split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True and "\\s" in json.dumps(split.get("pattern"))
+        self.lower = "Lowercase" in json.dumps(config.get("normalizer"))
         self.final = np.zeros(self.size, bool)
         if self.by_word:
             self.final[[i for w, i in vocab.items() if w.endswith(self.end)]] = True
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # the memo before it was full: what is asked again moves back
+        self.cores: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: set[bytes]) -> None:
         """Put the ids of new words in the memo."""
-        letters: dict[str, list[tuple[bytes, bytes]]] = {}
-        rest: list[bytes] = []
+        new = []
         for w in words:
-            core = w.rstrip(MARKS)
-            text = core.decode()
-            if text.isalpha():
-                letters.setdefault(text.lower() if text.isascii() else text, []).append((w, w[len(core) :]))
+            if (x := self.older.get(w)) is None:
+                new.append(w)
             else:
+                self.memo[w] = x
+        if not new:
+            return
+        if len(self.cores) > MEMO:
+            self.cores = {}
+        plain: list[tuple[bytes, str, str]] = []
+        rest: list[bytes] = []
+        todo: dict[str, None] = {}
+        for w, text in zip(new, b"\n".join(new).decode().split("\n"), strict=True):
+            core = text.rstrip(MARKS)
+            tail = text[len(core) :]
+            if core.isascii():
+                fits = core.isalpha()
+                core = core.lower() if self.lower else core
+            else:  # letters as the tokenizer normalises them
+                fits = unicodedata.normalize("NFC", core).lower().isalpha()
+            if not fits:
                 rest.append(w)
-        tails = list({t for ws in letters.values() for _, t in ws if t})
-        tail = dict(zip(tails, (x.tobytes() for x in self._encode([t.decode() for t in tails])), strict=True)) if tails else {}
-        tail[b""] = b""
-        todo = list(letters)
-        groups = [todo[i : i + GROUP] for i in range(0, len(todo), GROUP)]
-        for group, ids in zip(groups, self._encode([" ".join(g) for g in groups]), strict=True):
-            ends = np.flatnonzero(self.final[ids]) + 1
-            if len(ends) == len(group):
-                each = [x.tobytes() for x in np.split(ids, ends[:-1])]
+                continue
+            if core not in self.cores:
+                todo[core] = None
+            if tail not in self.tails:
+                self.tails[tail] = self._encode([tail])[0].tobytes()
+            plain.append((w, core, tail))
+        if todo:
+            cores = list(todo)
+            ids = np.concatenate(self._encode([" ".join(cores[i : i + GROUP]) for i in range(0, len(cores), GROUP)]))
+            ends = ((np.flatnonzero(self.final[ids]) + 1) * self.dtype.itemsize).tolist()
+            if len(ends) == len(cores):
+                data = ids.tobytes()
+                self.cores.update(zip(cores, (data[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
             else:
-                each = [x.tobytes() for x in self._encode(group)]
-            for text, x in zip(group, each, strict=True):
-                for w, t in letters[text]:
-                    self.memo[w] = x + tail[t]
-        for w, x in zip(rest, self._encode([w.decode() for w in rest]), strict=True):
-            self.memo[w] = x.tobytes()
+                self.cores.update(zip(cores, (x.tobytes() for x in self._encode(cores)), strict=True))
+        self.memo.update((w, self.cores[core] + self.tails[tail]) for w, core, tail in plain)
+        if rest:
+            self.memo.update(zip(rest, (x.tobytes() for x in self._encode([w.decode() for w in rest])), strict=True))
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         """Each text's ids as little-endian bytes."""
         if not self.by_word:
             return [x.tobytes() for x in self._encode([(t or b"").decode() for t in texts])]
-        out = []
-        for i in range(0, len(texts), 256):
-            words = [(t or b"").split() for t in texts[i : i + 256]]
-            seen = set().union(*words)
-            if len(self.memo) > MEMO:
-                self.memo = {w: x for w in seen if (x := self.memo.get(w)) is not None}
-            self._learn(seen - self.memo.keys())
-            get = self.memo.__getitem__
-            out += [b"".join(map(get, w)) for w in words]
-        return out
+        words = [(t or b"").split() for t in texts]
+        seen: set[bytes] = set()
+        for w in words:
+            seen.update(w)
+        if len(self.memo) > MEMO:
+            self.older, self.memo = self.memo, {}
+        seen.difference_update(self.memo)
+        self._learn(seen)
+        get = self.memo.__getitem__
+        return [b"".join(map(get, w)) for w in words]
+
+
+#: One encoder a worker process and file: its memo serves all tasks that the process runs.
+ENCODERS: dict[str, WordIds] = {}
+
+
+def encoder(path: str) -> WordIds:
+    if path not in ENCODERS:
+        ENCODERS[path] = WordIds(path)
+    return ENCODERS[path]
 
 
 def token_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """doc_id, key, ids: the whole text's ids and the end id, as little-endian integers of the vocabulary's width."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = encoder(path)
         end = np.array([end_id], words.dtype).tobytes()
         for b in batches:
             for i in range(0, b.num_rows, 1024):
@@ -154,15 +185,14 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, out: str | None = None
     spark = docs.sparkSession
     out = out or new_path(spark, "shards")
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size, dtype = (w := WordIds(path)).size, w.dtype
-    del w
+    size, dtype = encoder(path).size, encoder(path).dtype
     bounds = docs.select(F.col("doc_id").cast("long").alias("doc_id")).approxQuantile("doc_id", [i / shards for i in range(1, shards)], 0.1 / shards) if shards > 1 else []
     bounds = sorted({int(b) for b in bounds})
     tokens = token_ids(docs, path, end_id)
     shard = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<long>"), lambda b: b < F.col("doc_id")))) if bounds else F.lit(0)
     tokens = tokens.select(shard.cast("int").alias("shard"), "doc_id", "key", "ids")
     tokens = tokens.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "key").select("shard", "doc_id", "ids")
-    blocks = stage(_blocks(tokens, dtype, block_ids), "blocks")
+    blocks = stage(_blocks(tokens, dtype, block_ids), "blocks", "zstd")
     del tokens
     release(spark)
 
@@ -250,7 +280,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     blocks = stage(shards.mapInArrow(trailers, "shard int, uri string, at long, size long, first long, n long"), "places")
     per = blocks.groupBy("shard").agg(F.sum("n").alias("ids"))
     base = per.select("shard", F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    spread = blocks.join(base, "shard").select("uri", "at", "size", (F.col("base") + F.col("first")).alias("first")).repartition("uri", "at")
+    spread = blocks.join(base, "shard").select("uri", "at", "size", (F.col("base") + F.col("first")).alias("first")).repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), "uri", "at")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table.load(dumped)
