@@ -45,14 +45,15 @@ class Index:
     def __init__(self, docs: DataFrame, benchmark: DataFrame, length: int = 10, anchors: int = ANCHORS):
         self.docs = docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), "text")
         self.windows = stage(windows(benchmark, length), "windows")
-        vocabulary = self.windows.select("term").distinct()
-        counted = self._positions(self.docs).join(vocabulary, "term").groupBy("term").agg(F.count("*").alias("total"))
+        # tables of their own, so that their sizes are known where a join asks whether they are small
+        self.vocabulary = stage(self.windows.select("term").distinct(), "vocabulary")
+        counted = self._positions(self.docs).join(self.vocabulary, "term").groupBy("term").agg(F.count("*").alias("total"))
         # a window with a term that the corpus lacks occurs nowhere
         rare = self.windows.join(stage(counted, "counts"), "term", "left")
         by = Window.partitionBy("window").orderBy(F.col("total").asc_nulls_first(), "offset")
         rare = rare.select("window", "offset", "term", F.row_number().over(by).alias("rank"), F.count_if(F.col("total").isNull()).over(Window.partitionBy("window")).alias("absent"))
         self.anchors = stage(rare.where(f"rank <= {anchors} and absent = 0").select("window", "rank", "term", "offset"), "anchors")
-        used = self.anchors.select("term").distinct()
+        used = stage(self.anchors.select("term").distinct(), "used")
         self.postings = stage(self._positions(self.docs).join(used, "term").select("term", "doc_id", "key", "pos"), "postings")
         release(docs.sparkSession)
 
@@ -64,7 +65,7 @@ class Index:
         """Postings of every term of the benchmark in the candidates' documents."""
         at = candidates.select("doc_id", "key").distinct()
         docs = self.docs.join(at, (self.docs["key"] == at["key"]) & self.docs["doc_id"].eqNullSafe(at["doc_id"]), "left_semi")
-        return self._positions(docs).join(self.windows.select("term").distinct(), "term").select("doc_id", "key", "pos", "term").distinct()
+        return self._positions(docs).join(self.vocabulary, "term").select("doc_id", "key", "pos", "term").distinct()
 
     def phrases(self) -> DataFrame:
         """(doc_id, key, window, item_id, n, start): every exact occurrence of a window, start being its first position."""

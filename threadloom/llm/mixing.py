@@ -76,9 +76,9 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
 
 def mixed_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """docs with each row as often as the plan takes it (not at all for 0 copies); the columns of docs."""
-    per = plan.groupBy("doc_id", "key").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+    per = plan.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_plan")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
     keyed = docs.withColumn("_key", row_key())
-    both = keyed.join(per, keyed["doc_id"].eqNullSafe(per["doc_id"]) & (keyed["_key"] == per["key"])).drop(per["doc_id"]).drop("key")
+    both = keyed.join(per, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_plan")))
     again = both.where("_rows > 1").dropDuplicates(["doc_id", "_key"])
     both = both.where("_rows = 1").unionByName(again).where("_copies > 0")
     return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)

@@ -143,8 +143,8 @@ def _extended(docs: DataFrame, length: int, seed: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = 35, seed: int = 9) -> DataFrame:
     """(doc_id, key, spans): the first and last windows [a, z] (places of their first words) of every run of windows of
-    `length` words whose word sequence also starts anywhere else. key is row_key(); needs 2 * seed <= length <= 4 * seed."""
-    if not 2 * seed <= length <= 4 * seed:
+    `length` words whose word sequence also starts anywhere else. key is row_key(); needs 3 * seed - 1 <= length <= 4 * seed."""
+    if not 3 * seed - 1 <= length <= 4 * seed:
         raise ValueError("a seed must reach the window's length in two doublings")
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("binary").alias("text"))
