@@ -121,8 +121,9 @@ def _extended(docs: DataFrame, length: int, seed: int) -> DataFrame:
                 own = np.repeat(np.arange(n), np.diff(ends[first : first + n + 1]))
                 kept = np.isin(at, values[ends[first] : ends[first + n]] + starts[own])
                 doc, at, lo, hi = doc[kept], at[kept], lo[kept], hi[kept]
-                forward = np.maximum(lo, at - 2 * seed + 1), hi, at
-                backward = lo, np.minimum(hi, at - 2 * seed), at - seed
+                room = length - 2 * seed  # a window whose seed lies up to here holds the words that follow it
+                forward = np.maximum(lo, at - room), hi, at
+                backward = lo, np.minimum(hi, at - room - 1), at - seed
                 for kind, (a, z, twice) in enumerate((forward, backward)):
                     ok = a <= z
                     d, p, a, z, twice = doc[ok], at[ok], a[ok], z[ok], twice[ok]
