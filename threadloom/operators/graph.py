@@ -1,7 +1,8 @@
 """The co-mention graph: pair weights, communities and criticality of targets.
 
-Pairs come from an equi-join of a session's distinct targets with themselves, behind a cap on a session's targets, so a
-session makes a bounded number of pairs (60 targets: 1,770).
+Pairs come from an equi-join of a session's distinct targets with themselves. The co-change graph leaves out sessions of
+over 60 targets, as the reference does; plain co-mentions pair sessions of any size, and long ones are dealt out as pairs of
+blocks, so no session meets in one task.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 WEIGHTS = {"blast_radius": 0.30, "event_volume": 0.20, "recency": 0.15, "valence_intensity": 0.15, "concern_weight": 0.20}
 STRONG = ["frustrated", "confident", "negative", "positive", "urgent"]
 MOST_TARGETS, TOP = 60, 30
+#: Targets of one session that one task pairs; longer sessions are dealt out in pairs of blocks.
+BLOCK = 1024
 
 
 def auto_min_weight(sessions: int) -> int:
@@ -44,15 +47,23 @@ def cochange(events: DataFrame, min_weight: int | None = None, most_targets: int
     return pairs.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top)
 
 
-def co_mentions(events: DataFrame, most_targets: int | None = MOST_TARGETS) -> DataFrame:
+def co_mentions(events: DataFrame, most_targets: int | None = None, block: int = BLOCK) -> DataFrame:
     """(src, dst, weight): sessions that mention both, in both directions. The pairs are made once, a before b, and turned
-    round after they are summed."""
+    round after they are summed. Sessions over most_targets make none (null: all do).
+
+    A session of over `block` targets is cut into blocks by hash. Each target goes to every pair of blocks its own is in;
+    targets of one block meet in that block's pair with itself alone, those of two in the one pair of the two."""
     st = events.where("target_id is not null and target_id <> ''").select("session_id", "target_id").distinct()
+    st = st.withColumn("size", F.count("*").over(Window.partitionBy("session_id"))).where("size >= 2")
     if most_targets is not None:
-        size = F.count("*").over(Window.partitionBy("session_id"))
-        st = st.withColumn("size", size).where(F.col("size").between(2, most_targets)).drop("size")
-    a, b = st.select("session_id", F.col("target_id").alias("a")), st.select("session_id", F.col("target_id").alias("b"))
-    half = a.join(b, "session_id").where("a < b").groupBy("a", "b").agg(F.count("*").alias("weight"))
+        st = st.where(F.col("size") <= most_targets)
+    st = st.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    st = st.withColumn("own", F.pmod(F.xxhash64("target_id"), F.col("blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("lo"), F.greatest("own", j).alias("hi")))
+    st = st.select("session_id", "target_id", "own", F.explode(pairs).alias("p")).select("session_id", "target_id", "own", "p.lo", "p.hi")
+    on = ["session_id", "lo", "hi"]
+    a, b = st.select(*on, F.col("target_id").alias("a"), F.col("own").alias("oa")), st.select(*on, F.col("target_id").alias("b"), F.col("own").alias("ob"))
+    half = a.join(b, on).where("a < b and (oa <> ob or lo = hi)").groupBy("a", "b").agg(F.count("*").alias("weight"))
     both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")), F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
     return half.select(F.explode(both).alias("e"), "weight").select("e.src", "e.dst", "weight")
 

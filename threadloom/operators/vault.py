@@ -10,11 +10,11 @@ from .graph import co_mentions
 from .profile import when_key
 
 
-def entities(events: DataFrame, now: Column, top: int = 6, most_targets: int | None = 60) -> DataFrame:
+def entities(events: DataFrame, now: Column, top: int = 6, most_targets: int | None = None) -> DataFrame:
     """A row a target: dominant type and valence (the most frequent, ties by first seen), first and last seen, count,
     providers, aliases, the targets most often in the same session, and status by age at `now`.
 
-    The reference makes pairs of sessions of any size; here sessions over most_targets make none (null: all do)."""
+    Sessions of any size make pairs, as in the reference; where most_targets is given, longer ones make none."""
     e = events.where("target_id <> ''")
 
     def dominant(c: str) -> DataFrame:
