@@ -7,6 +7,8 @@ table of all entities is checked until no two share a surrogate and none is anot
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +44,14 @@ PATTERNS = {
 }
 ANY = "(?U)" + "|".join(f"(?:{p})" for p in PATTERNS.values())
 DIGITS = ("ssn", "phone", "card")
+#: The decimal digits of all scripts, ten after ten from 0 to 9, ASCII first; the patterns' \d is any of them.
+ALL_DIGITS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
+#: Letters that stand for those of a script; letters of any other script become Latin ones.
+LETTERS_OF = {
+    "Cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "Greek": "αβγδεζηθικλμνξοπρστυφχψω", "Arabic": "ابتثجحدرزسشصطعغفقكلمنهوي", "Hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+    "Devanagari": "कखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह", "Hiragana": "あいうえおかきくけこさしすせそたちつてと", "Katakana": "アイウエオカキクケコサシスセソタチツテト",
+    "Han": "安白成大东方高国海和江金林明南平青山文新", "Hangul": "가나다라마바사아자차카타파하",
+}
 #: What an entity must hold, one of these, told by quicker scans than the patterns' own: most texts hold none.
 MARKS, STARTS = r"[\p{Nd}@]", ["sk-", "AKIA", "gho_", "ghp_", "ghs_", "ghu_"]
 LETTERS = rf"[a-f]{{32}}|(?U)\b(?=[{''.join(sorted({t[0] for t in FEMALE + MALE + NEUTRAL}))}])(?:{TITLES})\.? \p{{Lu}}"
@@ -69,9 +79,17 @@ def name_of(mention: Column) -> Column:
 
 
 def canonical(mention: Column, kind: Column) -> Column:
-    """Digits alone for numbers, lower case without breaks for accounts, lower case for mail and names."""
-    number = F.regexp_replace(mention, r"[^0-9]", "")
-    return F.when(kind.isin(*DIGITS), number).when(kind == "person", F.lower(name_of(mention))).when(kind == "iban", F.replace(mention, F.lit(" "), F.lit(""))).when(kind == "email", F.lower(mention)).otherwise(mention)
+    """Digits alone for numbers, no breaks for accounts, lower case for mail and names. Numbers, accounts and network
+    addresses are one entity in the digits of any script."""
+    ascii_ = F.translate(mention, ALL_DIGITS, "0123456789" * (len(ALL_DIGITS) // 10))
+    number = F.regexp_replace(ascii_, r"[^0-9]", "")
+    return F.when(kind.isin(*DIGITS), number).when(kind == "person", F.lower(name_of(mention))).when(kind == "iban", F.replace(ascii_, F.lit(" "), F.lit(""))).when(kind == "email", F.lower(mention)).when(kind == "ip", ascii_).otherwise(mention)
+
+
+def in_script_of(digit: Column, like: Column) -> Column:
+    """An ASCII digit in the script of another digit; anything else as it is."""
+    at = F.instr(F.lit(ALL_DIGITS), like) - 1
+    return F.when(digit.rlike("^[0-9]$") & (at >= 0), F.substr(F.lit(ALL_DIGITS), (at - at % 10 + digit.cast("int") + 1).cast("int"), F.lit(1))).otherwise(digit)
 
 
 def gender_of(mention: Column) -> Column:
@@ -97,9 +115,10 @@ def _like(c: Column, b: Column, hexadecimal: Column) -> Column:
     def of(alphabet: str) -> Column:
         return F.substr(F.lit(alphabet), (b % len(alphabet) + 1).cast("int"), F.lit(1))
 
-    out = F.when(c.rlike("[0-9]"), of("0123456789")).when(c.rlike("[a-f]") & hexadecimal, of("abcdef")).when(c.rlike("[a-z]"), of("abcdefghijklmnopqrstuvwxyz")).when(c.rlike("[A-Z]"), of("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    out = out.when(c.rlike(r"\p{IsCyrillic}"), of("абвгдежзиклмнопрстуфхцчшэюя")).when(c.rlike(r"\p{IsGreek}"), of("αβγδεζηθικλμνξοπρστυφχψω"))
-    return out.when(c.rlike(r"\p{IsLatin}"), of("abcdefghijklmnopqrstuvwxyz")).otherwise(c)
+    out = F.when(c.rlike("[0-9]"), of("0123456789")).when(c.rlike(r"\p{Nd}"), in_script_of(of("0123456789"), c)).when(c.rlike("[a-f]") & hexadecimal, of("abcdef")).when(c.rlike("[a-z]"), of("abcdefghijklmnopqrstuvwxyz")).when(c.rlike("[A-Z]"), of("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    for script, letters in LETTERS_OF.items():
+        out = out.when(c.rlike(rf"\p{{Is{script}}}"), of(letters))
+    return out.when(c.rlike(r"\p{L}"), of("abcdefghijklmnopqrstuvwxyz")).when(c.rlike(r"\p{N}"), of("0123456789")).otherwise(c)
 
 
 def surrogate(kind: Column, entity: Column, gender: Column, attempt: Column, key: str) -> Column:
@@ -137,14 +156,15 @@ def formatted(mention: Column, kind: Column, canon: Column) -> Column:
     def fill(kept: str):
         def step(acc: Column, c: Column) -> Column:
             fits = c.rlike(kept)
-            return F.struct(F.concat(acc["out"], F.when(fits, F.substr(canon, acc["k"] + 1, F.lit(1))).otherwise(c)).alias("out"), (acc["k"] + fits.cast("int")).alias("k"))
+            return F.struct(F.concat(acc["out"], F.when(fits, in_script_of(F.substr(canon, acc["k"] + 1, F.lit(1)), c)).otherwise(c)).alias("out"), (acc["k"] + fits.cast("int")).alias("k"))
 
         return F.aggregate(chars, start, step, lambda a: a["out"])
 
     name = name_of(mention)
     title = F.substring(mention, 1, F.length(mention) - F.length(name))
     cased = F.array_join(F.transform(chars, lambda c, i: F.when(c != F.lower(c), F.upper(F.substr(canon, i + 1, F.lit(1)))).otherwise(F.substr(canon, i + 1, F.lit(1)))), "")
-    return F.when(kind.isin(*DIGITS), fill("[0-9]")).when(kind == "iban", fill("[A-Z0-9]")).when(kind == "person", F.concat(title, F.when(F.upper(name) == name, F.upper(canon)).otherwise(F.initcap(canon)))).when(kind == "email", cased).otherwise(canon)
+    octets = F.array_join(F.transform(F.split(canon, ""), lambda c: in_script_of(c, chars[0])), "")
+    return F.when(kind.isin(*DIGITS), fill(r"\p{Nd}")).when(kind == "ip", octets).when(kind == "iban", fill(r"[A-Z\p{Nd}]")).when(kind == "person", F.concat(title, F.when(F.upper(name) == name, F.upper(canon)).otherwise(F.initcap(canon)))).when(kind == "email", cased).otherwise(canon)
 
 
 def entity_table(mentions: DataFrame, key: str) -> DataFrame:
