@@ -27,3 +27,16 @@ def test_vault_lists_partners_of_long_sessions(spark):
     e = log(spark).withColumns({"ts": F.timestamp_seconds("seq"), "ts_raw": F.col("seq").cast("string"), "provider": F.lit("p"), "target_type": F.lit("File"), "valence": F.lit("neutral")})
     got = {r["target_id"]: r["co_mentioned"] for r in vault.entities(e, F.lit("2024-03-01").cast("timestamp")).collect()}
     assert got["t050"] == "t000,t001,t002,t003,t004,t005" and got["t000"] == "t001,t002,t003,t004,t005,t006" and got["alone"] == ""
+
+
+def test_large_graphs_get_modularity_communities(spark):
+    # a ring of 40,000 groups of six: one connected component of 240,000 targets
+    i = F.col("id")
+    inside = spark.range(240_000).select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda j: F.struct(i.alias("s"), (i - i % 6 + j).alias("d")))).alias("e")).where("e.s <> e.d").select("e.s", "e.d", F.lit(5).alias("weight"))
+    ring = spark.range(40_000).select((i * 6).alias("s"), ((i * 6 + 6) % 240_000).alias("d"), F.lit(1).alias("weight"))
+    ring = ring.unionByName(ring.select(F.col("d").alias("s"), F.col("s").alias("d"), "weight"))
+    edges = inside.unionByName(ring).select(F.lpad(F.col("s").cast("string"), 6, "0").alias("src"), F.lpad(F.col("d").cast("string"), 6, "0").alias("dst"), "weight")
+    found = graph.louvain(edges).cache()
+    assert found.count() == 240_000 and found.select("community").distinct().count() > 1000
+    groups = found.groupBy((F.col("node").cast("long") / 6).cast("long").alias("g")).agg(F.count_distinct("community").alias("n"))
+    assert groups.where("n <> 1").count() == 0

@@ -139,14 +139,11 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
             return label
 
 
-def louvain(edges: DataFrame, resolution: float = 1.0, most_nodes: int = 200_000) -> DataFrame:
+def louvain(edges: DataFrame, resolution: float = 1.0) -> DataFrame:
     """(node, community): modularity communities of the kept edges, both directions' weights added.
 
-    Sequential by nature, so it runs in one task over the graph of targets, whose size is checked; beyond most_nodes the
-    communities are the connected components, which need no such task."""
-    size = edges.select("src").distinct().count()
-    if size > most_nodes:
-        return components(edges).select("node", F.dense_rank().over(Window.orderBy("component")).alias("community"))
+    Sequential by nature, so it runs in one task over the whole graph of targets, whatever its size: a graph that the task's
+    memory cannot hold fails, and never gets another method's result."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         return _louvain(pdf, resolution)
