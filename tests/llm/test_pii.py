@@ -25,3 +25,20 @@ def test_digits_of_any_script(spark):
     assert set(script(got[5])) - {None} == {"ARABIC-INDIC"}
     assert script(got[7])[2:4] == ["ARABIC-INDIC"] * 2 and got[7][:2] == "DE" and len(got[7]) == len(rows[7])
     assert "１２" not in got[8] and "محمد" not in got[9] and "مثال" not in got[9]
+
+
+def test_persons_named_again(spark):
+    got = texts(spark, "Mrs Anna Schmidt came. Anna Schmidt, then Mrs Schmidt; Schmidt. Schmidtke and Mr Schmidt stay apart. Dr Anna Schmidt.", "Anna Schmidt is not told here", "a@x.org and Mrs Anna Schmidt, Schmidt@mail.com")
+    w = got[0].replace(",", "").replace(".", "").replace(";", "").split()
+    given, family = w[1], w[2]
+    assert given in pii.GIVEN["latin", "f"] and "Anna" not in got[0] and "Schmidt " not in got[0]
+    assert w[:11] == ["Mrs", given, family, "came", given, family, "then", "Mrs", family, family, "Schmidtke"]
+    assert w[12] == "Mr" and w[13] not in (family, "Schmidt") and w[-3:] == ["Dr", given, family]
+    assert got[1] == "Anna Schmidt is not told here"
+    assert f"Mrs {given} {family}," in got[2] and "chmidt" not in got[2]
+
+
+def test_gender_is_part_of_a_person(spark):
+    a, b, c, d, e = (t.split() for t in texts(spark, "Mr Kim Lee", "Mrs Kim Lee", "Dr Kim Lee", "Dr Eva Moss", "Miss Eva Moss"))
+    assert a[1] in pii.GIVEN["latin", "m"] and b[1] in pii.GIVEN["latin", "f"] and c[1] in pii.GIVEN["latin", "n"]
+    assert d[1] in pii.GIVEN["latin", "f"] and d[1:] == e[1:]

@@ -123,7 +123,7 @@ def _like(c: Column, b: Column, hexadecimal: Column) -> Column:
 
 def surrogate(kind: Column, entity: Column, gender: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a canonical entity at the given attempt, in canonical form."""
-    seed = F.concat_ws("\u0001", F.lit(key), kind, entity, attempt.cast("string"))
+    seed = F.concat_ws("\u0001", F.lit(key), kind, entity, attempt.cast("string"), gender)
     chars = F.filter(F.split(entity, ""), lambda c: c != "")
     return _let(_bytes(seed, F.greatest(F.size(chars), F.lit(16))), lambda drawn: _drawn(kind, entity, gender, attempt, chars, drawn))
 
@@ -168,49 +168,100 @@ def formatted(mention: Column, kind: Column, canon: Column) -> Column:
 
 
 def entity_table(mentions: DataFrame, key: str) -> DataFrame:
-    """(kind, entity, surrogate) of all entities: distinct within a kind, and no surrogate is a real entity of its kind."""
-    spark = mentions.sparkSession
-    table = mentions.groupBy("kind", "entity").agg(F.max("gender").alias("gender")).withColumn("attempt", F.lit(0))
+    """(kind, entity, gender, neutral, surrogate) of all entities: distinct within a kind, and no surrogate is a real entity
+    of its kind. A name of both genders is two entities. Mentions without a gender are of the row marked neutral: the
+    name's only gender, or a row of their own."""
+    per = mentions.groupBy("kind", "entity").agg(F.array_sort(F.collect_set("gender")).alias("genders"), F.bool_or(F.col("gender").isNull()).alias("bare"))
+    own = F.when((F.size("genders") == 0) | ((F.size("genders") > 1) & F.col("bare")), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
+    table = per.select("kind", "entity", F.explode(F.concat("genders", own)).alias("gender"), (F.size("genders") == 1).alias("one"))
+    table = table.select("kind", "entity", "gender", (F.col("gender").isNull() | F.col("one")).alias("neutral"), F.lit(0).alias("attempt"))
     table = stage(table.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), F.col("gender"), F.col("attempt"), key)), "entities")
+    who = F.struct("entity", F.coalesce("gender", F.lit("")).alias("gender"))
     for _ in range(ROUNDS):
-        shared = table.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.min("entity").alias("first")).where("n > 1").select(F.col("kind").alias("k1"), F.col("surrogate").alias("s1"), "first")
-        real = table.select(F.col("kind").alias("k2"), F.col("entity").alias("s2"))
+        shared = table.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.min(who).alias("first")).where("n > 1").select(F.col("kind").alias("k1"), F.col("surrogate").alias("s1"), "first")
+        real = table.select(F.col("kind").alias("k2"), F.col("entity").alias("s2")).distinct()
         marked = table.join(shared, (F.col("kind") == F.col("k1")) & (F.col("surrogate") == F.col("s1")), "left").join(real, (F.col("kind") == F.col("k2")) & (F.col("surrogate") == F.col("s2")), "left")
-        clash = F.coalesce(F.col("entity") != F.col("first"), F.lit(False)) | F.col("s2").isNotNull()
-        marked = stage(marked.select("kind", "entity", "gender", "attempt", "surrogate", clash.alias("clash")), "marked")
+        clash = F.coalesce(who != F.col("first"), F.lit(False)) | F.col("s2").isNotNull()
+        marked = stage(marked.select("kind", "entity", "gender", "neutral", "attempt", "surrogate", clash.alias("clash")), "marked")
         if not marked.where("clash").limit(1).count():
             unstage(table)
-            return marked.select("kind", "entity", "surrogate")
+            return marked.select("kind", "entity", "gender", "neutral", "surrogate")
         again = surrogate(F.col("kind"), F.col("entity"), F.col("gender"), F.col("attempt") + 1, key)
-        new = stage(marked.select("kind", "entity", "gender", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"), F.when(F.col("clash"), again).otherwise(F.col("surrogate")).alias("surrogate")), "entities")
+        new = stage(marked.select("kind", "entity", "gender", "neutral", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"), F.when(F.col("clash"), again).otherwise(F.col("surrogate")).alias("surrogate")), "entities")
         unstage(table, marked)
         table = new
     raise ValueError("some kind of entity has more members than its format has surrogates")
 
 
+def _family(name: Column) -> Column:
+    return F.element_at(F.split(name, " "), -1)
+
+
+def with_repeats(found: Column) -> Column:
+    """ANY, and the names that the titled mentions in found hold, in full and the family part: a pattern of the document's
+    own. A name is not part of a longer word, nor of a mail address."""
+    names = F.transform(F.filter(found, lambda m: m.rlike(f"(?U)^(?:{PATTERNS['person']})$")), name_of)
+    names = F.array_distinct(F.concat(names, F.transform(names, _family)))
+    ordered = F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("l"), n.alias("n")))), lambda x: x["n"])  # the longest first
+    repeat = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}_@.%+-])(?:"), F.array_join(ordered, "|"), F.lit(r")(?![\p{L}\p{N}_@%+]|[.-][\p{L}\p{N}])"))
+    return F.when(F.size(names) > 0, repeat)
+
+
+def persons_of(mentions: Column) -> Column:
+    """The mentions (structs of mention, kind, entity, gender, part) of one document with each person's name and gender as
+    the document gives them. A family name alone is the person whose full name ends in it, of the same gender where both
+    are told, the first one told in full; part is then true and the surrogate is the family part of that person's. A
+    name without a gender takes that of its titled mentions."""
+
+    def told(m: Column) -> Column:
+        fits = F.filter(mentions, lambda t: (t["kind"] == "person") & t["titled"] & (m["gender"].isNull() | t["gender"].isNull() | (m["gender"] == t["gender"])) & ((t["entity"] == m["entity"]) | (~m["entity"].contains(" ") & (_family(t["entity"]) == m["entity"]))))
+        ranked = F.transform(fits, lambda t: F.struct((~t["entity"].contains(" ")).alias("short"), t["gender"].isNull().alias("untold"), t["at"].alias("at"), t["entity"].alias("entity"), t["gender"].alias("gender")))
+        return F.coalesce(F.array_min(ranked), F.struct(F.lit(True).alias("short"), F.lit(True).alias("untold"), m["at"].alias("at"), m["entity"].alias("entity"), m["gender"].alias("gender")))
+
+    def resolved(m: Column) -> Column:
+        return _let(told(m), lambda t: F.struct(m["mention"].alias("mention"), m["kind"].alias("kind"), t["entity"].alias("entity"), F.coalesce(m["gender"], t["gender"]).alias("gender"), (t["entity"] != m["entity"]).alias("part")))
+
+    plain = lambda m: F.struct(m["mention"].alias("mention"), m["kind"].alias("kind"), m["entity"].alias("entity"), m["gender"].alias("gender"), F.lit(False).alias("part"))
+    return F.transform(mentions, lambda m: F.when(m["kind"] == "person", resolved(m)).otherwise(plain(m)))
+
+
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """The columns of docs with entities in text replaced, and n_entities (mentions replaced).
 
     The same key gives an entity the same surrogate in every document as long as the set of entities is the same; texts
     without entities come back unchanged, null ones null with 0. Rows equal in doc_id and text are alike. A column
-    n_entities of docs is replaced. A hot entity is one row of the entity table; its mentions are split by the join."""
+    n_entities of docs is replaced. A person found by a title is replaced in the rest of the document as well, where the
+    full or the family name stands without one. A hot entity is at most three rows of the entity table; its mentions are
+    split by the join."""
     spark = docs.sparkSession
     names = [c for c in docs.columns if c != "n_entities"]
-    keyed = docs.select(*names, row_key().alias("_key"), F.coalesce(F.when(may_hold(F.col("text")), F.regexp_extract_all("text", F.lit(ANY), F.lit(0))), F.array().cast("array<string>")).alias("_found"))
-    own = keyed.select(F.col("doc_id").alias("_id"), "_key", F.explode(F.array_distinct("_found")).alias("mention")).distinct()
-    own = own.withColumn("kind", kind_of(F.col("mention"))).where("kind is not null")
-    own = stage(own.withColumn("entity", canonical(F.col("mention"), F.col("kind"))).withColumn("gender", F.when(F.col("kind") == "person", gender_of(F.col("mention")))), "mentions")
-    table = entity_table(own, key)
-    named = own.join(table, ["kind", "entity"]).select("_id", "_key", "mention", formatted(F.col("mention"), F.col("kind"), F.col("surrogate")).alias("new"))
+    keyed = docs.select(*names, row_key().alias("_key"), F.coalesce(F.when(may_hold(F.col("text")), F.regexp_extract_all("text", F.lit(ANY), F.lit(0))), F.array().cast("array<string>")).alias("_first"))
+    keyed = keyed.withColumn("_own", with_repeats(F.col("_first")))
+    keyed = keyed.withColumn("_found", F.when(F.col("_own").isNotNull(), F.regexp_extract_all("text", F.col("_own"), F.lit(0))).otherwise(F.col("_first")))
+    own = keyed.where(F.size("_first") > 0).select(F.col("doc_id").alias("_id"), "_key", F.posexplode(F.array_distinct("_found")).alias("at", "mention")).distinct()
+    # what no pattern fits is a name without its title
+    own = own.withColumn("kind", F.coalesce(kind_of(F.col("mention")), F.lit("person")))
+    own = own.withColumn("entity", canonical(F.col("mention"), F.col("kind"))).withColumn("gender", F.when(F.col("kind") == "person", gender_of(F.col("mention"))))
+    own = own.withColumn("titled", F.col("mention") != name_of(F.col("mention")))
+    own = stage(own, "found")
+    person = F.col("kind") == "person"
+    people = own.where(person).groupBy("_id", "_key").agg(F.collect_list(F.struct("at", "mention", "kind", "entity", "gender", "titled")).alias("m"))
+    people = people.select("_id", "_key", F.explode(persons_of(F.col("m"))).alias("m")).select("_id", "_key", "m.*")
+    rest = own.where(~person).select("_id", "_key", "mention", "kind", "entity", "gender", F.lit(False).alias("part"))
+    own = stage(people.unionByName(rest), "mentions")
+    table = entity_table(own, key).withColumnRenamed("gender", "_gender")
+    same = F.col("gender").eqNullSafe(F.col("_gender")) | (F.col("gender").isNull() & F.col("neutral"))
+    dressed = F.when(F.col("part"), _family(F.col("surrogate"))).otherwise(F.col("surrogate"))
+    named = own.join(table, ["kind", "entity"]).where(same).select("_id", "_key", "mention", formatted(F.col("mention"), F.col("kind"), dressed).alias("new"))
     per = stage(named.groupBy("_id", "_key").agg(F.map_from_entries(F.collect_set(F.struct("mention", "new"))).alias("_new")), "surrogates")
     release(spark)
-    some = keyed.where(F.size("_found") > 0)
+    some = keyed.where(F.size("_first") > 0)
     per = per.withColumnRenamed("_key", "_key2")
     some = some.join(per, (some["_key"] == per["_key2"]) & some["doc_id"].eqNullSafe(per["_id"]), "left")
-    gaps = F.split("text", ANY, -1)
-    rebuilt = F.concat(gaps[0], F.array_join(F.transform("_found", lambda m, i: F.concat(F.coalesce(F.col("_new")[m], m), gaps[i + 1])), ""))
+    gaps = F.when(F.col("_own").isNotNull(), F.split("text", F.col("_own"), -1)).otherwise(F.split("text", ANY, -1))
+    rebuilt = _let(gaps, lambda g: F.concat(g[0], F.array_join(F.transform("_found", lambda m, i: F.concat(F.coalesce(F.col("_new")[m], m), g[i + 1])), "")))
     some = some.select(*[rebuilt.alias("text") if c == "text" else F.col(c) for c in names], F.size("_found").cast("long").alias("n_entities"))
-    none = keyed.where(F.size("_found") == 0).select(*names, F.lit(0).cast("long").alias("n_entities"))
+    none = keyed.where(F.size("_first") == 0).select(*names, F.lit(0).cast("long").alias("n_entities"))
     return none.unionByName(some)
 
 
