@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
@@ -26,14 +27,19 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: The folder of a staged table in the path of one of its files.
+STAGED = re.compile(r".*-[0-9a-f]{32}(?=/)")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write df once as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+def stage(df: DataFrame, name: str, compression: str = "snappy", by: str | None = None) -> DataFrame:
+    """Write df once as Parquet in the shared folder and read it back: cuts lineage, survives lost executors. A column `by`
+    of few values makes a folder of each, so that filters on it read no other."""
     spark = df.sparkSession
-    df.write.parquet(path := new_path(spark, name), compression=compression)
+    df.write.parquet(path := new_path(spark, name), compression=compression, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -41,7 +47,7 @@ def unstage(*frames: DataFrame) -> None:
     """Delete the files of staged frames that nothing reads any more."""
     for df in frames:
         spark = df.sparkSession
-        for root in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        for root in {m[0] for f in df.inputFiles() if (m := STAGED.match(f))}:
             path = spark._jvm.org.apache.hadoop.fs.Path(root)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -70,6 +76,30 @@ def same_row(a: DataFrame, b: DataFrame, *keys: str) -> Column:
     return out
 
 
+#: A key is hot with over BLOCK rows that are also over one in SHARE of all, so there are fewer than SHARE hot keys.
+BLOCK, SHARE = 20_000, 1000
+
+
+def hot_keys(rows: DataFrame, on: list[str], block: int = BLOCK) -> DataFrame | None:
+    """(on, blocks): the hot keys of rows and the blocks each is to be dealt in; none if there is no hot key. Counted with
+    map-side combination; there are fewer than SHARE, so the frame may be broadcast."""
+    counts = stage(rows.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > block), "counts")
+    total = rows.count()
+    hot = counts.where(F.col("n") > total / SHARE).select(*on, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    return None if hot.isEmpty() else hot
+
+
+def spread_join(many: DataFrame, few: DataFrame, on: list[str], deal: list[str], block: int = BLOCK) -> DataFrame:
+    """The inner join of many with few, whose rows a key are few. Rows of hot keys of many are dealt over blocks by the hash
+    of `deal`, and the rows of few for such a key are given to every block, so no key meets in one task."""
+    hot = hot_keys(many, on, block)
+    if hot is None:
+        return many.join(few, on)
+    dealt = many.join(F.broadcast(hot), on, "left").withColumn("_block", F.coalesce(F.pmod(F.xxhash64(*deal), F.col("blocks")).cast("int"), F.lit(0))).drop("blocks")
+    given = few.join(F.broadcast(hot), on, "left").withColumn("_block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))).drop("blocks")
+    return dealt.join(given, [*on, "_block"]).drop("_block")
+
+
 def running_total(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
     """df staged in global order, with `rank` (from 0) and `before` (the sum of value over all earlier rows).
 

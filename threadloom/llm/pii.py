@@ -1,26 +1,30 @@
 """Personal data replaced by keyed surrogates, in DataFrame operations alone.
 
-Entities are found by pattern, brought to a canonical form (so one entity in several spellings stays one), and given a
-surrogate drawn from a keyed digest: of the same type, length and format, for names of the same gender and script. The
-table of all entities is checked until no two share a surrogate and none is another real entity; then texts are rebuilt.
+Entities are found by pattern, brought to a canonical form (so one entity in several spellings stays one) and given a
+surrogate drawn from a keyed digest: of the same type and format, a name's part for the same gender and script. A person is
+replaced part by part, so a family name alone stays the person it was. The table of all entities is drawn in rounds: what
+another entity has taken, or what is a real entity, is drawn again, in a longer form once the format is crowded.
 """
 
 from __future__ import annotations
 
+import secrets
 import sys
 import unicodedata
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import release, row_key, stage, unstage
+from .common import release, spread_join, stage, unstage
 
 #: Titles by gender.
-FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Señorita", "Sra", "Srta", "Signora", "Госпожа"]
-MALE = ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин"]
-NEUTRAL = ["Dr", "Prof", "Professor", "Доктор"]
-#: Given names by script and gender; family names are built of syllables.
+FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Señorita", "Sra", "Srta", "Signora", "Госпожа", "Κυρία", "Κα"]
+MALE = ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин", "Κύριος", "Κος"]
+NEUTRAL = ["Dr", "Prof", "Professor", "Доктор", "Δρ"]
+#: Abbreviations that are titles in capitals only where a full stop follows (MS, DR and SR are much else).
+DOTTED = ["MS", "DR", "SR"]
+#: Given names by script and gender for the first draws; later draws and family names are built of syllables.
 GIVEN = {
     ("latin", "f"): ["Anna", "Clara", "Elena", "Emma", "Irene", "Julia", "Laura", "Lucia", "Maria", "Marta", "Nina", "Nora", "Paula", "Sara", "Sofia", "Vera"],
     ("latin", "m"): ["Adam", "Anton", "Carlo", "David", "Erik", "Felix", "Hugo", "Ivan", "Jonas", "Karl", "Leon", "Marco", "Oscar", "Paul", "Simon", "Victor"],
@@ -30,19 +34,33 @@ GIVEN = {
     ("cyrillic", "n"): ["Женя", "Саша", "Валя", "Слава"],
 }
 SYLLABLES = {"latin": ["bel", "dor", "fen", "gar", "hal", "kin", "lor", "mar", "nel", "ros", "sel", "tan", "ver", "wil", "zan", "mon"], "cyrillic": ["бел", "вор", "гал", "дар", "зор", "кал", "лан", "мар", "нов", "пет", "рог", "сол", "тим", "фед", "чер", "яс"]}
-#: Patterns by type, the first that fits names the type. A name is a title and one to three capitalised words.
-TITLES = "|".join(sorted(FEMALE + MALE + NEUTRAL, key=len, reverse=True))
+#: Endings of built given names by script and gender.
+ENDINGS = {("latin", "f"): ["a", "ia", "ina", "ella"], ("latin", "m"): ["o", "us", "an", "ert"], ("latin", "n"): ["e", "y", "i", "in"], ("cyrillic", "f"): ["а", "ия", "ина", "ица"], ("cyrillic", "m"): ["ий", "ан", "ор", "ей"], ("cyrillic", "n"): ["е", "и", "ю", "о"]}
+
+_AS_WRITTEN = FEMALE + MALE + NEUTRAL
+_CAPITALS = [t.upper() for t in _AS_WRITTEN if t.upper() not in DOTTED]
+TITLES = "(?:" + "|".join(sorted({*_AS_WRITTEN, *_CAPITALS}, key=lambda t: (-len(t), t))) + r")\.?|(?:" + "|".join(DOTTED) + r")\."
+#: A capitalised word of a name, of up to 49 characters; an apostrophe stands before a capital only (O'Brien, but Anna's is
+#: Anna).
+WORD = r"\p{Lu}(?:[\p{L}\p{M}]|['’](?=\p{Lu})){1,48}+(?![\p{L}\p{M}])"
+#: Patterns by type; the first that fits names the type. Each starts at the edge of a run only, and what repeats is possessive
+#: and bounded (a mail's name and labels have up to 64 characters, as the standard says), so neither time nor the matcher's
+#: stack grows faster than the text, and no entity is long.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "secret": r"\b(?:[0-9a-f]{32,128}|AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,})\b",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]{1,64}+@[\p{L}\p{M}\p{N}-]{1,64}+(?:\.[\p{L}\p{M}\p{N}-]{1,64}+){0,125}\.\p{L}[\p{L}\p{M}]{1,63}+",
+    "secret": r"\b(?:[0-9a-f]{32,128}|AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,200})\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}\b|\(\d{3}\) ?\d{3}-\d{4}\b|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])",
     "card": r"(?<![\d-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
-    "person": rf"\b(?:{TITLES})\.? \p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+){{0,2}}",
+    "person": rf"\b(?:{TITLES}) {WORD}(?:[ -]{WORD}){{0,2}}",
 }
 ANY = "(?U)" + "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: In a document that names a person, its other capitalised words as well: those that are a part of a name are replaced.
+BARE = rf"(?<![\p{{L}}\p{{M}}\p{{N}}_@.%+-]){WORD}(?![\p{{N}}_@%+]|[.-][\p{{L}}\p{{N}}])"
+ANY_OR_WORD = f"{ANY}|(?:{BARE})"
+PERSON = f"(?U)^(?:{PATTERNS['person']})$"
 DIGITS = ("ssn", "phone", "card")
 #: The decimal digits of all scripts, ten after ten from 0 to 9, ASCII first; the patterns' \d is any of them.
 ALL_DIGITS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
@@ -54,9 +72,12 @@ LETTERS_OF = {
 }
 #: What an entity must hold, one of these, told by quicker scans than the patterns' own: most texts hold none.
 MARKS, STARTS = r"[\p{Nd}@]", ["sk-", "AKIA", "gho_", "ghp_", "ghs_", "ghu_"]
-LETTERS = rf"[a-f]{{32}}|(?U)\b(?=[{''.join(sorted({t[0] for t in FEMALE + MALE + NEUTRAL}))}])(?:{TITLES})\.? \p{{Lu}}"
-#: Most rounds of the collision check; each draws anew for what still collides.
-ROUNDS = 64
+LETTERS = rf"[a-f]{{32}}|(?U)\b(?=[{''.join(sorted({t[0] for t in _AS_WRITTEN + _CAPITALS}))}])(?:{TITLES}) \p{{Lu}}"
+#: Draws that keep the format; each draw after these is one character, octet or syllable longer. Rounds end at the latest
+#: here, where a format has grown beyond any number of entities.
+KEEP, ROUNDS = 3, 64
+#: The session's setting that holds the key of op4_pii.
+KEY = "spark.threadloom.pii.key"
 
 
 def may_hold(text: Column) -> Column:
@@ -68,22 +89,34 @@ def may_hold(text: Column) -> Column:
 
 
 def kind_of(mention: Column) -> Column:
+    """The type of a mention, null for one whose check digits are wrong and for a bare word."""
     out = F.lit(None).cast("string")
     for kind, pattern in reversed(PATTERNS.items()):
-        out = F.when(mention.rlike(f"(?U)^(?:{pattern})$"), F.lit(kind)).otherwise(out)
+        fits = mention.rlike(f"(?U)^(?:{pattern})$")
+        if kind == "card":
+            fits = fits & F.call_function("luhn_check", canonical(mention, F.lit("card")))
+        if kind == "iban":
+            fits = fits & (mod97(canonical(mention, F.lit("iban"))) == 1)
+        out = F.when(fits, F.lit(kind)).otherwise(out)
     return out
 
 
+def mod97(account: Column) -> Column:
+    """What an account number, its first four characters moved to the end, leaves over 97."""
+    moved = F.filter(F.split(F.concat(F.substr(account, F.lit(5)), F.substring(account, 1, 4)), ""), lambda c: c != "")
+    return F.aggregate(moved, F.lit(0), lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + c.cast("int")) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97))
+
+
 def name_of(mention: Column) -> Column:
-    return F.regexp_replace(mention, rf"(?U)^(?:{TITLES})\.? ", "")
+    return F.regexp_replace(mention, rf"(?U)^(?:{TITLES}) ", "")
 
 
 def canonical(mention: Column, kind: Column) -> Column:
-    """Digits alone for numbers, no breaks for accounts, lower case for mail and names. Numbers, accounts and network
-    addresses are one entity in the digits of any script."""
+    """Digits alone for numbers, no breaks for accounts, lower case for mail and parts of names. Numbers, accounts and
+    network addresses are one entity in the digits of any script."""
     ascii_ = F.translate(mention, ALL_DIGITS, "0123456789" * (len(ALL_DIGITS) // 10))
     number = F.regexp_replace(ascii_, r"[^0-9]", "")
-    return F.when(kind.isin(*DIGITS), number).when(kind == "person", F.lower(name_of(mention))).when(kind == "iban", F.replace(ascii_, F.lit(" "), F.lit(""))).when(kind == "email", F.lower(mention)).when(kind == "ip", ascii_).otherwise(mention)
+    return F.when(kind.isin(*DIGITS), number).when(kind == "iban", F.replace(ascii_, F.lit(" "), F.lit(""))).when(kind.isin("email", "given", "family"), F.lower(mention)).when(kind == "ip", ascii_).otherwise(mention)
 
 
 def in_script_of(digit: Column, like: Column) -> Column:
@@ -94,7 +127,8 @@ def in_script_of(digit: Column, like: Column) -> Column:
 
 def gender_of(mention: Column) -> Column:
     title = F.regexp_extract(mention, r"(?U)^(\p{L}+)", 1)
-    return F.when(title.isin(*FEMALE), "f").when(title.isin(*MALE), "m")
+    both = lambda titles: [*titles, *(t.upper() for t in titles)]
+    return F.when(title.isin(*both(FEMALE)), "f").when(title.isin(*both(MALE)), "m")
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -102,6 +136,10 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _chars(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
 def _bytes(seed: Column, n: Column) -> Column:
     """n pseudo-random numbers of 0 to 255 from blocks of SHA-512 of the seed."""
     blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 64).cast("int")), lambda i: F.sha2(F.concat(seed, F.lit(":"), i.cast("string")).cast("binary"), 512))
@@ -110,7 +148,7 @@ def _bytes(seed: Column, n: Column) -> Column:
 
 
 def _like(c: Column, b: Column, hexadecimal: Column) -> Column:
-    """A character of c's kind drawn by the byte b."""
+    """A character of c's kind and script drawn by the byte b."""
 
     def of(alphabet: str) -> Column:
         return F.substr(F.lit(alphabet), (b % len(alphabet) + 1).cast("int"), F.lit(1))
@@ -121,36 +159,46 @@ def _like(c: Column, b: Column, hexadecimal: Column) -> Column:
     return out.when(c.rlike(r"\p{L}"), of("abcdefghijklmnopqrstuvwxyz")).when(c.rlike(r"\p{N}"), of("0123456789")).otherwise(c)
 
 
+def _pick(values: list[str], b: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in values]), (b % len(values) + 1).cast("int"))
+
+
 def surrogate(kind: Column, entity: Column, gender: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a canonical entity at the given attempt, in canonical form."""
     seed = F.concat_ws("\u0001", F.lit(key), kind, entity, attempt.cast("string"), gender)
-    chars = F.filter(F.split(entity, ""), lambda c: c != "")
-    return _let(_bytes(seed, F.greatest(F.size(chars), F.lit(16))), lambda drawn: _drawn(kind, entity, gender, attempt, chars, drawn))
+    more = F.greatest(F.lit(0), attempt - (KEEP - 1))
+    longer = F.when(kind == "email", F.concat(F.repeat(F.lit("a"), more), entity)).when(kind.isin(*DIGITS, "iban"), F.concat(entity, F.repeat(F.lit("0"), more))).when(kind.isin("secret", "given", "family"), F.concat(entity, F.repeat(F.substr(entity, F.length(entity)), more))).otherwise(entity)
+    return _let(longer, lambda e: _let(_chars(e), lambda chars: _let(_bytes(seed, F.greatest(F.size(chars), F.lit(96))), lambda drawn: _drawn(kind, e, gender, more, chars, drawn))))
 
 
-def _drawn(kind: Column, entity: Column, gender: Column, attempt: Column, chars: Column, drawn: Column) -> Column:
+def _drawn(kind: Column, entity: Column, gender: Column, more: Column, chars: Column, drawn: Column) -> Column:
     hexadecimal = entity.rlike("^[0-9a-f]+$")
-    # a country code, an account's country and a mail's top domain stay
+    # a country code, an account's country, a card's first digit, a token's prefix and a mail's top domain stay
     kept = F.when(kind == "email", F.length(entity) - F.length(F.substring_index(entity, ".", -1))).otherwise(F.lit(1 << 30))
-    lead = F.when(kind == "iban", 2).when((kind == "phone") & (F.length(entity) > 10), F.length(entity) - 10).otherwise(0)
+    prefix = F.length(F.regexp_extract(entity, r"^(AKIA|gh[opsu]_|sk-)", 1))
+    lead = F.when(kind == "iban", 4).when(kind == "card", 1).when(kind == "secret", prefix).when((kind == "phone") & (F.length(entity) - more > 10), F.length(entity) - more - 10).otherwise(0)
     mapped = F.array_join(F.transform(chars, lambda c, i: F.when((i < lead) | (i >= kept), c).otherwise(_like(c, drawn[i], hexadecimal))), "")
-    octets = F.array_join(F.transform(F.slice(drawn, 1, 4), lambda b: (b % 254 + 1).cast("string")), ".")
-    script = F.when(entity.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    words = F.size(F.split(entity, "[ -]"))
-    given, family = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for (s, g), names in GIVEN.items():
-        at = F.element_at(F.array(*[F.lit(x) for x in names]), (drawn[0] % len(names) + 1).cast("int"))
-        given = F.when((script == s) & (F.coalesce(gender, F.lit("n")) == g), at).otherwise(given)
-    for s, parts in SYLLABLES.items():
-        built = F.array_join(F.transform(F.slice(drawn, F.lit(2), F.least(F.lit(14), 3 + attempt / 4).cast("int")), lambda b: F.element_at(F.array(*[F.lit(x) for x in parts]), (b % len(parts) + 1).cast("int"))), "")
-        family = F.when(script == s, built).otherwise(family)
-    person = F.lower(F.when(words == 1, family).when(words == 2, F.concat_ws(" ", given, family)).otherwise(F.concat_ws(" ", given, F.lit("M"), family)))
-    return F.when(kind == "ip", octets).when(kind == "person", person).otherwise(mapped)
+    octets = F.array_join(F.transform(F.slice(drawn, F.lit(1), F.least(F.lit(64), 4 + more).cast("int")), lambda b: (b % 254 + 1).cast("string")), ".")
+    body = F.substr(mapped, F.lit(1), F.length(mapped) - 1)
+    card = F.filter(F.array(*[F.concat(body, F.lit(str(d))) for d in range(10)]), lambda n: F.call_function("luhn_check", n))[0]
+    bare = F.concat(F.substring(mapped, 1, 2), F.lit("00"), F.substr(mapped, F.lit(5)))
+    iban = F.concat(F.substring(mapped, 1, 2), F.lpad((98 - mod97(bare)).cast("string"), 2, "0"), F.substr(mapped, F.lit(5)))
+    part = mapped
+    for script, parts in SYLLABLES.items():
+        written = entity.rlike(rf"\p{{Is{script.title()}}}")
+        built = lambda n: F.array_join(F.transform(F.slice(drawn, F.lit(2), F.least(F.lit(64), n + more).cast("int")), lambda b: _pick(parts, b)), "")  # noqa: E731, B023
+        part = F.when(written & (kind == "family"), built(3)).otherwise(part)
+        for g in "fmn":
+            known = F.lower(_pick(GIVEN[script, g], drawn[0]))
+            named = F.when(more == 0, known).otherwise(F.concat(built(0), _pick(ENDINGS[script, g], drawn[0])))
+            part = F.when(written & (kind == "given") & (F.coalesce(gender, F.lit("n")) == g), named).otherwise(part)
+    return F.when(kind == "ip", octets).when(kind == "card", card).when(kind == "iban", iban).when(kind.isin("given", "family"), part).otherwise(mapped)
 
 
 def formatted(mention: Column, kind: Column, canon: Column) -> Column:
-    """The canonical surrogate in the mention's dress: separators, capitals, title."""
-    chars = F.filter(F.split(mention, ""), lambda c: c != "")
+    """The canonical surrogate in the mention's dress: separators, capitals, digits' script. What is longer than the mention
+    stands after its last digit, before a mail's first character."""
+    chars = _chars(mention)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
 
     def fill(kept: str):
@@ -158,113 +206,134 @@ def formatted(mention: Column, kind: Column, canon: Column) -> Column:
             fits = c.rlike(kept)
             return F.struct(F.concat(acc["out"], F.when(fits, in_script_of(F.substr(canon, acc["k"] + 1, F.lit(1)), c)).otherwise(c)).alias("out"), (acc["k"] + fits.cast("int")).alias("k"))
 
-        return F.aggregate(chars, start, step, lambda a: a["out"])
+        return F.aggregate(chars, start, step, lambda a: F.concat(a["out"], F.substr(canon, a["k"] + 1)))
 
-    name = name_of(mention)
-    title = F.substring(mention, 1, F.length(mention) - F.length(name))
-    cased = F.array_join(F.transform(chars, lambda c, i: F.when(c != F.lower(c), F.upper(F.substr(canon, i + 1, F.lit(1)))).otherwise(F.substr(canon, i + 1, F.lit(1)))), "")
+    ahead = F.length(canon) - F.length(mention)
+    cased = F.array_join(F.transform(chars, lambda c, i: F.when(c != F.lower(c), F.upper(F.substr(canon, ahead + i + 1, F.lit(1)))).otherwise(F.substr(canon, ahead + i + 1, F.lit(1)))), "")
     octets = F.array_join(F.transform(F.split(canon, ""), lambda c: in_script_of(c, chars[0])), "")
-    return F.when(kind.isin(*DIGITS), fill(r"\p{Nd}")).when(kind == "ip", octets).when(kind == "iban", fill(r"[A-Z\p{Nd}]")).when(kind == "person", F.concat(title, F.when(F.upper(name) == name, F.upper(canon)).otherwise(F.initcap(canon)))).when(kind == "email", cased).otherwise(canon)
+    part = F.when((F.upper(mention) == mention) & (F.lower(mention) != mention), F.upper(canon)).otherwise(F.initcap(canon))
+    return F.when(kind.isin(*DIGITS), fill(r"\p{Nd}")).when(kind == "ip", octets).when(kind == "iban", fill(r"[A-Z\p{Nd}]")).when(kind.isin("given", "family"), part).when(kind == "email", F.concat(F.substr(canon, F.lit(1), ahead), cased)).otherwise(canon)
 
 
 def entity_table(mentions: DataFrame, key: str) -> DataFrame:
     """(kind, entity, gender, neutral, surrogate) of all entities: distinct within a kind, and no surrogate is a real entity
     of its kind. A name of both genders is two entities. Mentions without a gender are of the row marked neutral: the
-    name's only gender, or a row of their own."""
+    name's only gender, or a row of their own.
+
+    Each round draws for the entities that are still without: of those that drew alike the first keeps it, what is taken
+    or real is refused. From round KEEP on surrogates grow, so a crowded format (every one-letter address) runs out of
+    entities and not of surrogates; the number of rounds follows the logarithm of the crowd."""
     per = mentions.groupBy("kind", "entity").agg(F.array_sort(F.collect_set("gender")).alias("genders"), F.bool_or(F.col("gender").isNull()).alias("bare"))
     own = F.when((F.size("genders") == 0) | ((F.size("genders") > 1) & F.col("bare")), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
-    table = per.select("kind", "entity", F.explode(F.concat("genders", own)).alias("gender"), (F.size("genders") == 1).alias("one"))
-    table = table.select("kind", "entity", "gender", (F.col("gender").isNull() | F.col("one")).alias("neutral"), F.lit(0).alias("attempt"))
-    table = stage(table.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), F.col("gender"), F.col("attempt"), key)), "entities")
-    who = F.struct("entity", F.coalesce("gender", F.lit("")).alias("gender"))
-    for _ in range(ROUNDS):
-        shared = table.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.min(who).alias("first")).where("n > 1").select(F.col("kind").alias("k1"), F.col("surrogate").alias("s1"), "first")
-        real = table.select(F.col("kind").alias("k2"), F.col("entity").alias("s2")).distinct()
-        marked = table.join(shared, (F.col("kind") == F.col("k1")) & (F.col("surrogate") == F.col("s1")), "left").join(real, (F.col("kind") == F.col("k2")) & (F.col("surrogate") == F.col("s2")), "left")
-        clash = F.coalesce(who != F.col("first"), F.lit(False)) | F.col("s2").isNotNull()
-        marked = stage(marked.select("kind", "entity", "gender", "neutral", "attempt", "surrogate", clash.alias("clash")), "marked")
-        if not marked.where("clash").limit(1).count():
-            unstage(table)
-            return marked.select("kind", "entity", "gender", "neutral", "surrogate")
-        again = surrogate(F.col("kind"), F.col("entity"), F.col("gender"), F.col("attempt") + 1, key)
-        new = stage(marked.select("kind", "entity", "gender", "neutral", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"), F.when(F.col("clash"), again).otherwise(F.col("surrogate")).alias("surrogate")), "entities")
-        unstage(table, marked)
-        table = new
-    raise ValueError("some kind of entity has more members than its format has surrogates")
-
-
-def _family(name: Column) -> Column:
-    return F.element_at(F.split(name, " "), -1)
-
-
-def with_repeats(found: Column) -> Column:
-    """ANY, and the names that the titled mentions in found hold, in full and the family part: a pattern of the document's
-    own. A name is not part of a longer word, nor of a mail address."""
-    names = F.transform(F.filter(found, lambda m: m.rlike(f"(?U)^(?:{PATTERNS['person']})$")), name_of)
-    names = F.array_distinct(F.concat(names, F.transform(names, _family)))
-    ordered = F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("l"), n.alias("n")))), lambda x: x["n"])  # the longest first
-    repeat = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}_@.%+-])(?:"), F.array_join(ordered, "|"), F.lit(r")(?![\p{L}\p{N}_@%+]|[.-][\p{L}\p{N}])"))
-    return F.when(F.size(names) > 0, repeat)
-
-
-def persons_of(mentions: Column) -> Column:
-    """The mentions (structs of mention, kind, entity, gender, part) of one document with each person's name and gender as
-    the document gives them. A family name alone is the person whose full name ends in it, of the same gender where both
-    are told, the first one told in full; part is then true and the surrogate is the family part of that person's. A
-    name without a gender takes that of its titled mentions."""
-
-    def told(m: Column) -> Column:
-        fits = F.filter(mentions, lambda t: (t["kind"] == "person") & t["titled"] & (m["gender"].isNull() | t["gender"].isNull() | (m["gender"] == t["gender"])) & ((t["entity"] == m["entity"]) | (~m["entity"].contains(" ") & (_family(t["entity"]) == m["entity"]))))
-        ranked = F.transform(fits, lambda t: F.struct((~t["entity"].contains(" ")).alias("short"), t["gender"].isNull().alias("untold"), t["at"].alias("at"), t["entity"].alias("entity"), t["gender"].alias("gender")))
-        return F.coalesce(F.array_min(ranked), F.struct(F.lit(True).alias("short"), F.lit(True).alias("untold"), m["at"].alias("at"), m["entity"].alias("entity"), m["gender"].alias("gender")))
-
-    def resolved(m: Column) -> Column:
-        return _let(told(m), lambda t: F.struct(m["mention"].alias("mention"), m["kind"].alias("kind"), t["entity"].alias("entity"), F.coalesce(m["gender"], t["gender"]).alias("gender"), (t["entity"] != m["entity"]).alias("part")))
-
-    plain = lambda m: F.struct(m["mention"].alias("mention"), m["kind"].alias("kind"), m["entity"].alias("entity"), m["gender"].alias("gender"), F.lit(False).alias("part"))
-    return F.transform(mentions, lambda m: F.when(m["kind"] == "person", resolved(m)).otherwise(plain(m)))
+    rows = per.select("kind", "entity", F.explode(F.concat("genders", own)).alias("gender"), (F.size("genders") == 1).alias("one"))
+    rows = stage(rows.select("kind", "entity", "gender", (F.col("gender").isNull() | F.col("one")).alias("neutral")), "entities")
+    done: list[DataFrame] = []
+    pending = rows
+    for attempt in range(ROUNDS):
+        drawn = stage(pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), F.col("gender"), F.lit(attempt), key)), "drawn")
+        taken = rows.select("kind", F.col("entity").alias("surrogate")).distinct()
+        for d in done:
+            taken = taken.unionByName(d.select("kind", "surrogate"))
+        who = F.struct("entity", F.coalesce("gender", F.lit("")).alias("g"), "gender", "neutral")
+        first = drawn.join(taken, ["kind", "surrogate"], "left_anti").groupBy("kind", "surrogate").agg(F.min(who).alias("w"))
+        done.append(stage(first.select("kind", "w.entity", "w.gender", "w.neutral", "surrogate"), "assigned"))
+        have = done[-1].select(F.col("kind").alias("k2"), F.col("entity").alias("e2"), F.col("gender").alias("g2"))
+        left = (F.col("kind") == F.col("k2")) & (F.col("entity") == F.col("e2")) & F.col("gender").eqNullSafe(F.col("g2"))
+        pending = stage(drawn.join(have, left, "left_anti").drop("surrogate"), "pending")
+        unstage(drawn)
+        if pending.isEmpty():
+            out = done[0]
+            for d in done[1:]:
+                out = out.unionByName(d)
+            return out
+    raise ValueError("some entity has found no free surrogate")
+
+
+def _titled(mentions: DataFrame) -> DataFrame:
+    """(rid, pos, place, ahead, piece, kind, gender, given, family, name) of the parts of titled persons: ahead is the title
+    or the break before the part. A part in the last word is of the family, the others are given. A name without a gender
+    takes the one that its document tells: of the same name, or for a family name alone of the first one of it."""
+    p = mentions.where(F.col("kind") == "person").withColumn("full", name_of(F.col("mention")))
+    p = p.withColumn("title", F.substr("mention", F.lit(1), F.length("mention") - F.length("full"))).withColumn("gender", gender_of(F.col("mention")))
+    p = p.withColumn("name", F.lower("full")).withColumn("words", F.split("full", " "))
+    p = p.withColumn("family", F.lower(F.split(F.element_at("words", -1), "-")[0]))
+    p = p.withColumn("given", F.when(F.size("words") > 1, F.lower(F.element_at(F.split(F.element_at("words", -2), "-"), -1))))
+    told = lambda *by: F.first("gender", ignorenulls=True).over(Window.partitionBy("rid", *by).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    p = p.withColumn("of_name", told("name")).withColumn("of_family", told("family"))
+    p = p.withColumn("gender", F.coalesce("gender", "of_name", F.when(F.size("words") == 1, F.col("of_family"))))
+    pieces = F.flatten(F.transform("words", lambda w, i: F.transform(F.split(w, "-"), lambda x, j: F.struct(x.alias("piece"), F.when(j > 0, "-").when(i > 0, " ").otherwise("").alias("before"), F.when(i == F.size("words") - 1, "family").otherwise("given").alias("kind")))))
+    p = p.select("rid", "pos", "title", "gender", "given", "family", "name", F.posexplode(pieces).alias("place", "x"))
+    return p.select("rid", "pos", "place", F.when(F.col("place") == 0, F.col("title")).otherwise(F.col("x.before")).alias("ahead"), "x.piece", "x.kind", "gender", "given", "family", "name")
+
+
+def _bare(mentions: DataFrame, titled: DataFrame) -> DataFrame:
+    """The parts of names that stand without a title in a document that tells the name: the gender is that of the person
+    whose neighbouring part stands beside them, else of the first one told."""
+    order = Window.partitionBy("rid").orderBy("pos")
+    m = mentions.where("named").withColumn("low", F.lower("mention"))
+    beside = lambda c, gap: F.when(gap.isin(" ", "-"), c)
+    m = m.withColumn("left", beside(F.lag("low").over(order), F.lag("gap").over(order))).withColumn("right", beside(F.lead("low").over(order), F.col("gap")))
+    m = m.where(F.col("kind").isNull() & F.col("mention").rlike(f"(?U)^{WORD}$")).select("rid", "pos", "mention", "low", "left", "right")
+    pairs = titled.where("given is not null").groupBy("rid", "given", "family").agg(F.min_by("gender", "pos").alias("gender"))
+    as_family = pairs.select("rid", F.col("given").alias("left"), F.col("family").alias("low"), F.lit("family").alias("k1"), F.col("gender").alias("g1"))
+    as_given = pairs.select("rid", F.col("given").alias("low"), F.col("family").alias("right"), F.lit("given").alias("k2"), F.col("gender").alias("g2"))
+    any_ = titled.groupBy("rid", F.lower("piece").alias("low")).agg(F.min_by(F.struct(F.col("kind").alias("k3"), F.col("gender").alias("g3")), F.struct("pos", "place")).alias("x"))
+    out = m.join(any_.select("rid", "low", "x.*"), ["rid", "low"]).join(as_family, ["rid", "left", "low"], "left").join(as_given, ["rid", "low", "right"], "left")
+    kind = F.coalesce("k1", "k2", "k3")
+    gender = F.when(F.col("k1").isNotNull(), F.col("g1")).when(F.col("k2").isNotNull(), F.col("g2")).otherwise(F.col("g3"))
+    return out.select("rid", "pos", F.lit(0).alias("place"), F.lit("").alias("ahead"), F.col("mention").alias("piece"), kind.alias("kind"), gender.alias("gender"))
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """The columns of docs with entities in text replaced, and n_entities (mentions replaced).
 
     The same key gives an entity the same surrogate in every document as long as the set of entities is the same; texts
-    without entities come back unchanged, null ones null with 0. Rows equal in doc_id and text are alike. A column
-    n_entities of docs is replaced. A person found by a title is replaced in the rest of the document as well, where the
-    full or the family name stands without one. A hot entity is at most three rows of the entity table; its mentions are
-    split by the join."""
+    without entities come back unchanged, null ones null with 0, empty ones empty, an empty table empty. Ties and repeated
+    rows: each row is replaced alike. Of docs' columns only n_entities is replaced; rows travel as one struct, so no other
+    name can clash. Cards and accounts whose check digits are wrong are none, and stay. A person is told by a title; in the
+    same document the parts of the name are replaced without one as well. Very long texts are scanned in time that grows
+    with their length, and rebuilt from a row a mention, so a text of a million entities is a million short rows. A hot
+    entity is at most three rows of the entity table; its mentions are dealt out by document before they meet it."""
+    if not key:
+        raise ValueError("surrogates need a key")
     spark = docs.sparkSession
     names = [c for c in docs.columns if c != "n_entities"]
-    keyed = docs.select(*names, row_key().alias("_key"), F.coalesce(F.when(may_hold(F.col("text")), F.regexp_extract_all("text", F.lit(ANY), F.lit(0))), F.array().cast("array<string>")).alias("_first"))
-    keyed = keyed.withColumn("_own", with_repeats(F.col("_first")))
-    keyed = keyed.withColumn("_found", F.when(F.col("_own").isNotNull(), F.regexp_extract_all("text", F.col("_own"), F.lit(0))).otherwise(F.col("_first")))
-    own = keyed.where(F.size("_first") > 0).select(F.col("doc_id").alias("_id"), "_key", F.posexplode(F.array_distinct("_found")).alias("at", "mention")).distinct()
-    # what no pattern fits is a name without its title
-    own = own.withColumn("kind", F.coalesce(kind_of(F.col("mention")), F.lit("person")))
-    own = own.withColumn("entity", canonical(F.col("mention"), F.col("kind"))).withColumn("gender", F.when(F.col("kind") == "person", gender_of(F.col("mention"))))
-    own = own.withColumn("titled", F.col("mention") != name_of(F.col("mention")))
-    own = stage(own, "found")
-    person = F.col("kind") == "person"
-    people = own.where(person).groupBy("_id", "_key").agg(F.collect_list(F.struct("at", "mention", "kind", "entity", "gender", "titled")).alias("m"))
-    people = people.select("_id", "_key", F.explode(persons_of(F.col("m"))).alias("m")).select("_id", "_key", "m.*")
-    rest = own.where(~person).select("_id", "_key", "mention", "kind", "entity", "gender", F.lit(False).alias("part"))
-    own = stage(people.unionByName(rest), "mentions")
-    table = entity_table(own, key).withColumnRenamed("gender", "_gender")
-    same = F.col("gender").eqNullSafe(F.col("_gender")) | (F.col("gender").isNull() & F.col("neutral"))
-    dressed = F.when(F.col("part"), _family(F.col("surrogate"))).otherwise(F.col("surrogate"))
-    named = own.join(table, ["kind", "entity"]).where(same).select("_id", "_key", "mention", formatted(F.col("mention"), F.col("kind"), dressed).alias("new"))
-    per = stage(named.groupBy("_id", "_key").agg(F.map_from_entries(F.collect_set(F.struct("mention", "new"))).alias("_new")), "surrogates")
+    row = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    none = F.array().cast("array<string>")
+    row = row.withColumn("first", F.coalesce(F.when(may_hold(F.col("row.text")), F.regexp_extract_all("row.text", F.lit(ANY), F.lit(0))), none))
+    row = row.withColumn("named", F.exists("first", lambda m: m.rlike(PERSON)))
+    row = row.withColumn("found", F.when(F.col("named"), F.regexp_extract_all("row.text", F.lit(ANY_OR_WORD), F.lit(0))).otherwise(F.col("first"))).drop("first")
+    row = stage(row.withColumn("hit", (F.size("found") > 0).cast("int")), "found", by="hit")
+    some = row.where("hit = 1").withColumn("gaps", F.when(F.col("named"), F.split("row.text", ANY_OR_WORD, -1)).otherwise(F.split("row.text", ANY, -1)))
+    mentions = some.select("rid", "named", F.posexplode(F.arrays_zip("found", F.slice("gaps", F.lit(2), F.size("found")).alias("gap"))).alias("pos", "m"))
+    mentions = stage(mentions.select("rid", "named", "pos", F.col("m.found").alias("mention"), F.col("m.gap").alias("gap"), kind_of(F.col("m.found")).alias("kind")), "mentions")
+    titled = stage(_titled(mentions), "titled")
+    plain = mentions.where("kind <> 'person'").select("rid", "pos", F.lit(0).alias("place"), F.lit("").alias("ahead"), F.col("mention").alias("piece"), "kind", F.lit(None).cast("string").alias("gender"))
+    pieces = plain.unionByName(titled.select(*plain.columns)).unionByName(_bare(mentions, titled))
+    pieces = stage(pieces.withColumn("entity", canonical(F.col("piece"), F.col("kind"))), "pieces")
+    table = stage(entity_table(pieces, key), "surrogates").withColumnRenamed("gender", "own")
+    same = F.col("gender").eqNullSafe(F.col("own")) | (F.col("gender").isNull() & F.col("neutral"))
+    new = spread_join(pieces, table, ["kind", "entity"], ["rid", "pos"]).where(same)
+    new = new.select("rid", "pos", "place", F.concat("ahead", formatted(F.col("piece"), F.col("kind"), F.col("surrogate"))).alias("new"))
+    new = new.groupBy("rid", "pos").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "new"))), lambda x: x["new"]), "").alias("new"))
+    all_ = mentions.select("rid", "pos", "mention").join(new, ["rid", "pos"], "left")
+    per = all_.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("new", "mention").alias("new")))).alias("new"), F.count("new").alias("n"))
+    per = stage(per, "replaced")
+    unstage(mentions, titled, pieces, table)
     release(spark)
-    some = keyed.where(F.size("_first") > 0)
-    per = per.withColumnRenamed("_key", "_key2")
-    some = some.join(per, (some["_key"] == per["_key2"]) & some["doc_id"].eqNullSafe(per["_id"]), "left")
-    gaps = F.when(F.col("_own").isNotNull(), F.split("text", F.col("_own"), -1)).otherwise(F.split("text", ANY, -1))
-    rebuilt = _let(gaps, lambda g: F.concat(g[0], F.array_join(F.transform("_found", lambda m, i: F.concat(F.coalesce(F.col("_new")[m], m), g[i + 1])), "")))
-    some = some.select(*[rebuilt.alias("text") if c == "text" else F.col(c) for c in names], F.size("_found").cast("long").alias("n_entities"))
-    none = keyed.where(F.size("_first") == 0).select(*names, F.lit(0).cast("long").alias("n_entities"))
-    return none.unionByName(some)
+    some = some.join(per, "rid")
+    rebuilt = F.concat(F.col("gaps")[0], F.array_join(F.zip_with("new", F.slice("gaps", F.lit(2), F.size("new")), lambda n, g: F.concat(n["new"], g)), ""))
+    of = lambda text, n: [*[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in names], n.alias("n_entities")]
+    return row.where("hit = 0").select(*of(F.col("row.text"), F.lit(0).cast("long"))).unionByName(some.select(*of(rebuilt, F.col("n"))))
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key that the session's configuration holds; without one a random key, the same for the rest of the session."""
+    if not (key := spark.conf.get(KEY, "")):
+        spark.conf.set(KEY, key := secrets.token_hex(32))
+    return key
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pseudonymise(docs, "a key that deployments set").select("doc_id", "text", "n_entities")
+    return pseudonymise(docs, session_key(spark)).select("doc_id", "text", "n_entities")
