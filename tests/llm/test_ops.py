@@ -418,3 +418,43 @@ def test_running_total(spark):
     for i, ((a, v), r) in enumerate(zip(sorted(rows), got, strict=True)):
         assert (r["a"], r["v"], r["rank"], r["before"]) == (a, v, i, total)
         total += v
+
+
+def test_words_are_the_text_for_many_characters():
+    """Every letter and mark of the basic plane beside marks, digits and letters, in one text each of words with it."""
+    w = tokens.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = []
+    for start in range(0, 0xD800, 64):
+        chars = [chr(c) for c in range(start, start + 64) if not chr(c).isspace()]
+        texts.append(" ".join(f"a{c}. {c}., A{c}b;! 1{c}? {c}" for c in chars))
+    whole = [x.tobytes() for x in w._encode(texts)]
+    got = w([t.encode() for t in texts])
+    assert [i for i, (a, b) in enumerate(zip(whole, got, strict=True)) if a != b] == []
+
+
+def test_shards(spark, monkeypatch):
+    """Null ids and rows of one id are dealt over shards, long documents weigh more, and the order stays."""
+    monkeypatch.setattr(tokens, "SHARD_BYTES", 4000)
+    rows = [(None, f"null {i} words here") for i in range(300)] + [(7, f"seven {i} words here") for i in range(600)] + [(i, "w " * (5000 if i == 50 else 20)) for i in range(10, 200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    plan = tokens.plan_shards(d)
+    assert plan.nulls >= 1 and plan.count > 5
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = tokens.token_ids(d, path, 2, plan).select("shard", "doc_id").collect()
+    per = lambda f: Counter(r["shard"] for r in ids if f(r["doc_id"]))
+    assert len(per(lambda x: x == 7)) > 2 and max(per(lambda x: x == 7).values()) < 400
+    assert max(per(lambda x: x is None)) < min(per(lambda x: x is not None))
+    back = sorted(tokens.tokenised(d, path).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] or 0 for r in back] == sorted(r[0] or 0 for r in rows)
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(back, back[1:]))
+
+
+def test_unknown_configuration_encodes_whole_texts(tmp_path):
+    """The way by words is taken for the exact known configuration only."""
+    import json
+
+    config = json.loads(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+    config["normalizer"]["normalizers"][0] = {"type": "NFKC"}
+    (tmp_path / "t.json").write_text(json.dumps(config), encoding="utf-8")
+    w = tokens.WordIds(str(tmp_path / "t.json"))
+    assert not w.by_word and w(["ﬁne text".encode()])[0] == w._encode(["ﬁne text"])[0].tobytes()

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,18 +23,39 @@ from .common import new_path, release, row_key, stage, unstage
 from .files import names, open_fs, write_whole
 from .rans import Table, pack, unpack
 
-#: Ids of a block (a longer document makes a longer block), words that a worker's memo may hold, words encoded at once.
-BLOCK_IDS, MEMO, GROUP = 1 << 20, 300_000, 50
+#: Ids of a block (a longer document makes a longer block), bytes of text a shard, and words that a worker's memo may hold.
+BLOCK_IDS, SHARD_BYTES, MEMO = 1 << 20, 512 << 20, 400_000
+#: Words encoded at once, bytes of text and texts taken at once, the longest text that is encoded again as a whole to compare.
+GROUP, SLICE_BYTES, SLICE_ROWS, COMPARED = 50, 8 << 20, 4096, 20_000
 TAIL = "<QI4s"
-#: ASCII marks that the tokenizer never joins to the letters before them.
+#: ASCII marks that the tokenizer never joins to the letter or digit before them, and such letters and digits
+#: (not U+0130, whose lower case ends in a combining mark).
 MARKS = ".,;:!?"
+JOINT = r"[0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}\x{400}-\x{481}\x{4E00}-\x{9FA5}\x{AC00}-\x{D7A3}]$"
+#: The one configuration whose texts are known to be their words' ids one after another.
+BY_WORD = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None, "truncation": None, "padding": None,
+}
+BY_WORD_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+#: What a special token of that configuration is, besides its content.
+BY_WORD_ADDED = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
 
 
 class WordIds:
-    """Ids of whole texts from a tokenizer that drops white space: those of its words one after another, remembered.
+    """Ids of whole texts. Of the one tokenizer configuration known to drop white space and to end each word (BY_WORD), a
+    text's ids are those of its words, which are remembered; each slice encodes one whole text as well and compares. Any
+    other tokenizer encodes each text at once.
 
-    Words of letters alone are encoded in groups; each ends in the one id that carries the end mark. Words of other
-    characters are encoded alone. Tokenizers that keep white space encode each text at once."""
+    A word is looked up without the marks at its end, where a letter or digit stands before them. New words of letters
+    alone are encoded in groups, each ending in the one id that carries the end mark; others one by one."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -44,79 +66,94 @@ class WordIds:
         self.size = max(vocab.values()) + 1
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         config = json.loads(self.tokenizer.to_str())
-        split = ((config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        self.end = config["model"].get("end_of_word_suffix")
-        self.by_word = bool(self.end) and split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True and "\\s" in json.dumps(split.get("pattern"))
-        self.lower = "Lowercase" in json.dumps(config.get("normalizer"))
+        model = {k: v for k, v in config["model"].items() if k not in ("vocab", "merges")}
+        added = config.get("added_tokens") or []
+        plain = all({k: t.get(k) for k in BY_WORD_ADDED} == BY_WORD_ADDED and not any(c.isspace() for c in t["content"]) and not t["content"][-1].isalnum() and t["content"][-1] not in MARKS for t in added)
+        self.by_word = {k: config.get(k) for k in BY_WORD} == BY_WORD and model == BY_WORD_MODEL and plain
         self.final = np.zeros(self.size, bool)
         if self.by_word:
-            self.final[[i for w, i in vocab.items() if w.endswith(self.end)]] = True
-        self.memo: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}  # the memo before it was full: what is asked again moves back
-        self.cores: dict[str, bytes] = {}
+            self.final[[i for w, i in vocab.items() if w.endswith(model["end_of_word_suffix"])]] = True
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the memo before it was full: what is asked again moves back
         self.tails: dict[str, bytes] = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, keys: list[str]) -> None:
         """Put the ids of new words in the memo."""
-        new = []
-        for w in words:
-            if (x := self.older.get(w)) is None:
-                new.append(w)
-            else:
-                self.memo[w] = x
-        if not new:
-            return
-        if len(self.cores) > MEMO:
-            self.cores = {}
-        plain: list[tuple[bytes, str, str]] = []
-        rest: list[bytes] = []
-        todo: dict[str, None] = {}
-        for w, text in zip(new, b"\n".join(new).decode().split("\n"), strict=True):
-            core = text.rstrip(MARKS)
-            tail = text[len(core) :]
-            if core.isascii():
-                fits = core.isalpha()
-                core = core.lower() if self.lower else core
-            else:  # letters as the tokenizer normalises them
-                fits = unicodedata.normalize("NFC", core).lower().isalpha()
-            if not fits:
-                rest.append(w)
-                continue
-            if core not in self.cores:
-                todo[core] = None
-            if tail not in self.tails:
-                self.tails[tail] = self._encode([tail])[0].tobytes()
-            plain.append((w, core, tail))
-        if todo:
-            cores = list(todo)
-            ids = np.concatenate(self._encode([" ".join(cores[i : i + GROUP]) for i in range(0, len(cores), GROUP)]))
+        letters = [k for k in keys if (k.isalpha() if k.isascii() else unicodedata.normalize("NFC", k).lower().isalpha())]
+        if letters:
+            ids = np.concatenate(self._encode([" ".join(letters[i : i + GROUP]) for i in range(0, len(letters), GROUP)]))
             ends = ((np.flatnonzero(self.final[ids]) + 1) * self.dtype.itemsize).tolist()
-            if len(ends) == len(cores):
+            if len(ends) == len(letters):
                 data = ids.tobytes()
-                self.cores.update(zip(cores, (data[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
+                self.memo.update(zip(letters, (data[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
             else:
-                self.cores.update(zip(cores, (x.tobytes() for x in self._encode(cores)), strict=True))
-        self.memo.update((w, self.cores[core] + self.tails[tail]) for w, core, tail in plain)
-        if rest:
-            self.memo.update(zip(rest, (x.tobytes() for x in self._encode([w.decode() for w in rest])), strict=True))
-
-    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        """Each text's ids as little-endian bytes."""
-        if not self.by_word:
-            return [x.tobytes() for x in self._encode([(t or b"").decode() for t in texts])]
-        words = [(t or b"").split() for t in texts]
-        seen: set[bytes] = set()
-        for w in words:
-            seen.update(w)
+                self.memo.update(zip(letters, (x.tobytes() for x in self._encode(letters)), strict=True))
+        if rest := [k for k in keys if k not in self.memo]:
+            self.memo.update(zip(rest, (x.tobytes() for x in self._encode(rest)), strict=True))
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, as little-endian bytes."""
+        core = pc.utf8_rtrim(words, characters=MARKS)
+        key = pc.if_else(pc.match_substring_regex(core, JOINT), core, words)
+        key = pc.if_else(pc.ascii_is_alpha(key), pc.ascii_lower(key), key).dictionary_encode()
+        keys = key.dictionary.to_pylist()
         if len(self.memo) > MEMO:
             self.older, self.memo = self.memo, {}
-        seen.difference_update(self.memo)
-        self._learn(seen)
-        get = self.memo.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        new = []
+        for k in keys:
+            if k not in self.memo:
+                if (x := self.older.get(k)) is None:
+                    new.append(k)
+                else:
+                    self.memo[k] = x
+        if new:
+            self._learn(new)
+        ids = pa.array(list(map(self.memo.__getitem__, keys)), pa.binary()).take(key.indices)
+        cut = pc.subtract(pc.binary_length(words), pc.binary_length(key.dictionary).take(key.indices)).to_numpy()
+        some = np.flatnonzero(cut)
+        tails = np.full(len(words), "", object)
+        tails[some] = [w[-n:] for w, n in zip(words.take(pa.array(some)).to_pylist(), cut[some].tolist(), strict=True)]
+        tail = pa.array(tails, pa.string()).dictionary_encode()
+        for t in tail.dictionary.to_pylist():
+            if t not in self.tails:
+                self.tails[t] = self._encode([t])[0].tobytes()
+        return pc.binary_join_element_wise(ids, pa.array([self.tails[t] for t in tail.dictionary.to_pylist()], pa.binary()).take(tail.indices), b"")
+
+    def slice(self, texts: pa.Array) -> pa.Array:
+        """Each text's ids as little-endian bytes."""
+        texts = texts.fill_null("")
+        if not self.by_word:
+            return pa.array([x.tobytes() for x in self._encode(texts.to_pylist())], pa.binary())
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        if not len(words):
+            return pa.array([b""] * len(texts), pa.binary())
+        every = self._words(words.dictionary).take(words.indices)
+        places = np.frombuffer(every.buffers()[1], np.int32)[every.offset : every.offset + len(every) + 1]
+        ends = np.ascontiguousarray(places[np.asarray(lists.offsets)])
+        out = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), every.buffers()[2] or pa.py_buffer(b"")])
+        sizes = pc.binary_length(texts).to_numpy()
+        some = np.flatnonzero((sizes > 0) & (sizes <= COMPARED))
+        i = int(some[len(some) // 2]) if len(some) else int(sizes.argmin())
+        if self._encode([texts[i].as_py()])[0].tobytes() != out[i].as_py():
+            raise ValueError("this tokenizer's texts are not their words' ids one after another")
+        return out
+
+    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
+        return self.slice(pa.array([(t or b"").decode() for t in texts], pa.string())).to_pylist()
+
+
+def slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of texts of these sizes, of about SLICE_BYTES each and no more than SLICE_ROWS."""
+    first, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        held += n
+        if held >= SLICE_BYTES or i + 1 - first >= SLICE_ROWS or i + 1 == len(sizes):
+            yield first, i + 1 - first
+            first, held = i + 1, 0
 
 
 #: One encoder a worker process and file: its memo serves all tasks that the process runs.
@@ -129,19 +166,59 @@ def encoder(path: str) -> WordIds:
     return ENCODERS[path]
 
 
-def token_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """doc_id, key, ids: the whole text's ids and the end id, as little-endian integers of the vocabulary's width."""
+class Shards:
+    """Which shard a document goes to: null ids first, then ranges of doc_id cut at bounds that hold about as many bytes.
+
+    A bound that comes m times is an id that fills m shards; its documents are dealt over them in the order of their key,
+    and so are null ids, so no id is one shard's."""
+
+    def __init__(self, nulls: int, bounds: list[int]):
+        self.nulls, self.bounds = nulls, np.array(bounds, np.int64)
+        self.count = nulls + len(bounds) + 1
+
+    def __call__(self, ids: np.ndarray, null: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        lo, hi = np.searchsorted(self.bounds, ids, "left"), np.searchsorted(self.bounds, ids, "right")
+        lo, wide = np.where(null, 0, lo + self.nulls), np.where(null, max(1, self.nulls), hi - lo + 1)
+        high = (keys.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)
+        return (lo + ((high * wide.astype(np.uint64)) >> np.uint64(32)).astype(np.int64)).astype(np.int32)
+
+
+def plan_shards(docs: DataFrame, shards: int | None = None) -> Shards:
+    """Shards of about SHARD_BYTES of text each, or so many. Small corpora get one a MB, up to the shuffle partitions.
+
+    Bounds are quantiles of ids, each id counted once for every average document that its text is as long as (so at most
+    twice as many rows as documents are sketched)."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
+    r = d.agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.count_if(F.col("doc_id").isNull()).alias("nulls"), F.sum(F.when(F.col("doc_id").isNull(), F.col("size"))).alias("null_bytes")).first()
+    total, n = r["bytes"] or 0, r["n"]
+    if shards is None:
+        most = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shards = max(1, -(-total // SHARD_BYTES), min(most, total >> 20))
+    weight = (r["null_bytes"] + r["nulls"]) / (total + n) if r["nulls"] else 0.0
+    nulls = max(1, round(shards * weight)) if r["nulls"] else 0
+    rest = max(1, shards - nulls)
+    if rest == 1 or n == r["nulls"]:
+        return Shards(nulls, [])
+    mean = max(1, total // n)
+    often = d.where("doc_id is not null").select("doc_id", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.col("size") / mean)).cast("int"))).alias("time"))
+    bounds = often.approxQuantile("doc_id", [i / rest for i in range(1, rest)], 0.1 / rest)
+    return Shards(nulls, [int(b) for b in bounds])
+
+
+def token_ids(docs: DataFrame, path: str, end_id: int, shards: Shards) -> DataFrame:
+    """shard, doc_id, key, ids: the whole text's ids and the end id, as little-endian integers of the vocabulary's width."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
-        end = np.array([end_id], words.dtype).tobytes()
+        end = pa.scalar(np.array([end_id], words.dtype).tobytes(), pa.binary())
         for b in batches:
-            for i in range(0, b.num_rows, 1024):
-                part = b.slice(i, 1024)
-                ids = [x + end for x in words(part.column(2).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], ["doc_id", "key", "ids"])
+            null = b.column(0).is_null().to_numpy(zero_copy_only=False)
+            shard = shards(b.column(0).fill_null(0).to_numpy(), null, b.column(1).to_numpy())
+            for first, n in slices(pc.binary_length(b.column(2)).fill_null(0).to_numpy()):
+                ids = pc.binary_join_element_wise(words.slice(b.column(2).slice(first, n)), end, b"")
+                yield pa.RecordBatch.from_arrays([pa.array(shard[first : first + n]), b.column(0).slice(first, n), b.column(1).slice(first, n), ids], ["shard", "doc_id", "key", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, key long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), "text").mapInArrow(run, "shard int, doc_id long, key long, ids binary")
 
 
 BLOCK = "shard int, seq int, doc_ids binary, nulls binary, lengths binary, ids binary"
@@ -181,17 +258,14 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, out: str | None = None
     """Encode docs with the tokenizer file at `path` into shards in folder `out` (a new shared one if not given), in
     ascending doc_id order (nulls first, ties by text digest); the folder. Null texts are empty. Repeated rows stay.
 
-    Shards are ranges of doc_id of about as many documents; their bounds are quantiles, so no task gets a hot share."""
+    Shards hold about as many bytes each (see plan_shards), so their number grows with the corpus. Ids are shuffled once, by
+    shard; the blocks that a task reads back are already in order, so it writes its runs of them as files at once."""
     spark = docs.sparkSession
     out = out or new_path(spark, "shards")
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     size, dtype = encoder(path).size, encoder(path).dtype
-    bounds = docs.select(F.col("doc_id").cast("long").alias("doc_id")).approxQuantile("doc_id", [i / shards for i in range(1, shards)], 0.1 / shards) if shards > 1 else []
-    bounds = sorted({int(b) for b in bounds})
-    tokens = token_ids(docs, path, end_id)
-    shard = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<long>"), lambda b: b < F.col("doc_id")))) if bounds else F.lit(0)
-    tokens = tokens.select(shard.cast("int").alias("shard"), "doc_id", "key", "ids")
-    tokens = tokens.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "key").select("shard", "doc_id", "ids")
+    plan = plan_shards(docs, shards)
+    tokens = token_ids(docs, path, end_id, plan)
+    tokens = tokens.repartitionById(plan.count, F.col("shard")).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "key").select("shard", "doc_id", "ids")
     blocks = stage(_blocks(tokens, dtype, block_ids), "blocks", "zstd")
     del tokens
     release(spark)
@@ -211,42 +285,39 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, out: str | None = None
     write_whole(f"{out}/table.freq", [table.dump()])
     dumped = table.dump()
 
-    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each run of consecutive blocks of a shard as a file, named by the shard and its first block: a task that runs
+        again writes the same files."""
         own = Table.load(dumped)
-        for b in batches:
-            for i in range(b.num_rows):
-                s, q, d, n, k, x = (b.column(j)[i].as_py() for j in range(6))
-                data = pack(np.frombuffer(d, "<i8"), np.frombuffer(n, np.uint8), np.frombuffer(k, "<u8"), np.frombuffer(x, dtype).astype(np.int64), own)
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([q], pa.int32()), pa.array([len(x) // dtype.itemsize], pa.int64()), pa.array([data], pa.binary())], ["shard", "seq", "n", "data"])
 
-    packed = blocks.mapInArrow(squeeze, "shard int, seq int, n long, data binary")
-    packed = packed.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "seq")
+        def packed() -> Iterator[tuple[int, int, int, bytes]]:
+            for b in batches:
+                for i in range(b.num_rows):
+                    s, q, d, n, k, x = (b.column(j)[i].as_py() for j in range(6))
+                    yield s, q, len(x) // dtype.itemsize, pack(np.frombuffer(d, "<i8"), np.frombuffer(n, np.uint8), np.frombuffer(k, "<u8"), np.frombuffer(x, dtype).astype(np.int64), own)
 
-    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((s, n, data) for b in batches for s, n, data in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True))
+        rows = packed()
         done: list[tuple[int, int]] = []
         row = next(rows, None)
         while row is not None:
-            shard, places, at, ids = row[0], [], 0, 0
+            shard, seq, places, at, ids = row[0], row[1], [], 0, 0
 
             def parts() -> Iterator[bytes]:
                 nonlocal row, at, ids
-                while row is not None and row[0] == shard:
-                    places.append((at, len(row[2]), ids, row[1]))
-                    at += len(row[2])
-                    ids += row[1]
-                    yield row[2]
+                while row is not None and row[:2] == (shard, seq + len(places)):
+                    places.append((at, len(row[3]), ids, row[2]))
+                    at += len(row[3])
+                    ids += row[2]
+                    yield row[3]
                     row = next(rows, None)
                 trailer = json.dumps({"blocks": places, "ids": ids, "width": dtype.itemsize}).encode()
                 yield trailer + struct.pack(TAIL, len(trailer), zlib.crc32(trailer), b"TOKS")
 
-            write_whole(f"{out}/shard-{shard:07d}.toks", parts())
+            write_whole(f"{out}/shard-{shard:08d}-{seq:08d}.toks", parts())
             done.append((shard, ids))
         yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in done], pa.int32()), pa.array([n for _, n in done], pa.int64())], ["shard", "ids"])
 
-    saved = packed.mapInArrow(save, "shard int, ids long")
-    saved.write.format("noop").mode("overwrite").save()
-    del packed, saved
+    blocks.mapInArrow(save, "shard int, ids long").write.format("noop").mode("overwrite").save()
     unstage(blocks)
     release(spark)
     return out
@@ -255,7 +326,8 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, out: str | None = None
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids (little-endian unsigned 32-bit), in file order by start.
 
-    Shards are listed by the driver; trailers and blocks are read by the executors, each block a row that may go anywhere."""
+    Files are listed by the driver, in the order of their names; trailers and blocks are read by the executors, each block a
+    row that may go anywhere."""
     at, path = open_fs(f"{folder}/table.freq")
     with at.open_input_stream(path) as f:
         dumped = f.read()
