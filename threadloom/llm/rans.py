@@ -53,10 +53,10 @@ class Table:
 
 
 def lanes_for(n: int) -> int:
-    return max(1, min(1024, n // 256))
+    return max(1, min(2048, n // 256))
 
 
-def encode(ids: np.ndarray, table: Table, every: int = 512) -> tuple[int, np.ndarray, list[tuple[int, np.ndarray]]]:
+def encode(ids: np.ndarray, table: Table, every: int = 256) -> tuple[int, np.ndarray, list[tuple[int, np.ndarray]]]:
     """(lanes, words, checkpoints). A checkpoint is (place in words, lane states) before a step; the first is the start."""
     n, lanes = len(ids), lanes_for(len(ids))
     steps = -(-n // lanes)
@@ -117,7 +117,7 @@ def decode(n: int, lanes: int, words: np.ndarray, table: Table, at: tuple[int, n
 HEAD = struct.Struct("<4sIQQIIQII")
 
 
-def pack(doc_ids: np.ndarray, nulls: np.ndarray, lengths: np.ndarray, ids: np.ndarray, table: Table, every: int = 512) -> bytes:
+def pack(doc_ids: np.ndarray, nulls: np.ndarray, lengths: np.ndarray, ids: np.ndarray, table: Table, every: int = 256) -> bytes:
     """A block: header, documents, checkpoints, words. It holds whole documents and checksums of both its sides."""
     lanes, words, marks = encode(ids, table, every)
     body = b"".join(

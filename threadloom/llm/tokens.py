@@ -24,9 +24,9 @@ from .files import names, open_fs, write_whole
 from .rans import Table, pack, unpack
 
 #: Ids of a block (a longer document makes a longer block), bytes of text a shard, and words that a worker's memo may hold.
-BLOCK_IDS, SHARD_BYTES, MEMO = 1 << 20, 512 << 20, 400_000
-#: Words encoded at once, bytes of text and texts taken at once, the longest text that is encoded again as a whole to compare.
-GROUP, SLICE_BYTES, SLICE_ROWS, COMPARED = 50, 8 << 20, 4096, 20_000
+BLOCK_IDS, SHARD_BYTES, MEMO = 1 << 20, 512 << 20, 350_000
+#: Words encoded at once and learnt at once, bytes of text and texts taken at once, the longest text that is encoded again as a whole to compare.
+GROUP, LEARNED, SLICE_BYTES, SLICE_ROWS, COMPARED = 50, 20_000, 6 << 20, 4096, 20_000
 TAIL = "<QI4s"
 #: ASCII marks that the tokenizer never joins to the letter or digit before them, and such letters and digits
 #: (not U+0130, whose lower case ends in a combining mark).
@@ -49,6 +49,11 @@ BY_WORD_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_
 BY_WORD_ADDED = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
 
 
+def _listed(strings: pa.Array) -> list[str]:
+    """The strings as a list, several times as fast as to_pylist()."""
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordIds:
     """Ids of whole texts. Of the one tokenizer configuration known to drop white space and to end each word (BY_WORD), a
     text's ids are those of its words, which are remembered; each slice encodes one whole text as well and compares. Any
@@ -81,7 +86,11 @@ class WordIds:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, keys: list[str]) -> None:
-        """Put the ids of new words in the memo."""
+        """Put the ids of new words in the memo; the library's encodings are large, so few are held at once."""
+        for i in range(0, len(keys), LEARNED):
+            self._learn_some(keys[i : i + LEARNED])
+
+    def _learn_some(self, keys: list[str]) -> None:
         letters = [k for k in keys if (k.isalpha() if k.isascii() else unicodedata.normalize("NFC", k).lower().isalpha())]
         if letters:
             ids = np.concatenate(self._encode([" ".join(letters[i : i + GROUP]) for i in range(0, len(letters), GROUP)]))
@@ -91,7 +100,7 @@ class WordIds:
                 self.memo.update(zip(letters, (data[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
             else:
                 self.memo.update(zip(letters, (x.tobytes() for x in self._encode(letters)), strict=True))
-        if rest := [k for k in keys if k not in self.memo]:
+        if rest := [k for k in keys if k not in self.memo]:  # words of other characters
             self.memo.update(zip(rest, (x.tobytes() for x in self._encode(rest)), strict=True))
 
     def _words(self, words: pa.Array) -> pa.Array:
@@ -99,23 +108,18 @@ class WordIds:
         core = pc.utf8_rtrim(words, characters=MARKS)
         key = pc.if_else(pc.match_substring_regex(core, JOINT), core, words)
         key = pc.if_else(pc.ascii_is_alpha(key), pc.ascii_lower(key), key).dictionary_encode()
-        keys = key.dictionary.to_pylist()
+        keys = _listed(key.dictionary)
         if len(self.memo) > MEMO:
             self.older, self.memo = self.memo, {}
-        new = []
-        for k in keys:
-            if k not in self.memo:
-                if (x := self.older.get(k)) is None:
-                    new.append(k)
-                else:
-                    self.memo[k] = x
-        if new:
-            self._learn(new)
+        memo, older = self.memo, self.older
+        if unseen := [k for k in keys if k not in memo]:
+            memo.update((k, older[k]) for k in unseen if k in older)
+            self._learn([k for k in unseen if k not in older])
         ids = pa.array(list(map(self.memo.__getitem__, keys)), pa.binary()).take(key.indices)
         cut = pc.subtract(pc.binary_length(words), pc.binary_length(key.dictionary).take(key.indices)).to_numpy()
         some = np.flatnonzero(cut)
         tails = np.full(len(words), "", object)
-        tails[some] = [w[-n:] for w, n in zip(words.take(pa.array(some)).to_pylist(), cut[some].tolist(), strict=True)]
+        tails[some] = [w[-n:] for w, n in zip(_listed(words.take(pa.array(some))), cut[some].tolist(), strict=True)]
         tail = pa.array(tails, pa.string()).dictionary_encode()
         for t in tail.dictionary.to_pylist():
             if t not in self.tails:
@@ -188,7 +192,7 @@ def plan_shards(docs: DataFrame, shards: int | None = None) -> Shards:
 
     Bounds are quantiles of ids, each id counted once for every average document that its text is as long as (so at most
     twice as many rows as documents are sketched)."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
+    d = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")), "sizes")
     r = d.agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.count_if(F.col("doc_id").isNull()).alias("nulls"), F.sum(F.when(F.col("doc_id").isNull(), F.col("size"))).alias("null_bytes")).first()
     total, n = r["bytes"] or 0, r["n"]
     if shards is None:
@@ -202,6 +206,7 @@ def plan_shards(docs: DataFrame, shards: int | None = None) -> Shards:
     mean = max(1, total // n)
     often = d.where("doc_id is not null").select("doc_id", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.col("size") / mean)).cast("int"))).alias("time"))
     bounds = often.approxQuantile("doc_id", [i / rest for i in range(1, rest)], 0.1 / rest)
+    unstage(d)
     return Shards(nulls, [int(b) for b in bounds])
 
 
@@ -217,6 +222,8 @@ def token_ids(docs: DataFrame, path: str, end_id: int, shards: Shards) -> DataFr
             for first, n in slices(pc.binary_length(b.column(2)).fill_null(0).to_numpy()):
                 ids = pc.binary_join_element_wise(words.slice(b.column(2).slice(first, n)), end, b"")
                 yield pa.RecordBatch.from_arrays([pa.array(shard[first : first + n]), b.column(0).slice(first, n), b.column(1).slice(first, n), ids], ["shard", "doc_id", "key", "ids"])
+                del ids
+                pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), "text").mapInArrow(run, "shard int, doc_id long, key long, ids binary")
 
@@ -363,11 +370,11 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                     f.seek(place)
                     doc_ids, nulls, lengths, ids = unpack(f.read(size), table)
                 ends = np.cumsum(lengths)
-                raw = ids.astype("<u4").tobytes()
-                each = [raw[4 * (z - n) : 4 * z] for z, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-                for i in range(0, len(each), 256):
-                    z = slice(i, i + 256)
-                    yield pa.RecordBatch.from_arrays([pa.array(doc_ids[z], mask=nulls[z]), pa.array(first + ends[z] - lengths[z]), pa.array(lengths[z]), pa.array(each[z], pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+                places = np.concatenate(([0], 4 * ends))
+                each = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(places), pa.py_buffer(ids.astype("<u4"))])
+                for i in range(0, len(each), 1024):
+                    z = slice(i, i + 1024)
+                    yield pa.RecordBatch.from_arrays([pa.array(doc_ids[z], mask=nulls[z]), pa.array(first + ends[z] - lengths[z]), pa.array(lengths[z]), each[z].cast(pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
