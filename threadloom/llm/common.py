@@ -68,6 +68,17 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id), F.col(text))
 
 
+def free(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be none of frame's columns, in any case."""
+    have = {c.lower() for c in frame.columns}
+    out = []
+    for n in names:
+        while n.lower() in have:
+            n = "_" + n
+        out.append(n)
+    return out
+
+
 def same_row(a: DataFrame, b: DataFrame, *keys: str) -> Column:
     """Null-safe equality on the keys."""
     out = F.lit(True)
@@ -80,19 +91,22 @@ def same_row(a: DataFrame, b: DataFrame, *keys: str) -> Column:
 BLOCK, SHARE = 20_000, 1000
 
 
-def hot_keys(rows: DataFrame, on: list[str], block: int = BLOCK) -> DataFrame | None:
+def hot_keys(rows: DataFrame, on: list[str], block: int, counts: DataFrame | None = None) -> DataFrame | None:
     """(on, blocks): the hot keys of rows and the blocks each is to be dealt in; none if there is no hot key. Counted with
-    map-side combination; there are fewer than SHARE, so the frame may be broadcast."""
-    counts = stage(rows.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > block), "counts")
+    map-side combination, unless counts (on, n) are given; there are fewer than SHARE, so the frame may be broadcast."""
+    counts = rows.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts
+    counts = stage(counts.where(F.col("n") > block), "counts")
+    if counts.isEmpty():
+        return None
     total = rows.count()
     hot = counts.where(F.col("n") > total / SHARE).select(*on, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     return None if hot.isEmpty() else hot
 
 
-def spread_join(many: DataFrame, few: DataFrame, on: list[str], deal: list[str], block: int = BLOCK) -> DataFrame:
+def spread_join(many: DataFrame, few: DataFrame, on: list[str], deal: list[str], block: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """The inner join of many with few, whose rows a key are few. Rows of hot keys of many are dealt over blocks by the hash
     of `deal`, and the rows of few for such a key are given to every block, so no key meets in one task."""
-    hot = hot_keys(many, on, block)
+    hot = hot_keys(many, on, block or BLOCK, counts)
     if hot is None:
         return many.join(few, on)
     dealt = many.join(F.broadcast(hot), on, "left").withColumn("_block", F.coalesce(F.pmod(F.xxhash64(*deal), F.col("blocks")).cast("int"), F.lit(0))).drop("blocks")

@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, release, row_key, stage, unstage
+from .common import ascii_lower, release, row_key, spread_join, stage, unstage
 
 #: What separates words: ASCII other than digits and letters (once A-Z are lower case).
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Most terms that are broadcast, some 10 MB: a checked bound.
+SMALL = 200_000
 #: Rarest terms of a window whose lists are intersected first.
 ANCHORS = 2
 
@@ -47,25 +49,35 @@ class Index:
         self.windows = stage(windows(benchmark, length), "windows")
         # tables of their own, so that their sizes are known where a join asks whether they are small
         self.vocabulary = stage(self.windows.select("term").distinct(), "vocabulary")
-        counted = self._positions(self.docs).join(self.vocabulary, "term").groupBy("term").agg(F.count("*").alias("total"))
+        words = self.vocabulary.count()
+        if words <= SMALL:
+            counted = self._positions(self.docs).join(F.broadcast(self.vocabulary), "term").groupBy("term").agg(F.count("*").alias("total"))
+        else:  # counted before they meet the vocabulary, so that no term meets in one task
+            counted = self._positions(self.docs).groupBy("term").agg(F.count("*").alias("total")).join(self.vocabulary, "term", "left_semi")
         # a window with a term that the corpus lacks occurs nowhere
         rare = self.windows.join(stage(counted, "counts"), "term", "left")
         by = Window.partitionBy("window").orderBy(F.col("total").asc_nulls_first(), "offset")
         rare = rare.select("window", "offset", "term", F.row_number().over(by).alias("rank"), F.count_if(F.col("total").isNull()).over(Window.partitionBy("window")).alias("absent"))
         self.anchors = stage(rare.where(f"rank <= {anchors} and absent = 0").select("window", "rank", "term", "offset"), "anchors")
         used = stage(self.anchors.select("term").distinct(), "used")
-        self.postings = stage(self._positions(self.docs).join(used, "term").select("term", "doc_id", "key", "pos"), "postings")
+        self.postings = stage(self._of_terms(self.docs, used).select("term", "doc_id", "key", "pos"), "postings")
         release(docs.sparkSession)
 
     @staticmethod
     def _positions(docs: DataFrame) -> DataFrame:
         return docs.select("doc_id", "key", F.posexplode(tokens(F.col("text"))).alias("pos", "term"))
 
+    def _of_terms(self, docs: DataFrame, terms: DataFrame) -> DataFrame:
+        """Positions in docs of the terms of a staged table: broadcast where there are few, else hot terms are dealt out."""
+        if terms.count() <= SMALL:
+            return self._positions(docs).join(F.broadcast(terms), "term")
+        return spread_join(self._positions(docs), terms, ["term"], ["key", "pos"])
+
     def _all_postings(self, candidates: DataFrame) -> DataFrame:
         """Postings of every term of the benchmark in the candidates' documents."""
         at = candidates.select("doc_id", "key").distinct()
         docs = self.docs.join(at, (self.docs["key"] == at["key"]) & self.docs["doc_id"].eqNullSafe(at["doc_id"]), "left_semi")
-        return self._positions(docs).join(self.vocabulary, "term").select("doc_id", "key", "pos", "term").distinct()
+        return self._of_terms(docs, self.vocabulary).select("doc_id", "key", "pos", "term").distinct()
 
     def phrases(self) -> DataFrame:
         """(doc_id, key, window, item_id, n, start): every exact occurrence of a window, start being its first position."""
@@ -82,7 +94,11 @@ class Index:
 
     def near(self, span: int = 20) -> DataFrame:
         """(doc_id, key, window, item_id, start, end): places where all terms of a window (as often as it has them) lie
-        within `span` words of the rarest one, in any order; start and end bound the terms met."""
+        within `span` words of the rarest one, in any order; start and end bound the terms met.
+
+        Null and empty texts and items have no terms; an empty table gives no row. A term that stands oftener than the window
+        has it counts once; of several places of the rarest term each is a row of its own (ties included). Very long texts are
+        postings like any other, and rows equal in doc_id and text are one document. Other columns are ignored."""
         anchor = self._shifted(1, shift=False).distinct().withColumnRenamed("start", "at")
         have = self._all_postings(anchor).withColumnsRenamed({"doc_id": "_doc_id", "key": "_key"})
         needed = self.windows.groupBy("window", "item_id", "term").agg(F.count("*").alias("times"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import row_key, running_total, stage
+from .common import free, row_key, running_total, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hex digits of the shuffle key that make a bucket: each source's queue is summed in 16**3 pieces.
@@ -75,13 +75,17 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
 
 
 def mixed_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """docs with each row as often as the plan takes it (not at all for 0 copies); the columns of docs."""
-    per = plan.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_plan")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    keyed = docs.withColumn("_key", row_key())
-    both = keyed.join(per, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_plan")))
-    again = both.where("_rows > 1").dropDuplicates(["doc_id", "_key"])
-    both = both.where("_rows = 1").unionByName(again).where("_copies > 0")
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    """docs with each row as often as the plan takes it (not at all for 0 copies); the columns of docs, whatever their names.
+
+    Rows equal in doc_id and text share their copies, and one of them stands for all. Null ids and texts are rows like any
+    other; an empty table gives none."""
+    own, doc, planned, copies, rows, copy = free(docs, "_key", "_id", "_plan", "_copies", "_rows", "_copy")
+    per = plan.groupBy(F.col("doc_id").alias(doc), F.col("key").alias(planned)).agg(F.sum("copies").alias(copies), F.count("*").alias(rows))
+    keyed = docs.withColumn(own, row_key())
+    both = keyed.join(per, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(planned)))
+    again = both.where(F.col(rows) > 1).dropDuplicates(["doc_id", own])
+    both = both.where(F.col(rows) == 1).unionByName(again).where(F.col(copies) > 0)
+    return both.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*docs.columns)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

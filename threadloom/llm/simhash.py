@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, row_key, stage, unstage
+from .common import free, release, row_key, spread_join, stage, unstage
 
 #: Rows of one variant key that one task compares; larger buckets are dealt out in pairs of blocks.
 BLOCK = 4096
@@ -145,6 +145,8 @@ def near_links(fps: DataFrame, k: int = 4) -> DataFrame:
 
     Within a bucket of over SMALL fingerprints only a spanning forest of its links is kept; buckets of over BLOCK are cut
     into blocks by hash and each pair of blocks is a task's work of its own, so no bucket meets in one task."""
+    conf = fps.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    fps = fps.repartition(max(int(conf), fps.sparkSession.sparkContext.defaultParallelism), "fp")  # each row becomes 64
     keyed = fps.select("fp", F.explode(variants(F.col("fp"), k)).alias("key"))
     hot = keyed.groupBy("key").count().where(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     keyed = keyed.join(hot, "key", "left")
@@ -197,31 +199,36 @@ def simhash_groups(docs: DataFrame, words: int = 4, k: int = 4) -> DataFrame:
     included) for every row of docs.
 
     Null and empty texts have fingerprint 0 and are linked like any other; texts shorter than a shingle are one shingle.
-    Rows equal in fingerprint are one node, so groups of exact copies cost one row. Null ids take part and never are the
+    Rows equal in fingerprint are one node, so groups of exact copies cost one row, and large ones are dealt over tasks where
+    rows meet their group. Null ids take part and never are the
     smallest (a group of null ids alone has component_id null). Repeated rows stay; other columns are ignored."""
     spark = docs.sparkSession
     prints = stage(fingerprints(docs, words), "prints")
-    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")), "nodes")
     links = stage(near_links(nodes.select("fp"), k), "links")
     release(spark)
     roots = components(links)
-    nodes = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    nodes = stage(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", "rows", F.coalesce("root", "fp").alias("root")), "rooted")
     smallest = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = nodes.join(smallest, "root").select("fp", F.col("root").alias("group"), "component_id")
-    return prints.join(member, "fp").select("doc_id", "key", "fp", "group", "component_id")
+    member = spread_join(nodes, smallest, ["root"], ["fp"]).select("fp", F.col("root").alias("group"), "component_id")
+    out = spread_join(prints, member, ["fp"], ["doc_id", "key"], counts=nodes.select("fp", F.col("rows").alias("n")))
+    return out.select("doc_id", "key", "fp", "group", "component_id")
 
 
 def one_of_each_group(docs: DataFrame, words: int = 4, k: int = 4) -> DataFrame:
-    """docs with one row of each group of near copies: the smallest doc_id, null last, then the smallest text digest."""
+    """docs with one row of each group of near copies: the smallest doc_id, null last, then the smallest text digest; rows
+    equal in both are one. Texts without words are one group. The columns of docs, whatever their names; an empty table
+    gives none."""
     groups = simhash_groups(docs, words, k)
     first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("m"))
     same = groups.groupBy("doc_id", "key").agg(F.count("*").alias("rows"))
-    first = first.select(F.col("m.doc_id").alias("_id"), F.col("m.key").alias("_key"))
-    first = stage(first.join(same, (first["_key"] == same["key"]) & first["_id"].eqNullSafe(same["doc_id"])).select("_id", "_key", (F.col("rows") > 1).alias("_again")), "firsts")
-    keyed = docs.withColumn("_own", row_key())
-    kept = keyed.join(first, (F.col("_own") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = kept.where("_again").dropDuplicates(["doc_id", "_own"])
-    return kept.where("not _again").unionByName(once).select(*docs.columns)
+    own, doc, key, again = free(docs, "_own", "_id", "_key", "_again")
+    first = first.select(F.col("m.doc_id").alias(doc), F.col("m.key").alias(key))
+    first = stage(first.join(same, (first[key] == same["key"]) & first[doc].eqNullSafe(same["doc_id"])).select(doc, key, (F.col("rows") > 1).alias(again)), "firsts")
+    keyed = docs.withColumn(own, row_key())
+    kept = keyed.join(first, (F.col(own) == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(doc)))
+    once = kept.where(again).dropDuplicates(["doc_id", own])
+    return kept.where(~F.col(again)).unionByName(once).select(*docs.columns)
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, row_key, stage, unstage
+from .common import release, row_key, spread_join, stage, unstage
 
 #: Base of the rolling hash (odd, so invertible modulo 2**64).
 BASE = 0x9E3779B97F4A7C15
@@ -158,15 +158,16 @@ def repeated_spans(docs: DataFrame, length: int = 35, seed: int = 9) -> DataFram
     level2 = stage(_extended(texts.join(alive, "key").select("doc_id", "key", "text", "ats"), length, seed), "level2")
     release(spark)
     groups = level2.groupBy("twice").agg(F.count("*").alias("n"), F.min("whole").alias("lo"), F.max("whole").alias("hi")).where("n > 1")
-    groups = stage(groups.select("twice", (F.col("lo") == F.col("hi")).alias("alike")), "groups")
-    alike = level2.drop("windows", "whole").join(groups.where("alike"), "twice").select("doc_id", "key", "a", "z")
-    mixed = level2.drop("whole").join(groups.where("not alike"), "twice")
+    groups = stage(groups.select("twice", "n", (F.col("lo") == F.col("hi")).alias("alike")), "groups")
+    repeated = lambda rows, of: spread_join(rows, of.select("twice"), ["twice"], ["key", "a"], counts=of.select("twice", "n"))
+    alike = repeated(level2.drop("windows", "whole"), groups.where("alike")).select("doc_id", "key", "a", "z")
+    mixed = repeated(level2.drop("whole"), groups.where("not alike"))
     single = stage(mixed.select("twice", "doc_id", "key", "a", F.posexplode("windows").alias("i", "hash")).withColumn("a", F.col("a") + F.col("i")).drop("i"), "single")
-    again = single.groupBy("twice", "hash").count().where("count > 1").select("twice", "hash")
-    single_again = single.join(again, ["twice", "hash"], "left_semi").select("doc_id", "key", "a", F.col("a").alias("z"))
+    again = stage(single.groupBy("twice", "hash").agg(F.count("*").alias("n")).where("n > 1"), "again")
+    single_again = spread_join(single, again.drop("n"), ["twice", "hash"], ["key", "a"], counts=again).select("doc_id", "key", "a", F.col("a").alias("z"))
     spans = alike.unionByName(single_again).groupBy("doc_id", "key").agg(F.collect_set(F.struct("a", "z")).alias("spans"))
     out = stage(spans, "spans")
-    unstage(alive, level2, groups, single)
+    unstage(alive, level2, groups, single, again)
     release(spark)
     return out
 
@@ -175,7 +176,9 @@ def substring_dedup(docs: DataFrame, length: int = 35, seed: int = 9) -> DataFra
     """doc_id, n_words, n_removed, kept (the words left, joined by one space), removed (spans [first, last word]).
 
     Words are runs of anything but ASCII white space, unchanged. Null and empty texts have no words; texts of fewer than
-    `length` words keep all. Repeated rows are documents of their own, so their windows repeat. Null ids take part."""
+    `length` words keep all. Repeated rows are documents of their own, so their windows repeat. Null ids take part. Very
+    long texts are taken whole, in chunks of whole documents. Other columns are ignored, whatever their names; an empty
+    table gives no row. A passage that a third of all documents share is dealt over tasks."""
     spans = repeated_spans(docs, length, seed)
     texts = docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("binary").alias("text"))
     joined = texts.join(spans, (texts["key"] == spans["key"]) & texts["doc_id"].eqNullSafe(spans["doc_id"]), "left")

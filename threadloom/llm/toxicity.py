@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import free
+
 #: ASCII punctuation taken off the ends of words.
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 MEMO = 1 << 19
@@ -86,14 +88,17 @@ class FTRL:
         self.n[at] = new
 
 
-def train(labelled: DataFrame, max_rows: int = 30_000, epochs: int = 4, bits: int = 20) -> tuple[np.ndarray, np.ndarray]:
-    """(slots, weights) that aren't zero, of a learner fitted on about max_rows of the rows (text, label, row).
+def train(labelled: DataFrame, max_rows: int = 30_000, max_bytes: int = 256 << 20, epochs: int = 4, bits: int = 20) -> tuple[np.ndarray, np.ndarray]:
+    """(slots, weights) that aren't zero, of a learner fitted on about max_rows of the rows (text, label, row), and on no more
+    than about max_bytes of text: what one task holds is some eight times as much.
 
-    The sample is drawn by hash of `row`, so it is the same at every run, and is taken in the order of that hash. Rows
-    without a label are left out. Fewer than two rows give no weights: every score is then one half."""
+    The sample is drawn by hash of `row`, so it is the same at every run, and is taken in the order of that hash, ties by
+    label and by the text's digest. Rows without a label are left out. Fewer than two rows give no weights: every score is
+    then one half."""
     rows = labelled.where("label is not null and row is not null")
-    total = rows.count()
+    total, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     share = 1.0 if total <= max_rows else (max_rows - 3 * math.sqrt(max_rows)) / total
+    share = min(share, max_bytes / size) if size else share
     drawn = rows.withColumn("order", F.xxhash64("row", F.lit("sample"))).where(F.pmod("order", F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,12 +107,12 @@ def train(labelled: DataFrame, max_rows: int = 30_000, epochs: int = 4, bits: in
             for first, n, doc, slot in features(b.column(0).to_pylist(), bits, memo):
                 by = np.argsort(doc, kind="stable")
                 sets = [np.unique(x) for x in np.split(slot[by], np.cumsum(np.bincount(doc, minlength=n))[:-1])]
-                yield pa.RecordBatch.from_arrays([b.column(1).slice(first, n), b.column(2).slice(first, n), pa.array(sets, pa.list_(pa.int32()))], ["label", "order", "slots"])
+                yield pa.RecordBatch.from_arrays([b.column(1).slice(first, n), b.column(2).slice(first, n), b.column(3).slice(first, n), pa.array(sets, pa.list_(pa.int32()))], ["label", "order", "digest", "slots"])
 
-    sets = drawn.select(F.col("text").cast("binary"), F.col("label").cast("int"), "order").mapInArrow(hashed, "label int, order long, slots array<int>")
+    sets = drawn.select(F.col("text").cast("binary"), F.col("label").cast("int"), "order", F.xxhash64("text").alias("digest")).mapInArrow(hashed, "label int, order long, digest long, slots array<int>")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(label, slots.values.to_numpy()) for b in batches for label, slots in zip(b.column(0).to_pylist(), b.column(2), strict=True)]
+        held = [(label, slots.values.to_numpy()) for b in batches for label, slots in zip(b.column(0).to_pylist(), b.column(3), strict=True)]
         model = FTRL(bits)
         for _ in range(epochs):
             for label, slots in held:
@@ -116,8 +121,8 @@ def train(labelled: DataFrame, max_rows: int = 30_000, epochs: int = 4, bits: in
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["slot", "weight"])
 
-    # one task by design: it holds the sample's slots, about 10 kB a row
-    fitted = sets.repartition(1).sortWithinPartitions("order").mapInArrow(fit, "slot long, weight double").toPandas()
+    # one task by design: it holds the sample's slots, bounded by max_rows and max_bytes
+    fitted = sets.repartition(1).sortWithinPartitions("order", "label", "digest").mapInArrow(fit, "slot long, weight double").toPandas()
     return fitted["slot"].to_numpy(), fitted["weight"].to_numpy()
 
 
@@ -126,7 +131,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = 20,
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c not in ("text", "score")]
-    held = docs.select(*names, F.col("text").cast("binary").alias("_text"))
+    own = free(docs, "_text")[0]
+    held = docs.select(*names, F.col("text").cast("binary").alias(own))
     schema = StructType([*(held if keep_text else held.select(*names)).schema.fields, StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +150,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = 20,
             yield pa.RecordBatch.from_arrays([*kept, pa.array(1.0 / (1.0 + np.exp(-np.clip(out, -35, 35))))], schema.fieldNames())
 
     out = held.mapInArrow(run, schema)
-    return out.select(*[F.col("_text").cast("string").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != "score"], "score") if keep_text else out
+    return out.select(*[F.col(own).cast("string").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != "score"], "score") if keep_text else out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -156,8 +162,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, thresho
     """docs (without text, unless kept) with held_out, score and predicted.
 
     Labels are learnt from rows that aren't held out, by text alone. Null and empty texts are scored too. A document with
-    several labels is as many examples; unlabelled and null-labelled ones are none; with no examples every score is one
-    half. Repeated rows stay."""
+    several labels is as many examples, always in the same order; unlabelled and null-labelled ones are none; with no
+    examples every score is one half. Repeated rows stay and score alike, an empty table gives no row. Very long texts are
+    scored whole, a presence counting once. Other columns stay, whatever their names; score, held_out and predicted are
+    replaced."""
     marked = docs.select("doc_id", "text").join(labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label")), F.col("doc_id") == F.col("_id"))
     known = marked.where(~held_out(F.col("doc_id"))).select("text", "label", F.col("doc_id").alias("row"))
     out = score(docs, train(known, max_rows), keep_text=keep_text)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, free
 
 #: Fixed values: (verdict, host, path) of the contract's rules.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -30,7 +30,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
 
     A rule fits its host and all subdomains where the url's path starts with the rule's. The longest rule wins, of equal
     ones that with the longer host, then block before allow. No rule: `default`. A null url or one without "://" has an
-    empty host and path and no rule. Repeated rows keep their number; columns of the same names are replaced.
+    empty host and path and no rule. Repeated rows keep their number; columns of the same names are replaced, others may have any name.
     Empty rules or pages give no rule or no row. Only expressions that some rule's shape allows are made (its number of
     labels, its path length), so very long hosts and paths stay linear."""
     rules = rules.where("host is not null and path is not null and verdict is not null").select("verdict", ascii_lower(F.col("host")).alias("host"), "path").distinct()
@@ -49,10 +49,13 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     asked = asked.select("_url", digest.alias("digest"), F.substring(digest, 1, prefix_digits).alias("prefix"))
     found = asked.join(r, "prefix").where(F.col("digest") == F.col("rule_digest"))
     rank = F.struct(F.length("rule"), "host_length", (F.col("verdict") == "block").cast("int"))
-    best = found.groupBy("_url").agg(F.max_by(F.struct("rule", "verdict"), rank).alias("_best"))
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    out = pages.join(best, pages[url] == best["_url"], "left")
-    return out.select(*[pages[c] for c in own], host_of(pages[url]).alias("host"), path_of(pages[url]).alias("path"), F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+    key, decided = free(pages, "_url", "_best")
+    best = found.groupBy(F.col("_url").alias(key)).agg(F.max_by(F.struct("rule", "verdict"), rank).alias(decided))
+    out = pages.where(F.col(url).isNotNull()).join(best, F.col(url) == F.col(key), "left")
+    nothing = F.lit(None).cast("struct<rule: string, verdict: string>").alias(decided)
+    out = out.select(*pages.columns, decided).unionByName(pages.where(F.col(url).isNull()).select(*pages.columns, nothing))  # null urls meet no rule, and no other row
+    return out.select(*own, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), F.col(decided)["rule"].alias("rule"), F.coalesce(F.col(decided)["verdict"], F.lit(default)).alias("verdict"))
 
 
 def contract_rules(spark: SparkSession) -> DataFrame:

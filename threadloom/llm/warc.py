@@ -1,14 +1,16 @@
 """WARC as a PySpark Python data source: planned file ranges, pushed-down header predicates, payloads decoded on demand.
 
 Archives hold one gzip member a record, with the "sl" (skip lengths) extra field, so a record that a predicate refuses is
-passed over by seeking once its header block is read. Beside each archive lies a list of record offsets, by which the
-planner cuts large files into ranges; archives without it are read whole, and members without "sl" are read through.
+passed over by seeking once its header block is read. Each write job leaves a manifest of its archives and of record
+offsets in them, by which the planner cuts large files into ranges; archives of a folder without manifests are read whole,
+and members without "sl" are read through.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import json
 import struct
 import uuid
@@ -31,7 +33,7 @@ HEADERS = {
     "payload_digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To", "content_type": "Content-Type",
 }
 SCHEMA = ", ".join(f"{c} string" for c in HEADERS) + ", payload_length long, headers map<string,string>, payload binary"
-#: Distance of the offsets beside an archive, bytes read at a time, records and payload bytes of a batch.
+#: Distance of the offsets in a manifest, bytes read at a time, records and payload bytes of a batch.
 RANGE, READ, RECORDS, BATCH_BYTES = 8 << 20, 1 << 16, 512, 16 << 20
 GZIP = "<4sIBBH2sHII"
 
@@ -98,15 +100,17 @@ class WarcReader(DataSourceReader):
         return True
 
     def partitions(self) -> list[InputPartition]:
+        """Ranges of the archives that the folder's manifests name, one small file a write job; archives of a folder
+        without manifests are read whole."""
         out = []
-        lists = {uri for uri, _ in files.names(self.path, ".offsets")}
-        for uri, size in files.names(self.path, ".warc.gz"):
-            starts = [0]
-            if f"{uri}.offsets" in lists:
-                fs, path = files.open_fs(f"{uri}.offsets")
-                with fs.open_input_stream(path) as f:
-                    starts = json.loads(f.read()) or [0]
-            out += [Range(uri, a, z) for a, z in zip(starts, [*starts[1:], size], strict=True)]
+        for manifest, _ in files.names(self.path, ".manifest"):
+            fs, path = files.open_fs(manifest)
+            with fs.open_input_stream(path) as f:
+                written = json.loads(f.read())
+            for name, size, starts in written:
+                out += [Range(f"{self.path.rstrip('/')}/{name}", a, z) for a, z in zip(starts, [*starts[1:], size], strict=True)]
+        if not out:
+            out = [Range(uri, 0, size) for uri, size in files.names(self.path, ".warc.gz")]
         return out or [Range("", 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
@@ -203,26 +207,32 @@ class WarcWriter(DataSourceArrowWriter):
                         at += len(data)
                         yield data
 
-        files.write_whole(f"{name}.part", members())
-        return Written(name, offsets)
+        first = next(batches, None)
+        while first is not None and not first.num_rows:
+            first = next(batches, None)
+        if first is None:
+            return Written("", 0, [])
+        batches = itertools.chain([first], batches)
+        size = files.write_whole(name, members())
+        return Written(name.rpartition("/")[2], size, offsets)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        for m in messages:
-            if m is not None and m.offsets:
-                fs, path = files.open_fs(m.name)
-                files.write_whole(f"{m.name}.offsets", [json.dumps(m.offsets).encode()])
-                fs.move(f"{path}.part", path)
+        """One manifest, written whole, makes all archives of the job visible at once. What a lost or repeated task has left
+        is in no manifest, and so is no part of the archive."""
+        written = [(m.name, m.size, m.offsets) for m in messages if m is not None and m.name]
+        files.write_whole(f"{self.path}/{uuid.uuid4().hex}.manifest", [json.dumps(written).encode()])
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Without a manifest nothing is visible; the archives that did get written are deleted."""
         for m in messages:
-            if m is not None:
-                fs, path = files.open_fs(f"{m.name}.part")
+            if m is not None and m.name:
+                fs, path = files.open_fs(f"{self.path}/{m.name}")
                 fs.delete_file(path)
 
 
 class Written(WriterCommitMessage):
-    def __init__(self, name: str, offsets: list[int]):
-        self.name, self.offsets = name, offsets
+    def __init__(self, name: str, size: int, offsets: list[int]):
+        self.name, self.size, self.offsets = name, size, offsets
 
 
 class WarcSource(DataSource):
@@ -255,12 +265,14 @@ def write_pages(pages: DataFrame, path: str, least: int = 0, date: str = "1970-0
     is the response, the others revisit it; smaller payloads are all responses.
 
     Null html is an empty payload, a null url no target. A repeated row of the smallest id is a response as well. A row of
-    null id comes after all others of its payload. Each payload is shuffled once; a hot digest is split by the join."""
+    null id comes after all others of its payload. A payload is shuffled once at most; a hot digest is split by the join.
+    Very long payloads are records like any other (a row is held whole). Other columns are ignored; an empty table gives an
+    empty archive."""
     register(pages.sparkSession)
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     p = p.withColumn("hex", F.sha1("payload"))
-    first = p.groupBy("hex").agg(F.min("page_id").alias("first"))
-    p = p.join(first, "hex")
+    first = p.groupBy("hex").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    p = p.join(first, "hex", "left")  # few payloads come twice: where their digests are small, no payload is shuffled
     again = (F.octet_length("payload") >= least) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.concat(F.lit("none-"), F.col("hex"))), F.lit(">"))
 
