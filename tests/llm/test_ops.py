@@ -339,9 +339,9 @@ def test_substring_edges(spark, docs, none):
         substring.substring_dedup(docs, 100, 9)
 
 
-def plain_fingerprint(text):
+def plain_fingerprint(text, words=4):
     w = (text or "").encode().lower().split()
-    hs = [xxhash.xxh64_intdigest(b" ".join(w[i : i + 4]), 42) for i in range(max(1, len(w) - 3))] if w else []
+    hs = [xxhash.xxh64_intdigest(b" ".join(w[i : i + words]), 42) for i in range(max(1, len(w) - words + 1))] if w else []
     return sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hs) > len(hs))
 
 

@@ -31,7 +31,7 @@ def test_stages(spark, sf, tmp_path):
     rows = {n: [(r["doc_id"], r["text"]) for r in f.collect()] for n, f in list(kept.items())[:-1]}
     first = sorted(rows["toxicity"])
     ids, texts = zip(*first, strict=True)
-    groups = plain_groups(ids, [plain_fingerprint(t) for t in texts])
+    groups = plain_groups(ids, [plain_fingerprint(t, 5) for t in texts], p.RADIUS)
     alone = [(i, t) for (i, t), g in zip(first, groups, strict=True) if i == g]
     assert sorted(rows["near copies"]) == alone
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
