@@ -157,10 +157,10 @@ def repeated_spans(docs: DataFrame, length: int = 35, seed: int = 9) -> DataFram
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("binary").alias("text"))
     seeds = stage(_seeds(texts, length, seed), "seeds")
-    repeats = seeds.groupBy("hash").count().where("count > 1").select("hash")
-    alive = seeds.join(repeats, "hash", "left_semi").select("key", "at").distinct()
+    repeats = stage(seeds.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "repeats")
+    alive = spread_join(seeds, repeats.select("hash"), ["hash"], ["key", "at"], counts=repeats).select("key", "at").distinct()
     alive = stage(alive.groupBy("key").agg(F.collect_list("at").alias("ats")), "alive")
-    unstage(seeds)
+    unstage(seeds, repeats)
     release(spark)
     level2 = stage(_extended(texts.join(alive, "key").select("doc_id", "key", "text", "ats"), length, seed), "level2")
     release(spark)
