@@ -166,11 +166,88 @@ def test_text_functions(spark):
     assert spark.createDataFrame([(code,)], "t string").select(text.shrink_code("t", F.lit(4))).first()[0] == "```\n0\n1\n... 8 lines ...\n10\n11\n```"
 
 
+def plain_sample(lengths, most):
+    """Places and stride of the turns that stay, by trying each stride in turn."""
+    joined = lambda x: sum(x) + 2 * max(0, len(x) - 1)
+    n = len(lengths)
+    if joined(lengths) <= most:
+        return list(range(n)), 1
+    side = max(1, n // 10)
+    tail = list(range(max(0, n - side), n)) if n > side else []
+    middle = list(range(side, n - side)) if n > 2 * side else []
+    room = most - joined(lengths[:side]) - joined([lengths[i] for i in tail]) - 200
+    if middle and room > 0:
+        for stride in range(1, max(2, len(middle) // 4 + 1) + 1):
+            if joined([lengths[i] for i in middle[::stride]]) <= room:
+                return [*range(side), *middle[::stride], *tail], stride
+    return [*range(side), *tail], None
+
+
 def test_sample_turns(spark):
-    t = spark.createDataFrame([("s", i, "x" * 10) for i in range(100)], "session_id string, index int, text string")
-    got = text.sample_turns(t, 590).collect()
-    assert {r["stride"] for r in got} == {3} and {0, 9, 90, 99} <= {r["index"] for r in got} and 10 * len(got) <= 590
-    assert text.sample_turns(t).count() == 100
+    import random
+
+    rng = random.Random(7)
+    sessions = {f"s{k}": [rng.randrange(1, 40) for _ in range(rng.choice([1, 2, 3, 7, 19, 20, 35, 100, 240]))] for k in range(60)}
+    t = spark.createDataFrame([(s, 3 * i, "x" * n) for s, v in sessions.items() for i, n in enumerate(v)], "session_id string, index int, text string")
+    strides = set()
+    for most in (150, 700, 1000, 2500):
+        got = text.sample_turns(t, most).collect()
+        for s, v in sessions.items():
+            own = [r for r in got if r["session_id"] == s]
+            places, stride = plain_sample(v, most)
+            assert sorted(r["index"] // 3 for r in own) == places and {r["stride"] for r in own} == {stride}
+            strides.add(stride)
+    assert {None, 1, 2, 3, 5} < strides
+    assert text.sample_turns(t).count() == t.count() and text.sample_turns(t.limit(0)).count() == 0
+
+
+def plain_merge(moves):
+    """One scan over all moves (move, owner, level, occurrences), most frequent first."""
+    import os
+    import re
+
+    norm = lambda t: re.sub("[^a-z0-9]+", " ", t.lower()).strip()
+    kept = []
+    for m in sorted(moves, key=lambda m: (-m[3], m[0], m[1], m[2])):
+        a = norm(m[0])
+        for k in kept:
+            b = norm(k[0])
+            if a and (a in b or b in a) and min(len(a), len(b)) >= 20 or len(os.path.commonprefix([a, b])) >= 40:
+                k[3] += m[3]
+                k[4] += 1
+                k[0] = m[0] if len(m[0]) > len(k[0]) else k[0]
+                break
+        else:
+            kept.append([*m, 1])
+    return sorted(map(tuple, kept))
+
+
+def test_merge_moves_against_one_scan(spark):
+    import random
+
+    rng = random.Random(11)
+    words = "always check the tests before you write more code and keep every change small".split()
+    moves = {("Ship it", "u", "gen"), ("ship it!", "u", "gen"), ("!!", "u", "gen"), ("??", "u", "gen"), ("", "u", "gen"), ("foo-bar is not foobar at all", "u", "gen"), ("foobar is not foobar at all", "u", "gen")}
+    for _ in range(250):
+        at = rng.randrange(len(words))
+        moves.add((" ".join(words[at : at + rng.randrange(2, 9)]) + rng.choice(["", "!", " now", ", " + rng.choice(words)]), rng.choice("ua"), "gen"))
+    rows = [(*m, rng.randrange(1, 6)) for m in sorted(moves)]
+    got = dedup.merge_moves(spark.createDataFrame(rows, "move string, owner string, level string, occurrences long").repartition(4)).collect()
+    assert sorted(tuple(r) for r in got) == plain_merge(rows) and len(got) < len(rows)
+
+
+def test_canonical_objects(spark):
+    d = spark.createDataFrame([(1, "AcmeTool-MCP", ["Foo-core-v2", "bar", "Foo"]), (2, "x", []), (3, None, None)], "seq long, target_id string, related_entities array<string>")
+    aliases = spark.createDataFrame([("bar", "baz")], "alias string, canonical string")
+    got = {r["seq"]: (r["target_id"], r["mentioned_as"], r["related_entities"]) for r in slugs.canonical_objects(d, aliases).collect()}
+    assert got == {1: ("acmetool", "AcmeTool-MCP", ["foo", "baz", "foo"]), 2: ("x", None, []), 3: (None, None, None)}
+
+
+def test_decisions_about_a_target(spark):
+    e = log(spark, [("a", 0, "reference", "positive", "s1"), ("b", 1, "reference", "positive", "s1")])
+    d = spark.createDataFrame([(1, "s1", "use it", "a", "it is fast", []), (2, "s1", "drop it", "c", "", ["b"])], "seq long, session_id string, proposition string, target_id string, why string, related_entities array<string>")
+    got = {(r["target_id"], r["line"]) for r in vault.decisions_of(e, d).collect()}
+    assert got == {("a", "use it _(why: it is fast)_"), ("b", "drop it")}
 
 
 def test_pages(spark):

@@ -22,7 +22,7 @@ def frames(spark, args) -> dict[str, DataFrame]:
     docs = extractions.scan(spark, args.sessions, args.providers)
     aliases = slugs.load_aliases(spark, args.aliases) if args.aliases else None
     events = slugs.canonical_events(extractions.mention_events(docs), aliases).cache()
-    return {"docs": docs, "events": events, "decisions": extractions.decisions(docs)}
+    return {"docs": docs, "events": events, "decisions": slugs.canonical_objects(extractions.decisions(docs), aliases)}
 
 
 def whole_profile(f: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 
 #: Endings that say nothing about the name, and the form of a trailing version.
 FILLERS = ["-bridge", "-core", "-mcp", "-service", "-svc", "-daemon", "-server"]
-VERSION = r"[-_ ]v?\d+(?:[._-]\d+)*$"
-ROUNDS = 8
+VERSION = r"[-_ ]v?\d+(?:[._-]\d+)*"
 
 
 def normalise(name: Column, fillers: list[str] = FILLERS) -> Column:
     """Trimmed, lower case, blanks as hyphens; trailing versions and fillers go while two characters stay before them, then
-    the word "the", doubled separators and separators at the ends. Stable after as many rounds as a name has endings."""
+    the word "the", doubled separators and separators at the ends. One pattern takes all endings of a name, however many."""
     s = F.regexp_replace(F.lower(F.trim(name)), r"(?U)\s+", "-")
-    endings = r"(?<=..)(?:" + "|".join(fillers) + ")$"
-    s = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), s, lambda a, _: F.regexp_replace(F.regexp_replace(a, VERSION, ""), endings, ""))
+    s = F.regexp_replace(s, rf"(?:{VERSION}|(?<=..)(?:{'|'.join(fillers)}))++$", "")
     s = F.regexp_replace(s, r"(^|[-_ ])the([-_ ]|$)", "$1$2")
     s = F.regexp_replace(s, r"[-_]{2,}", "-")
     return F.regexp_replace(s, r"^[-_]+|[-_]+$", "")
@@ -51,3 +49,15 @@ def canonical_events(events: DataFrame, aliases: DataFrame | None = None) -> Dat
     x = canonical(events, "target_id", aliases, "_new")
     kept = F.coalesce("mentioned_as", F.when(F.col("_new") != F.col("target_id"), F.col("target_id"))) if "mentioned_as" in events.columns else F.when(F.col("_new") != F.col("target_id"), F.col("target_id"))
     return x.withColumn("mentioned_as", kept).withColumn("target_id", F.coalesce("_new", "target_id")).drop("_new")
+
+
+def canonical_objects(frame: DataFrame, aliases: DataFrame | None = None, key: str = "seq") -> DataFrame:
+    """Decisions, artifacts or open items of sessions with target_id and related_entities made canonical, where they have
+    them; the name as written goes to mentioned_as where it changes. Lists keep their order. `key` tells rows apart."""
+    x = canonical_events(frame, aliases) if "target_id" in frame.columns else frame
+    if "related_entities" not in frame.columns:
+        return x
+    each = canonical(frame.select(F.col(key).alias("_key"), F.posexplode("related_entities").alias("_pos", "_name")), "_name", aliases, "_new")
+    lists = each.groupBy("_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("_new", "_name").alias("n")))), lambda e: e["n"]).alias("_list"))
+    x = x.join(lists, F.col(key) == F.col("_key"), "left")
+    return x.withColumn("related_entities", F.coalesce("_list", "related_entities")).drop("_key", "_list")

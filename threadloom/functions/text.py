@@ -130,15 +130,16 @@ def repair_json(text: pd.Series) -> pd.Series:
 
 
 def move_key(text: Column) -> Column:
-    """A move's text for comparison: lower case, marks out, blanks single."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"(?U)[^\w\s]", ""), r"(?U)\s+", " "))
+    """A move's text for comparison: lower case, each run of other than a-z and 0-9 a blank."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", " "))
 
 
 def common_prefix(a: Column, b: Column) -> Column:
     """Length of the longest common prefix."""
-    n = F.least(F.length(a), F.length(b))
-    at = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: a.substr(F.lit(1), i) == b.substr(F.lit(1), i))
-    return F.when(n > 0, F.coalesce(F.array_max(at), F.lit(0))).otherwise(0)
+    letters = lambda t: F.filter(F.split(t, ""), lambda c: c != "")
+    same = F.zip_with(letters(a), letters(b), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    at = F.array_position(same, F.lit(False)).cast("int")
+    return F.when(at > 0, at - 1).otherwise(F.size(same))
 
 
 def project_slug(name: Column) -> Column:
@@ -184,16 +185,41 @@ def compact_markdown(pages: DataFrame, key: str = "name", text: str = "text") ->
     return per.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first", "s"))), lambda x: x["s"]), "\n").alias("xml"))
 
 
-def sample_turns(turns: DataFrame, most_chars: int = 240_000, edge: float = 0.1, strides: int = 64) -> DataFrame:
-    """The turns of each session that fit: all, or the first and last tenth and every n-th between, n the smallest stride
-    with which the session's texts stay within most_chars (or the largest tried). Two windows over sessions."""
-    by = Window.partitionBy("session_id")
-    t = turns.withColumn("_i", F.row_number().over(by.orderBy("index")) - 1).withColumn("_n", F.count("*").over(by)).withColumn("_len", F.length("text"))
-    side = F.greatest(F.lit(1), F.ceil(F.col("_n") * edge))
-    t = t.withColumn("_edge", (F.col("_i") < side) | (F.col("_i") >= F.col("_n") - side))
-    sums = [F.struct(F.sum(F.when(F.col("_edge") | (F.col("_i") % s == 0), F.col("_len")).otherwise(0)).over(by).alias("total"), F.lit(s).alias("stride")) for s in (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, strides)]
-    fit = F.filter(F.array(*sums), lambda x: x["total"] <= most_chars)
-    stride = F.coalesce(F.array_min(F.transform(fit, lambda x: x["stride"])), F.lit(strides))
-    t = t.withColumn("stride", stride)
-    return t.where(F.col("_edge") | (F.col("_i") % F.col("stride") == 0)).drop("_i", "_n", "_len", "_edge")
+def render_turn(index: Column, role: Column, ts: Column, text: Column, thinking: Column, most: int = 1500) -> Column:
+    """A turn as a prompt shows it: place, role, time to the second, then text and thinking, cut; empty without either."""
+    body, mind = (F.substring(F.trim(F.coalesce(c, F.lit(""))), 1, most) for c in (text, thinking))
+    head = F.concat(F.lit("[t"), index.cast("string"), F.lit("] "), role, F.lit(" @"), F.substring(F.coalesce(ts, F.lit("")), 1, 19))
+    line = lambda name, c: F.when(c != "", F.concat(F.lit(f"\n  {name}: "), c)).otherwise("")
+    return F.when((body == "") & (mind == ""), "").otherwise(F.concat(head, line("text", body), line("thinking", mind)))
+
+
+def _divisors(n: Column, most: Column) -> Column:
+    """The divisors of a positive number up to most, found in pairs below its root."""
+    low = F.filter(F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1), F.floor(F.sqrt(n.cast("double"))))), lambda d: n % d == 0)
+    return F.filter(F.array_distinct(F.concat(low, F.transform(low, lambda d: F.floor(n / d)))), lambda d: d <= most)
 
+
+def sample_turns(turns: DataFrame, most_chars: int = 240_000, shown: str = "text", note: int = 200) -> DataFrame:
+    """The turns of each session that fit a prompt of most_chars, with the `stride` they were taken at: all if they fit
+    (joined by two line breaks); else the first and last tenth, and of the middle each n-th from its first on, n the smallest
+    stride up to a quarter of the middle with which it fits beside them and a note; else no middle at all. Turns without
+    text are left out.
+
+    Sums of all strides come from one aggregate: a turn counts for the divisors of its place, so a session of m turns makes
+    some m log m rows, and only sessions over the budget make any."""
+    by = Window.partitionBy("session_id")
+    t = turns.where(F.length(shown) > 0).withColumn("_len", F.length(shown)).withColumn("_i", F.row_number().over(by.orderBy("index")) - 1).withColumn("_n", F.count("*").over(by))
+    t = t.withColumn("_side", F.greatest(F.lit(1), F.floor(F.col("_n") / 10)))
+    head, tail = F.col("_i") < F.col("_side"), (F.col("_i") >= F.col("_n") - F.col("_side")) & (F.col("_n") > F.col("_side"))
+    t = t.withColumn("_edge", head | tail)
+    joined = lambda c: F.sum(F.when(c, F.col("_len") + 2).otherwise(0)).over(by) - F.when(F.max(c).over(by), 2).otherwise(0)
+    t = t.withColumn("_all", joined(F.lit(True))).withColumn("_room", F.lit(most_chars - note) - joined(head) - joined(tail)).withColumn("_j", F.col("_i") - F.col("_side"))
+    t = t.withColumn("_most", F.greatest(F.lit(2), F.floor((F.col("_n") - 2 * F.col("_side")) / 4) + 1))
+    middle = t.where(~F.col("_edge") & (F.col("_all") > most_chars) & (F.col("_room") > 0))
+    first = middle.where("_j = 0").select("session_id", F.col("_len").alias("first"), "_room", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_most").cast("long"))).alias("d"))
+    later = middle.where("_j > 0").select("session_id", F.explode(_divisors(F.col("_j").cast("long"), F.col("_most"))).alias("d"), "_len").groupBy("session_id", "d").agg(F.sum(F.col("_len") + 2).alias("more"))
+    fits = first.join(later, ["session_id", "d"], "left").where(F.col("first") + F.coalesce("more", F.lit(0)) <= F.col("_room"))
+    t = t.join(fits.groupBy("session_id").agg(F.min("d").alias("stride")), "session_id", "left")
+    t = t.withColumn("stride", F.when(F.col("_all") <= most_chars, 1).otherwise(F.col("stride")).cast("int"))
+    kept = (F.col("_all") <= most_chars) | F.col("_edge") | F.coalesce(F.col("_j") % F.col("stride") == 0, F.lit(False))
+    return t.where(kept).select(*turns.columns, "stride")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MOVE = "move string, owner string, level string, occurrences long, merged int"
@@ -15,30 +15,57 @@ def merge_by_name(frame: DataFrame, name: Column, counts: list[str], sets: list[
     return frame.withColumn("_name", name).groupBy(F.col("_name").alias("name")).agg(*aggs, F.min(order).alias(order), F.count("*").alias("merged"))
 
 
-def merge_moves(moves: DataFrame, least: int = 20, prefix: int = 40) -> DataFrame:
-    """Moves (move, owner, level, occurrences) merged greedily, most frequent first: into one whose text holds or is held by
-    theirs (the shorter of at least `least` characters) or shares a prefix of `prefix`; the longer text stays.
+def move_links(keys: DataFrame, least: int = 20, prefix: int = 40) -> DataFrame:
+    """(src, dst): links enough to connect all keys (distinct, of at least `least` characters) of which one holds the other
+    or which share a prefix of `prefix`: each prefix a star, and each holder to what it holds.
 
-    The scan depends on its own earlier merges, so it is one task's; moves are the distinct confirmed ones, and texts whose
-    comparison key is equal are merged before it."""
+    A key is looked up by the rarest of its pieces of `least` characters among the pieces of all keys, then compared."""
+    block = F.substring("key", 1, prefix)
+    stars = keys.where(F.length("key") >= prefix).groupBy(block.alias("b")).agg(F.min("key").alias("src"), F.count("*").alias("n")).where("n > 1")
+    stars = keys.where(F.length("key") >= prefix).join(stars, block == F.col("b")).where("key <> src").select("src", F.col("key").alias("dst"))
+    pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("key") - least + 1), lambda i: F.xxhash64(F.substr("key", i, F.lit(least)))))
+    index = keys.select("key", F.explode(pieces).alias("piece"))
+    counts = index.groupBy("piece").agg(F.count("*").alias("n")).where("n > 1")
+    rare = index.join(counts, "piece", "left").groupBy("key").agg(F.min_by(F.struct("piece", "n"), F.struct(F.coalesce("n", F.lit(1)).alias("n"), "piece")).alias("x")).where("x.n is not null")
+    held = rare.select(F.col("key").alias("dst"), F.col("x.piece").alias("piece")).join(index.withColumnRenamed("key", "src"), "piece")
+    held = held.where((F.col("src") != F.col("dst")) & F.col("src").contains(F.col("dst"))).select("src", "dst")
+    return stars.unionByName(held)
+
+
+def _scan(pdf: pd.DataFrame, least: int, prefix: int) -> pd.DataFrame:
+    """One component's moves, most frequent first: each goes to the first kept move that it fits."""
+    kept: list[dict] = []
+    for r in pdf.sort_values(["occurrences", "id"], ascending=[False, True]).to_dict("records"):
+        for k in kept:
+            short, long = sorted((k["key"], r["key"]), key=len)
+            if len(short) >= least and short in long or len(short) >= prefix and k["key"][:prefix] == r["key"][:prefix]:
+                k["occurrences"] += r["occurrences"]
+                k["merged"] += 1
+                if len(r["move"]) > len(k["move"]):
+                    k["move"], k["key"] = r["move"], r["key"]
+                break
+        else:
+            kept.append(r | {"merged": 1})
+    return pd.DataFrame(kept, columns=["move", "owner", "level", "occurrences", "merged"])
+
+
+def merge_moves(moves: DataFrame, least: int = 20, prefix: int = 40, order: list[str] | None = None) -> DataFrame:
+    """Moves (move, owner, level, occurrences) merged greedily, most frequent first, ties by `order` (by default move, owner,
+    level): into one whose key holds or is held by theirs (the shorter of at least `least` characters) or shares a prefix of
+    `prefix`; the longer text stays, the rest is the first one's. Moves of shorter keys, and of none, stay alone.
+
+    The scan depends on its own earlier merges, but a move can only meet moves that it is linked to by way of others, so
+    each component of the links is scanned alone, and the result is that of one scan over all."""
     from ..functions.text import move_key
+    from .graph import components, scratch
 
-    exact = moves.groupBy(move_key(F.col("move")).alias("key")).agg(F.max_by("move", F.struct("occurrences", F.length("move"))).alias("move"), F.max_by("owner", "occurrences").alias("owner"), F.max_by("level", "occurrences").alias("level"), F.sum("occurrences").alias("occurrences"), F.count("*").alias("rows"))
-
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[dict] = []
-        for r in pdf.sort_values(["occurrences", "move"], ascending=[False, True]).to_dict("records"):
-            for k in kept:
-                a, b = (k["key"], r["key"]) if len(k["key"]) <= len(r["key"]) else (r["key"], k["key"])
-                same = len(a) >= prefix and a[:prefix] == b[:prefix]
-                if same or len(a) >= least and a in b:
-                    k["occurrences"] += r["occurrences"]
-                    k["merged"] += r["rows"]
-                    if len(r["move"]) > len(k["move"]):
-                        k["move"], k["key"] = r["move"], r["key"]
-                    break
-            else:
-                kept.append(r | {"merged": r["rows"]})
-        return pd.DataFrame(kept, columns=["move", "owner", "level", "occurrences", "merged"])
-
-    return exact.withColumn("g", F.lit(0)).groupBy("g").applyInPandas(scan, MOVE)
+    scratch(moves.sparkSession)
+    m = moves.select("move", "owner", "level", F.col("occurrences").cast("long").alias("occurrences"), move_key(F.col("move")).alias("key"), F.struct(*(order or ["move", "owner", "level"])).alias("rank"))
+    m = m.checkpoint()  # the keys are read several times
+    alone = m.where(F.length("key") < least).select("move", "owner", "level", "occurrences", F.lit(1).alias("merged"))
+    m = m.where(F.length("key") >= least)
+    nodes = components(move_links(m.select("key").distinct(), least, prefix))
+    m = m.join(nodes, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("component", "key")).drop("node")
+    m = m.withColumn("id", F.row_number().over(Window.partitionBy("component").orderBy("rank"))).drop("rank")
+    scan = lambda pdf: _scan(pdf, least, prefix)
+    return m.groupBy("component").applyInPandas(scan, MOVE).unionByName(alone)

@@ -35,9 +35,14 @@ def entities(events: DataFrame, now: Column, top: int = 6, most_targets: int | N
 
 
 def decisions_of(events: DataFrame, decisions: DataFrame, most: int = 15) -> DataFrame:
-    """(target_id, session_id, line, place): decisions of the sessions that mention a target and relate to it; equal lines
-    once, in the order of the mentions, at most `most` a target. Equi-joins on session and target; no pair of all with all."""
-    about = decisions.select("session_id", F.col("seq").alias("d"), F.substring("proposition", 1, 180).alias("line"), F.explode("related_entities").alias("target_id"))
+    """(target_id, session_id, line, place): decisions of the sessions that mention a target and relate to it or are about it
+    (their own target_id); equal lines once, in the order of the mentions, at most `most` a target, with the first 100
+    characters of why where it is told. Equi-joins on session and target; no pair of all with all."""
+    line = F.substring("proposition", 1, 180)
+    if "why" in decisions.columns:
+        line = F.when(F.col("why") != "", F.concat(line, F.lit(" _(why: "), F.substring("why", 1, 100), F.lit(")_"))).otherwise(line)
+    whom = F.array_union("related_entities", F.array("target_id")) if "target_id" in decisions.columns else F.col("related_entities")
+    about = decisions.select("session_id", F.col("seq").alias("d"), line.alias("line"), F.explode(whom).alias("target_id"))
     e = events.groupBy("session_id", "target_id").agg(F.min(when_key()).alias("at"))
     met = e.join(about.distinct(), ["session_id", "target_id"]).groupBy("target_id", "session_id", "line").agg(F.min(F.struct("at", "d")).alias("at"))
     by = Window.partitionBy("target_id").orderBy("at", "session_id", "line")

@@ -140,17 +140,42 @@ sv as (select session_id, target_id, valence from (select *, row_number() over (
 sd as (select session_id, min(ts)::date as date from m group by 1),
 st as (select session_id, target_id, provider, n, valence, concern, date
        from (select session_id, target_id, provider, count(*) as n, bool_or(mention_type = 'concern_raised') as concern from m group by 1, 2, 3) join sv using (session_id, target_id) join sd using (session_id))"""
-ST0 = """,
-sz as (select session_id from m group by 1 having count(distinct target_id) between 2 and 60),
+CO = """,
+sz as (select session_id from m group by 1 having count(distinct target_id) >= 2),
 ss as (select distinct session_id, target_id from m join sz using (session_id)),
 half as (select a.target_id as a, b.target_id as b, count(*) as weight from ss a join ss b on a.session_id = b.session_id and a.target_id < b.target_id group by 1, 2),
 co as (select a as src, b as dst, weight from half union all select b, a, weight from half)"""
+#: Only the co-change graph leaves out sessions of over 60 targets.
+ST0 = CO.replace("count(distinct target_id) >= 2", "count(distinct target_id) between 2 and 60")
 EDGES = ST0 + """,
 mw as (select case when count(distinct session_id) < 1000 then 2 else 3 end as mw from m),
 edges as (select * from (select co.*, row_number() over (partition by src order by weight desc, dst) as rank from co, mw where weight >= mw) where rank <= 30)"""
 
 on_events("graph_sessions", graph.session_targets, ST + "\nselect * from st")
-on_events("co_mentions", graph.co_mentions, ST0 + "\nselect * from co")
+on_events("co_mentions", graph.co_mentions, CO + "\nselect * from co")
+
+
+def long_sessions(events: DataFrame) -> DataFrame:
+    """The events as a few sessions of a hundred targets and more each."""
+    return events.withColumn("session_id", F.concat(F.lit("s"), (F.col("seq") % 3).cast("string"), F.substring("target_id", -1, 1)))
+
+
+LONG = M_SQL.strip().replace("user_id || '-' || strftime(ts, '%Y%m%d') as session_id", "'s' || (event_id % 3) || (user_id % 10) as session_id")
+
+
+@query("co_mentions_long_sessions", f"with {LONG}{CO} select * from co")
+def co_mentions_long_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions far beyond the co-change limit, dealt out in pairs of small blocks."""
+    return graph.co_mentions(long_sessions(views.mention_events(spark, sf_dir)), block=16)
+
+
+@query("cochange_long_sessions", f"with {LONG}{EDGES} select src, dst, weight, rank from edges union all select 'skipped', null, (select count(*) from (select session_id from m group by 1 having count(distinct target_id) > 60)), null")
+def cochange_long_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sessions make no co-change edges and are counted as skipped."""
+    e = long_sessions(views.mention_events(spark, sf_dir))
+    skipped = graph.cochange_meta(e).select(F.lit("skipped").alias("src"), F.lit(None).cast("string").alias("dst"), F.col("skipped_mega_sessions").alias("weight"), F.lit(None).cast("int").alias("rank"))
+    return graph.cochange(e).select("src", "dst", "weight", "rank").unionByName(skipped)
+
 on_events("cochange_edges", graph.cochange, EDGES + "\nselect src, dst, weight, rank from edges")
 on_events("cochange_small_sessions", lambda e: graph.cochange(e, min_weight=1, most_targets=3, top=5), ST0.replace("between 2 and 60", "between 2 and 3") + """
 select * from (select co.*, row_number() over (partition by src order by weight desc, dst) as rank from co) where rank <= 5""")
@@ -190,6 +215,18 @@ def communities_louvain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.louvain(graph.cochange(views.mention_events(spark, sf_dir)))
 
 
+@query("modularity_of_parity", EDGES.replace(",\nsz as", "with M,\nsz as", 1).replace("with M", f"with {M_SQL.strip()}") + """,
+c as (select src, dst, weight, src[2:]::varchar <> '' as x, ascii(right(src, 1)) % 2 as cs, ascii(right(dst, 1)) % 2 as cd from edges),
+t as (select sum(2 * weight)::double as total, sum(case when cs = cd then 2 * weight else 0 end)::double as inside from c),
+g as (select k, sum(w)::double as d from (select cs as k, weight as w from c union all select cd, weight from c) group by k)
+select (select inside / total from t) - (select sum(d * d) from g) / (select total * total from t) as modularity""")
+def modularity_of_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Modularity of a given partition: targets by the parity of their name's last character."""
+    edges = graph.cochange(views.mention_events(spark, sf_dir))
+    nodes = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
+    return graph.modularity(edges, nodes.withColumn("community", F.ascii(F.substring("node", -1, 1)) % 2))
+
+
 @query("communities_modularity")
 def communities_modularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = graph.cochange(views.mention_events(spark, sf_dir))

@@ -10,11 +10,11 @@ from ..operators import brain, dedup, event_log, profile, sanitize, vault
 from ..operators import decisions as dec
 from ..streaming import incremental
 from . import views
-from .catalogue import D_SQL, M_SQL, R_SQL, ST0, on_events, query
+from .catalogue import CO, D_SQL, M_SQL, R_SQL, on_events, query
 
 NOW = "2024-03-01"
 
-on_events("vault_entities", lambda e: vault.entities(e, F.lit(NOW).cast("timestamp")), ST0 + """,
+on_events("vault_entities", lambda e: vault.entities(e, F.lit(NOW).cast("timestamp")), CO + """,
 tv as (select target_id, valence from (select target_id, valence, row_number() over (partition by target_id order by count(*) desc, min(ts)) as rn from m group by 1, 2) where rn = 1),
 tt as (select target_id, target_type from (select target_id, target_type, row_number() over (partition by target_id order by count(*) desc, min(ts)) as rn from m group by 1, 2) where rn = 1),
 cm as (select src as target_id, string_agg(dst, ',' order by r) as co_mentioned from (select *, row_number() over (partition by src order by weight desc, dst) as r from co) where r <= 6 group by 1)
@@ -67,18 +67,18 @@ def vault_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENDINGS = "(-bridge|-core|-mcp|-service|-svc|-daemon|-server)$"
 
 
-def _rounds(expr: str, n: int = 8) -> str:
-    for _ in range(n):
-        expr = f"regexp_replace(regexp_replace({expr}, '[-_ ]v?[0-9]+([._-][0-9]+)*$', ''), '^(.{{2,}}){ENDINGS}', '\\1')"
-    return expr
+#: Names lose a version, then a filler, again and again until nothing goes.
+STEP = f"regexp_replace(regexp_replace(a, '[-_ ]v?[0-9]+([._-][0-9]+)*$', ''), '^(.{{2,}}){ENDINGS}', '\\1')"
+MANY = "".join(f"-core-v{i}" for i in range(6)) + "-svc-server" * 5
 
 
-@query("slug_canonical", f"""with s as (select distinct p_name || case p_partkey % 5 when 0 then ' MCP v2' when 1 then '-core-server' when 2 then ' the Bridge' when 3 then '-v1.2.3' else '' end as name from part),
-n as (select name, {_rounds("regexp_replace(lower(trim(name)), '\\s+', '-', 'g')")} as a from s)
+@query("slug_canonical", f"""with recursive s as (select distinct p_name || case p_partkey % 5 when 0 then ' MCP v2' when 1 then '-core-server' when 2 then ' the Bridge' when 3 then '-v1.2.3' else '{MANY}' end as name from part),
+w as (select name, regexp_replace(lower(trim(name)), '\\s+', '-', 'g') as a, 0 as i from s union all select name, {STEP}, i + 1 from w where {STEP} <> a),
+n as (select name, arg_max(a, i) as a from w group by name)
 select name, regexp_replace(regexp_replace(regexp_replace(a, '(^|[-_ ])the([-_ ]|$)', '\\1\\2', 'g'), '[-_]{{2,}}', '-', 'g'), '^[-_]+|[-_]+$', '', 'g') as canonical from n""")
 def slug_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey") % 5
-    tail = F.when(k == 0, " MCP v2").when(k == 1, "-core-server").when(k == 2, " the Bridge").when(k == 3, "-v1.2.3").otherwise("")
+    tail = F.when(k == 0, " MCP v2").when(k == 1, "-core-server").when(k == 2, " the Bridge").when(k == 3, "-v1.2.3").otherwise(MANY)
     names = views.table(spark, sf_dir, "part").select(F.concat("p_name", tail).alias("name")).distinct()
     return slugs.canonical(names, "name")
 
@@ -143,8 +143,25 @@ def slug_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("move_merge")
 def move_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = profile.moves(views.rules(spark, sf_dir).withColumnsRenamed({"rule_text": "move", "provider": "owner"}))
-    return dedup.merge_moves(m.where("state = 'confirmed'").select("move", "owner", "level", "occurrences"))
+    """Confirmed moves by their whole texts, near copies merged."""
+    whole = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("text").alias("move"), F.col("lang").alias("owner"), F.col("source").alias("level"))
+    confirmed = whole.groupBy("move", "owner", "level").agg(F.count("*").alias("occurrences"), F.min("seq").alias("seq")).where("occurrences >= 2")
+    return dedup.merge_moves(confirmed, order=["seq"])
+
+
+@query("move_keys", """select doc_id, trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')) as key from documents""")
+def move_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.table(spark, sf_dir, "documents").select("doc_id", text.move_key(F.col("text")).alias("key"))
+
+
+@query("common_prefixes", """with p as (select p_partkey, p_name as a, lag(p_name) over (order by p_name, p_partkey) as b from part)
+select p_partkey, (select coalesce(max(i), 0) from range(1, 1 + least(length(a), length(b))) r(i) where left(a, i) = left(b, i))::int as shared from p where b is not null""")
+def common_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part's name with the one before it in order."""
+    from pyspark.sql import Window
+
+    p = views.table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("a"), F.lag("p_name").over(Window.orderBy("p_name", "p_partkey")).alias("b")).where("b is not null")
+    return p.select("p_partkey", text.common_prefix(F.col("a"), F.col("b")).alias("shared"))
 
 
 def _profile(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -252,6 +269,30 @@ def sampled_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.sample_turns(views.turns(spark, sf_dir)).groupBy("session_id").agg(F.count("*").alias("turns"), F.sum(F.length("text")).alias("chars"))
 
 
+LONG_TURNS = """t as (select 's' || (conv_id % 3) as session_id, row_number() over (partition by conv_id % 3 order by conv_id, turn) as index,
+        repeat(text, case conv_id % 3 when 0 then 1 when 1 then 12 else 40 end) as text from conversations where length(text) > 0)"""
+
+
+@query("sampled_long_sessions", f"""with {LONG_TURNS},
+n as (select *, length(text) as len, row_number() over (partition by session_id order by index) - 1 as i, count(*) over (partition by session_id) as n from t),
+e as (select *, greatest(1, n // 10) as side from n),
+f as (select *, i < side as head, n > side and i >= n - side as tail, i - side as j, greatest(2, (n - 2 * side) // 4 + 1) as most from e),
+s as (select session_id, sum(len) + 2 * (count(*) - 1) as whole, 240000 - 200 - (sum(len) filter (head) + 2 * (count(*) filter (head) - 1)) - (coalesce(sum(len) filter (tail), 0) + 2 * greatest(0, count(*) filter (tail) - 1)) as room, any_value(most) as most from f group by 1),
+d as (select session_id, room, unnest(range(1, most + 1)) as d from s where whole > 240000 and room > 0),
+fit as (select d.session_id, d.d from d join f on d.session_id = f.session_id and not head and not tail and j % d.d = 0 group by d.session_id, d.d, room having sum(len) + 2 * (count(*) - 1) <= room),
+g as (select session_id, min(d) as stride from fit group by 1)
+select session_id, index, len as chars, case when whole <= 240000 then 1 else stride end::int as stride from f join s using (session_id) left join g using (session_id)
+where whole <= 240000 or head or tail or j % stride = 0""")
+def sampled_long_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations strung together into three sessions, two of them far over the budget."""
+    from pyspark.sql import Window
+
+    k = F.col("conv_id") % 3
+    t = views.table(spark, sf_dir, "conversations").where(F.length("text") > 0)
+    t = t.select(F.concat(F.lit("s"), k.cast("string")).alias("session_id"), F.row_number().over(Window.partitionBy(k).orderBy("conv_id", "turn")).alias("index"), F.expr("repeat(text, case conv_id % 3 when 0 then 1 when 1 then 12 else 40 end)").alias("text"))
+    return text.sample_turns(t).select("session_id", "index", F.length("text").alias("chars"), "stride")
+
+
 @query("open_per_provider", f"with {D_SQL.strip()} select provider, count(*) filter (status = 'proposed') as open, count(*) as decisions from d0 group by 1")
 def open_per_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = views.decisions(spark, sf_dir)

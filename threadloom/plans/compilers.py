@@ -35,12 +35,12 @@ class Profile:
     def moves(self, n: int) -> list[dict]:
         return self.top("moves", n, F.col("occurrences").desc(), F.col("move"), where=F.col("state") == "confirmed")
 
-    def rules(self, n: int, bucket: str | None = None) -> list[dict]:
+    def rules(self, n: int, *buckets: str) -> list[dict]:
         f = self.frames.get("rules")
         if f is None:
             return []
-        if bucket is not None:
-            f = f.where(F.col("bucket") == bucket) if "bucket" in f.columns else f.limit(0)
+        if buckets:
+            f = f.where(F.col("bucket").isin(*buckets)) if "bucket" in f.columns else f.limit(0)
         first = f.where("trim(rule_text) <> ''").groupBy(F.trim("rule_text").alias("rule_text")).agg(F.min_by("level", "seq").alias("level"), F.min("seq").alias("seq"))
         return [r.asDict() for r in first.orderBy("seq").limit(n).collect()]
 
@@ -111,9 +111,9 @@ def _drifts(p: Profile, n: int) -> list[str]:
 
 @target("light_ir", 2000)
 def light_ir(p: Profile, most: int) -> str:
-    """Moves, rules (of the meta buckets where rules are classified), concerns, drifts, decisions and entities."""
+    """Moves, rules (where they are classified the first of both meta buckets, in the pool's order), concerns, drifts, decisions and entities."""
     classified = "rules" in p.frames and "bucket" in p.frames["rules"].columns
-    rules = [r for b in ("meta_user", "meta_assistant") for r in p.rules(12, b)][:12] if classified else p.rules(12)
+    rules = p.rules(12, *(("meta_user", "meta_assistant") if classified else ()))
     lines = [f'<user-profile v="{SCHEMA}">', *_moves(p, 12), *[f"<rule>{escape(r['rule_text'])}</rule>" for r in rules]]
     for c in p.concerns(6):
         last = (c["raised_in"] or "").rpartition(",")[2]
@@ -157,7 +157,9 @@ def light_ir_project(p: Profile, most: int) -> str:
         lines += ["<entities>", *[f'  <ent tid="{escape(e["target_id"])}" ev="{e["event_count"]}">{escape(p.summaries.get(e["target_id"], "")[:280])}</ent>' for e in own], "</entities>"]
     rules = p.frames.get("rules")
     if rules is not None:
-        scope = touches(F.coalesce(F.col("level"), F.lit("")), name)
+        scope = touches(F.trim(F.coalesce(F.col("level"), F.lit(""))), name) | F.coalesce(F.lower("rule_text").contains(name.lower()), F.lit(False))
+        if "bucket" in rules.columns:
+            scope = scope & (F.col("bucket") == "project_domain")
         lines += [f"<rule>{escape(r['rule_text'])}</rule>" for r in p.top("rules", 15, F.col("seq"), where=scope) if r["rule_text"]]
     lines += [f'<decision refs="{d["sessions"]}">{escape((d["sample_propositions"] or "")[:200])}</decision>' for d in p.top("load_bearing", 10, F.col("sessions").desc(), F.col("entity"), where=touches(F.col("entity"), name))]
     return fit([*lines, "</project-brain>"], most, ["<decision", "<rule", "  <ent", "<entities", "</entities"])

@@ -71,7 +71,7 @@ def decisions(docs: DataFrame) -> DataFrame:
     s = lambda k: F.try_variant_get("e", f"$.{k}", "string")
     raw = fallback_time(F.lit(""))
     related = F.filter(F.transform(F.try_variant_get("e", "$.related_entities", "array<variant>"), lambda v: v.try_cast("string")), lambda x: x.isNotNull() & (x != ""))
-    return e.select(_order().alias("seq"), raw.alias("ts_raw"), parse_time(raw).alias("ts"), "session_id", "provider", s("status").alias("status"), F.coalesce(s("proposition"), s("decision"), s("text"), F.lit("")).alias("proposition"), s("why").alias("why"), F.coalesce(related, F.array().cast("array<string>")).alias("related_entities"))
+    return e.select(_order().alias("seq"), raw.alias("ts_raw"), parse_time(raw).alias("ts"), "session_id", "provider", s("status").alias("status"), F.coalesce(s("proposition"), s("decision"), s("text"), F.lit("")).alias("proposition"), s("why").alias("why"), s("target_id").alias("target_id"), F.coalesce(related, F.array().cast("array<string>")).alias("related_entities"))
 
 
 def session_counts(docs: DataFrame) -> DataFrame:
