@@ -89,14 +89,16 @@ class FTRL:
 
 
 def train(labelled: DataFrame, max_rows: int = 30_000, max_bytes: int = 256 << 20, epochs: int = 4, bits: int = 20) -> tuple[np.ndarray, np.ndarray]:
-    """(slots, weights) that aren't zero, of a learner fitted on about max_rows of the rows (text, label, row), and on no more
-    than about max_bytes of text: what one task holds is some eight times as much.
+    """(slots, weights) that aren't zero, of a learner fitted on about max_rows of the rows (text, label, row, and size in
+    bytes, so that texts aren't moved to be measured), and on no more than about max_bytes of text: what one task holds is
+    some eight times as much.
 
     The sample is drawn by hash of `row`, so it is the same at every run, and is taken in the order of that hash, ties by
     label and by the text's digest. Rows without a label are left out. Fewer than two rows give no weights: every score is
     then one half."""
     rows = labelled.where("label is not null and row is not null")
-    total, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    length = F.col("size") if "size" in rows.columns else F.octet_length("text")
+    total, size = rows.agg(F.count("*"), F.coalesce(F.sum(length), F.lit(0))).first()
     share = 1.0 if total <= max_rows else (max_rows - 3 * math.sqrt(max_rows)) / total
     share = min(share, max_bytes / size) if size else share
     drawn = rows.withColumn("order", F.xxhash64("row", F.lit("sample"))).where(F.pmod("order", F.lit(1 << 30)) < int(share * (1 << 30)))
@@ -166,8 +168,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000, thresho
     examples every score is one half. Repeated rows stay and score alike, an empty table gives no row. Very long texts are
     scored whole, a presence counting once. Other columns stay, whatever their names; score, held_out and predicted are
     replaced."""
-    marked = docs.select("doc_id", "text").join(labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label")), F.col("doc_id") == F.col("_id"))
-    known = marked.where(~held_out(F.col("doc_id"))).select("text", "label", F.col("doc_id").alias("row"))
+    marked = docs.select("doc_id", "text", F.octet_length("text").alias("size")).join(labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label")), F.col("doc_id") == F.col("_id"))
+    known = marked.where(~held_out(F.col("doc_id"))).select("text", "size", "label", F.col("doc_id").alias("row"))
     out = score(docs, train(known, max_rows), keep_text=keep_text)
     return out.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
