@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,6 +45,21 @@ def stage(df: DataFrame, name: str, compression: str = "snappy", by: str | None
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def large_rows(spark: SparkSession) -> Iterator[None]:
+    """For actions over rows of megabytes: the Parquet reader and the Arrow channel take few of them at once. The session's
+    settings are put back afterwards."""
+    few = {"spark.sql.parquet.columnarReaderBatchSize": "8", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+    before = {k: spark.conf.get(k) for k in few}
+    try:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def unstage(*frames: DataFrame) -> None:
     """Delete the files of staged frames that nothing reads any more."""
     for df in frames:

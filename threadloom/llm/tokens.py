@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import new_path, release, row_key, stage, unstage
+from .common import large_rows, new_path, release, row_key, stage, unstage
 from .files import names, open_fs, write_whole
 from .rans import Table, pack, unpack
 
@@ -288,8 +288,9 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, out: str | None = None
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
     counts = np.zeros(size, np.int64)
-    for r in blocks.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[r["id"]] = r["n"]  # a row an id of the vocabulary
+    with large_rows(spark):
+        for r in blocks.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+            counts[r["id"]] = r["n"]  # a row an id of the vocabulary
     table = Table(counts, bits)
     write_whole(f"{out}/table.freq", [table.dump()])
     dumped = table.dump()
@@ -326,7 +327,8 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, out: str | None = None
             done.append((shard, ids))
         yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in done], pa.int32()), pa.array([n for _, n in done], pa.int64())], ["shard", "ids"])
 
-    blocks.mapInArrow(save, "shard int, ids long").write.format("noop").mode("overwrite").save()
+    with large_rows(spark):
+        blocks.mapInArrow(save, "shard int, ids long").write.format("noop").mode("overwrite").save()
     unstage(blocks)
     release(spark)
     return out
