@@ -24,9 +24,9 @@ from .files import names, open_fs, write_whole
 from .rans import Table, pack, unpack
 
 #: Ids of a block (a longer document makes a longer block), bytes of text a shard, and words that a worker's memo may hold.
-BLOCK_IDS, SHARD_BYTES, MEMO = 1 << 20, 512 << 20, 300_000
+BLOCK_IDS, SHARD_BYTES, MEMO = 1 << 20, 512 << 20, 400_000
 #: Words encoded at once and learnt at once, bytes of text and texts taken at once, the longest text that is encoded again as a whole to compare.
-GROUP, LEARNED, SLICE_BYTES, SLICE_ROWS, COMPARED = 50, 20_000, 5 << 20, 4096, 20_000
+GROUP, LEARNED, SLICE_BYTES, SLICE_ROWS, COMPARED = 50, 20_000, 8 << 20, 4096, 20_000
 TAIL = "<QI4s"
 #: ASCII marks that the tokenizer never joins to the letter or digit before them, and such letters and digits
 #: (not U+0130, whose lower case ends in a combining mark).
