@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,6 +61,16 @@ def large_rows(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
+def few_texts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of some rows, for workers that take texts apart; what Arrow no longer needs goes back at the end
+    of each batch, so an idle worker holds little."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+        del b
+        pa.default_memory_pool().release_unused()
+
+
 def unstage(*frames: DataFrame) -> None:
     """Delete the files of staged frames that nothing reads any more."""
     for df in frames:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free, release, row_key, spread_join, stage, unstage
+from .common import few_texts, free, release, row_key, spread_join, stage, unstage
 
 #: Rows of one variant key that one task compares; larger buckets are dealt out in pairs of blocks.
 BLOCK = 4096
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     """doc_id, key (row_key), fp (the fingerprint as a signed long); texts without words have 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in few_texts(batches):
             fp = simhash(b.column(2).to_pylist(), words)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], ["doc_id", "key", "fp"])
 

@@ -17,20 +17,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, row_key, spread_join, stage, unstage
+from .common import few_texts, release, row_key, spread_join, stage, unstage
 
 #: Base of the rolling hash (odd, so invertible modulo 2**64).
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
-#: Words of a worker's chunk and of its memo of word hashes, texts that a worker holds at once.
-CHUNK, MEMO, TEXTS = 300_000, 1 << 18, 512
-
-
-def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of TEXTS rows."""
-    for b in batches:
-        for i in range(0, b.num_rows, TEXTS):
-            yield b.slice(i, TEXTS)
+#: Words of a worker's chunk and of its memo of word hashes.
+CHUNK, MEMO = 300_000, 1 << 18
 
 
 class _Hashes(dict):
@@ -102,7 +95,7 @@ def _seeds(docs: DataFrame, length: int, seed: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Hashes()
-        for b in _few(batches):
+        for b in few_texts(batches):
             keys = b.column(0).to_numpy()
             for first, starts, sizes, roll in _chunks(b.column(1).to_pylist(), memo):
                 doc, at, _, _ = runs(roll, starts, sizes, length, seed)
@@ -118,7 +111,7 @@ def _extended(docs: DataFrame, length: int, seed: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Hashes()
-        for b in _few(batches):
+        for b in few_texts(batches):
             ids, keys, ats = b.column(0), b.column(1).to_numpy(), b.column(3)
             ends = np.asarray(ats.offsets) - ats.offsets[0].as_py()
             values = ats.flatten().to_numpy()
@@ -192,7 +185,7 @@ def substring_dedup(docs: DataFrame, length: int = 35, seed: int = 9) -> DataFra
     joined = joined.select(texts["doc_id"], "text", F.transform("spans", lambda s: s["a"]).alias("a"), F.transform("spans", lambda s: s["z"]).alias("z"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _few(batches):
+        for b in few_texts(batches):
             n_words, n_removed, kept, removed = [], [], [], []
             for text, first, last in zip(b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
                 words = (text or b"").split()

@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import free
+from .common import few_texts, free
 
 #: ASCII punctuation taken off the ends of words.
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-MEMO = 1 << 19
+MEMO = 1 << 18
 WORDS = 200_000
 
 
@@ -105,7 +105,7 @@ def train(labelled: DataFrame, max_rows: int = 30_000, max_bytes: int = 256 << 2
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Hashes()
-        for b in batches:
+        for b in few_texts(batches):
             for first, n, doc, slot in features(b.column(0).to_pylist(), bits, memo):
                 by = np.argsort(doc, kind="stable")
                 sets = [np.unique(x) for x in np.split(slot[by], np.cumsum(np.bincount(doc, minlength=n))[:-1])]
@@ -142,7 +142,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = 20,
         weights = np.zeros((1 << bits) + 1, np.float64)
         weights[at] = w
         memo = _Hashes()
-        for b in batches:
+        for b in few_texts(batches):
             out = np.full(b.num_rows, weights[-1])
             for first, n, doc, slot in features(b.column(len(names)).to_pylist(), bits, memo):
                 hit = np.flatnonzero(weights[slot])
