@@ -254,4 +254,18 @@ def test_pages(spark):
     e = log(spark, [("a", 0, "concern_raised", "negative", "s1"), ("b", 1, "reference", "positive", "s1")])
     d = spark.createDataFrame([(1, "s1", "use a", ["a"])], "seq long, session_id string, proposition string, related_entities array<string>")
     page = {r["name"]: r["page"] for r in vault.pages(e, F.lit("2026-01-05").cast("timestamp"), d).collect()}
-    assert "use a" in page["a"] and "## Concerns" in page["a"] and "co_mentioned: b" in page["a"] and "## Concerns" not in page["b"]
+    assert "use a" in page["a"] and "## Concerns" in page["a"] and "co_mentioned_top: [b]" in page["a"] and "## Concerns" not in page["b"]
+
+
+def test_page_names_and_sections(spark):
+    from threadloom.operators import vault
+
+    e = spark.createDataFrame([(1, "2026-01-01", "s1", "p", n, "T", "concern_raised", "neutral", "user", 'say "x"\nagain') for n in ("a/b", "a b", "A-b", "///", "key: v")], "seq long, ts_raw string, session_id string, provider string, target_id string, target_type string, mention_type string, valence string, authorship string, evidence_quote string").withColumn("ts", F.col("ts_raw").cast("timestamp"))
+    r = spark.createDataFrame([(1, "s1", "keep key: v", None), (2, "s1", "other", "a/b")], "seq long, session_id string, rule_text string, applies_to string")
+    got = {x["target_id"]: x for x in vault.pages(e, F.lit("2026-01-05").cast("timestamp"), None, r).collect()}
+    assert len({x["name"].lower() for x in got.values()}) == 5 and got["///"]["name"] == "unnamed"
+    assert 'target_id: "key: v"' in got["key: v"]["page"] and "co_mentioned_top: [" in got["a b"]["page"]
+    assert "## Rules touching this entity\n- [[session_s1]] — keep key: v" in got["key: v"]["page"] and "— other" in got["a/b"]["page"] and "## Rules" not in got["a b"]["page"]
+    assert '— **concern_raised** — say "x" again' in got["a b"]["page"]
+    index = vault.index_page(vault.file_names(e)).first()["page"]
+    assert index.startswith("# Vault index\n_5 entities_\n\n- [[unnamed]] — `///`\n") and index.index("`a b`") < index.index("`A-b`") < index.index("`a/b`")

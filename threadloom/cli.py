@@ -26,13 +26,8 @@ def frames(spark, args) -> dict[str, DataFrame]:
 
 
 def whole_profile(f: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    p = profile.full_profile(f["events"], f["decisions"])
-    docs = f["docs"]
-    p["moves"] = profile.moves(extractions.objects(docs, "mental_moves"))
-    p["rules"] = extractions.objects(docs, "rules")
-    p["drifts"] = profile.drift_recurrence(extractions.objects(docs, "drifts"), "trigger", "trigger_detail")
-    p["affect"] = extractions.objects(docs, "affect")
-    return p
+    kinds = {k: extractions.objects(f["docs"], k) for k in profile.DELTAS}
+    return profile.full_profile(f["events"], f["decisions"], kinds)
 
 
 def show(df: DataFrame, n: int = 50) -> None:
@@ -92,7 +87,7 @@ def main(argv: list[str] | None = None) -> int:
             event_log.write_months(e, f"{args.out}/events")
             event_log.index(e).write.mode("overwrite").json(f"{args.out}/events_index")
         if args.command in ("vault", "pipeline"):
-            vault.pages(e, F.current_timestamp(), f["decisions"]).write.mode("overwrite").parquet(f"{args.out}/entities")
+            _write_vault(spark, f, f"{args.out}/entities")
         if args.command in ("aggregate", "pipeline"):
             for name, frame in whole_profile(f).items():
                 frame.write.mode("overwrite").json(f"{args.out}/profile/{name}")

@@ -76,9 +76,9 @@ def cross_provider(events: DataFrame, least: int = 2) -> DataFrame:
 
 
 def entity_frequency(events: DataFrame, n: int = 30) -> DataFrame:
-    """The n most mentioned targets, ties by first mention."""
-    per = present(events).groupBy("target_id").agg(F.count("*").alias("event_count"), F.min("seq").alias("first_seq"))
-    return per.orderBy(F.col("event_count").desc(), "first_seq").limit(n).select("target_id", "event_count")
+    """The n most mentioned targets, ties by first mention, with their type and providers."""
+    per = present(events).groupBy("target_id").agg(first_type(), F.count("*").alias("event_count"), F.array_join(F.array_sort(F.collect_set("provider")), ",").alias("providers"), F.min("seq").alias("first_seq"))
+    return per.orderBy(F.col("event_count").desc(), "first_seq").limit(n).select("target_id", "target_type", "event_count", "providers")
 
 
 def drift_recurrence(drifts: DataFrame, trigger: str = "trigger", detail: str = "detail", examples: int = 3) -> DataFrame:
@@ -125,31 +125,61 @@ def concern_lifetime(events: DataFrame) -> DataFrame:
 
 
 def provider_cognition(events: DataFrame) -> DataFrame:
-    """Providers with a concern event: raised and resolved per session, and the breakdown of concern events."""
+    """Providers with a concern event: raised and resolved per session, and how often each kind of concern event occurs
+    (breakdown, as kind:count by name)."""
     e = present(events)
-    raised, resolved = F.count_if(F.col("mention_type") == "concern_raised"), F.count_if(F.col("mention_type") == "concern_resolved")
-    per = e.groupBy("provider").agg(F.count_distinct("session_id").alias("sessions"), raised.alias("raised"), resolved.alias("resolved"), F.count_if(F.col("mention_type").startswith("concern")).alias("concern_events"))
-    return per.where("concern_events > 0").select("provider", "sessions", "raised", "resolved", "concern_events", F.round(F.col("raised") / F.col("sessions"), 3).alias("raised_per_session"), F.round(F.col("resolved") / F.col("sessions"), 3).alias("resolved_per_session"))
-
-
-def scale(events: DataFrame) -> DataFrame:
-    return events.agg(F.count_distinct("session_id").alias("sessions"), F.count_distinct("provider").alias("providers"), F.count("*").alias("events"), F.count_distinct("target_id").alias("targets"))
-
-
-def moves(frame: DataFrame, least: int = 2, width: int = 100, distinct_sessions: bool = False) -> DataFrame:
-    """(move, owner, level) with occurrences: confirmed at `least`, else candidates. Long moves are told by their start."""
+    kind = F.col("mention_type")
+    raised, resolved = F.count_if(kind == "concern_raised"), F.count_if(kind == "concern_resolved")
+    per = e.groupBy("provider").agg(F.count_distinct("session_id").alias("sessions"), raised.alias("raised"), resolved.alias("resolved"))
+    kinds = e.where(kind.startswith("concern")).groupBy("provider", "mention_type").agg(F.count("*").alias("n"))
+    kinds = kinds.groupBy("provider").agg(F.sum("n").alias("concern_events"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("mention_type", "n"))), lambda k: F.concat(k["mention_type"], F.lit(":"), k["n"].cast("string"))), ",").alias("breakdown"))
+    rate = lambda c: F.round(F.col(c) / F.col("sessions"), 3).alias(f"{c}_per_session")
+    return per.join(kinds, "provider").select("provider", "sessions", "raised", "resolved", "concern_events", rate("raised"), rate("resolved"), "breakdown")
+
+
+#: Kinds of object that count as deltas; decisions do not.
+DELTAS = ["rules", "affect", "stances", "mental_moves", "drifts"]
+
+
+def scale(events: DataFrame, objects: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One row: sessions, providers, events and targets of the log, and the deltas among the objects (by kind)."""
+    deltas = None
+    for kind in DELTAS:
+        if objects and kind in objects:
+            n = objects[kind].agg(F.count("*").alias("n"))
+            deltas = n if deltas is None else deltas.unionByName(n)
+    out = events.agg(F.count_distinct("session_id").alias("sessions"), F.count_distinct("provider").alias("providers"), F.count("*").alias("events"), F.count_distinct("target_id").alias("targets"))
+    if deltas is None:
+        return out.withColumn("total_deltas", F.lit(0).cast("long"))
+    return out.crossJoin(F.broadcast(deltas.agg(F.sum("n").alias("total_deltas"))))  # one row by construction
+
+
+def moves(frame: DataFrame, least: int = 2, width: int = 100, distinct_sessions: bool = False, examples: int = 5) -> DataFrame:
+    """(move, owner, level) with occurrences and the sessions of the first ones: confirmed at `least`, else candidates. Long
+    moves are told by their start. A move's place among its equals is a window, so its examples stay few in each group."""
+    key = [F.substring("move", 1, width).alias("move"), F.coalesce("owner", F.lit("?")).alias("owner"), F.coalesce("level", F.lit("?")).alias("level")]
+    at = F.col("seq") if "seq" in frame.columns else F.col("session_id")
+    m = frame.select(*key, at.alias("seq"), "session_id").withColumn("r", F.row_number().over(Window.partitionBy("move", "owner", "level").orderBy("seq")))
     n = F.count_distinct("session_id") if distinct_sessions else F.count("*")
-    return frame.groupBy(F.substring("move", 1, width).alias("move"), "owner", "level").agg(n.alias("occurrences")).withColumn("state", F.when(F.col("occurrences") >= least, "confirmed").otherwise("candidate"))
+    shown = F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= examples, F.struct("r", "session_id")))), lambda e: e["session_id"])
+    per = m.groupBy("move", "owner", "level").agg(n.alias("occurrences"), F.array_join(shown, ",").alias("example_sessions"))
+    return per.withColumn("state", F.when(F.col("occurrences") >= least, "confirmed").otherwise("candidate"))
 
 
-def full_profile(events: DataFrame, decisions: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every inference over one log, as lazily evaluated frames."""
+def full_profile(events: DataFrame, decisions: DataFrame | None = None, objects: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Every inference over one log, as lazily evaluated frames; objects (by kind) add moves, drifts, rules and affect."""
     from . import decisions as d
 
     out = {
         "convergence": convergence(events), "concern_lifecycle": concern_lifecycle(events), "cross_provider": cross_provider(events), "top_entities": entity_frequency(events),
-        "idea_resurrection": resurrection(events), "decision_half_life": half_life(events), "concern_lifetime": concern_lifetime(events), "provider_cognition": provider_cognition(events), "scale": scale(events),
+        "idea_resurrection": resurrection(events), "decision_half_life": half_life(events), "concern_lifetime": concern_lifetime(events), "provider_cognition": provider_cognition(events), "scale": scale(events, objects),
     }
     if decisions is not None:
         out["load_bearing"] = d.load_bearing(decisions)
+    if objects:
+        out |= {k: objects[k] for k in ("rules", "affect", "stances") if k in objects}
+        if "mental_moves" in objects:
+            out["moves"] = moves(objects["mental_moves"])
+        if "drifts" in objects:
+            out["drifts"] = drift_recurrence(objects["drifts"], "trigger", "trigger_detail")
     return out

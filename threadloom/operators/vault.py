@@ -69,22 +69,70 @@ def diverse(events: DataFrame, most: int = 12) -> DataFrame:
     return e.withColumn("place", F.row_number().over(by)).where(F.col("place") <= most).drop("turn", "first")
 
 
-def pages(events: DataFrame, now: Column, decisions: DataFrame | None = None, most_concerns: int = 20) -> DataFrame:
-    """(name, page): each target's page as Markdown with front matter, ready to be written."""
-    info = entities(events, now)
-    at = F.coalesce(F.nullif(F.substring("ts_raw", 1, 10), F.lit("")), F.lit("-"))
-    log = events.groupBy("target_id").agg(F.array_sort(F.collect_list(F.struct(when_key().alias("k"), F.concat(F.lit("- "), at, F.lit(" - [[session_"), "session_id", F.lit("]] - "), "mention_type", F.lit(" ("), F.coalesce("authorship", F.lit("?")), F.lit(")")).alias("l")))).alias("log"))
-    by = Window.partitionBy("target_id").orderBy(F.coalesce("ts_raw", F.lit("")), "seq")
-    c = events.where("mention_type like 'concern%'").withColumn("r", F.row_number().over(by)).where(F.col("r") <= most_concerns)
-    c = c.groupBy("target_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", F.concat(F.lit("- [[session_"), "session_id", F.lit("]] - **"), "mention_type", F.lit("**")).alias("l")))), lambda x: x["l"]), "\n").alias("concerns"))
-    out = info.join(log, "target_id").join(c, "target_id", "left")
-    section = lambda title, body: F.when(body.isNotNull(), F.concat(F.lit(f"## {title}\n"), body, F.lit("\n\n"))).otherwise("")
-    chosen = F.lit(None).cast("string")
-    if decisions is not None:
-        d = decisions_of(events, decisions).groupBy("target_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", F.concat(F.lit("- [[session_"), "session_id", F.lit("]] - "), "line").alias("l")))), lambda x: x["l"]), "\n").alias("chosen"))
-        out = out.join(d, "target_id", "left")
-        chosen = F.col("chosen")
-    front = ["target_id", "target_type", "aliases", "first_seen", "last_seen", "mention_count", "providers", "co_mentioned", "status"]
-    head = F.concat(F.lit("---\n"), *[x for f in front for x in (F.lit(f"{f}: "), F.coalesce(F.col(f).cast("string"), F.lit("null")), F.lit("\n"))], F.lit("---\n\n# "), "target_id", F.lit("\n## Summary\nDominant valence: **"), F.coalesce("valence", F.lit("-")), F.lit("**. Seen across providers: "), "providers", F.lit(". Status: **"), "status", F.lit("**.\n\n"))
-    body = F.concat(head, section("Load-bearing decisions", chosen), section("Concerns", F.col("concerns")), F.lit("## Mention log\n"), F.array_join(F.transform("log", lambda x: x["l"]), "\n"), F.lit("\n"))
-    return out.select(F.substring(F.regexp_replace("target_id", r"[^A-Za-z0-9._-]", "_"), 1, 120).alias("name"), body.alias("page"))
+#: Fixed value: characters that a YAML scalar may not hold unquoted.
+QUOTED = r"[:#\[\]{}&*!|>'\"%@`\n]"
+
+
+def yaml_scalar(value: Column) -> Column:
+    """A string as a YAML scalar: in JSON quotes only where it must be, null where it is none."""
+    quoted = F.regexp_replace(F.to_json(F.struct(value.alias("v"))), r'(?s)^\{"v":(.*)\}$', "$1")
+    return F.when(value.isNull(), "null").when(value.rlike(QUOTED), quoted).otherwise(value)
+
+
+def yaml_list(values: Column) -> Column:
+    return F.concat(F.lit("["), F.array_join(F.transform(values, yaml_scalar), ", "), F.lit("]"))
+
+
+def file_names(targets: DataFrame) -> DataFrame:
+    """(target_id, name): a file's name for each target, other characters than letters, digits, dot, underscore and hyphen as
+    hyphens. Targets that would share a name (in any case) get a digest of their own behind it, all but the first by id."""
+    name = F.regexp_replace(F.regexp_replace("target_id", r"[^A-Za-z0-9._-]+", "-"), r"^-+|-+$", "")
+    t = targets.select("target_id").distinct().withColumn("name", F.substring(F.when(name == "", "unnamed").otherwise(name), 1, 120))
+    n = F.row_number().over(Window.partitionBy(F.lower("name")).orderBy("target_id"))
+    return t.withColumn("n", n).select("target_id", F.when(F.col("n") == 1, F.col("name")).otherwise(F.concat("name", F.lit("-"), F.substring(F.sha2("target_id", 256), 1, 8))).alias("name"))
+
+
+def _lines(frame: DataFrame, order: Column, line: Column, name: str, most: int | None = None) -> DataFrame:
+    """(target_id, name): each target's lines in order as one text, at most `most` of them."""
+    if most is not None:
+        frame = frame.withColumn("_r", F.row_number().over(Window.partitionBy("target_id").orderBy(order))).where(F.col("_r") <= most)
+    listed = F.array_sort(F.collect_list(F.struct(order.alias("o"), line.alias("l"))))
+    return frame.groupBy("target_id").agg(F.array_join(F.transform(listed, lambda x: x["l"]), "\n").alias(name))
+
+
+def pages(events: DataFrame, now: Column, decisions: DataFrame | None = None, rules: DataFrame | None = None) -> DataFrame:
+    """(target_id, name, page): each target's page as Markdown with front matter, under a file name of its own. A page holds
+    the whole mention log of its target; concerns stop at twenty, decisions and rules at fifteen."""
+    e = events.where("target_id <> ''")
+    dash, session = F.lit(" \u2014 "), F.concat(F.lit("- [[session_"), F.col("session_id"), F.lit("]]"))
+    day = F.coalesce(F.nullif(F.substring("ts_raw", 1, 10), F.lit("")), F.lit("\u2014"))
+    kind = F.coalesce(F.nullif(F.col("mention_type"), F.lit("")), F.lit("reference"))
+    quote = F.col("evidence_quote") if "evidence_quote" in e.columns else F.lit(None).cast("string")
+    quote = F.substring(F.regexp_replace(F.trim(F.coalesce(quote, F.lit(""))), "\n", " "), 1, 180)
+    out = entities(e, now).join(file_names(e), "target_id")
+    out = out.join(e.groupBy("target_id").agg(F.min_by("ts_raw", when_key()).alias("_from"), F.max_by("ts_raw", when_key()).alias("_to")), "target_id")
+    out = out.join(_lines(e, when_key(), F.concat(F.lit("- "), day, dash, F.lit("[[session_"), "session_id", F.lit("]]"), dash, kind, F.lit(" ("), F.coalesce("authorship", F.lit("?")), F.lit(")")), "_log"), "target_id")
+    out = out.join(_lines(e.where("mention_type like 'concern%'"), when_key(), F.concat(session, dash, F.lit("**"), kind, F.lit("**"), dash, quote), "_concerns", 20), "target_id", "left")
+    for name, frame, of in (("_decisions", decisions, decisions_of), ("_rules", rules, rules_of)):
+        own = e.limit(0).select("target_id", F.lit("").alias(name)) if frame is None else _lines(of(e, frame), F.col("place"), F.concat(session, dash, "line"), name)
+        out = out.join(own, "target_id", "left")
+    blank = F.lit("")
+    split = lambda c: F.filter(F.split(F.coalesce(c, blank), ","), lambda x: x != "")
+    front = {
+        "target_id": yaml_scalar(F.col("target_id")), "target_type": yaml_scalar(F.coalesce("target_type", F.lit("Unknown"))), "aliases": yaml_list(split("aliases")), "first_seen": yaml_scalar(F.coalesce("_from", blank)), "last_seen": yaml_scalar(F.coalesce("_to", blank)),
+        "mention_count": F.col("mention_count").cast("string"), "providers": yaml_list(split("providers")), "co_mentioned_top": yaml_list(split("co_mentioned")), "status": F.col("status"),
+    }
+    head = F.concat(F.lit("---\n"), *[x for k, v in front.items() for x in (F.lit(f"{k}: "), v, F.lit("\n"))], F.lit("---\n\n# "), "target_id", F.lit("\n"))
+    said = F.concat(F.lit("## Summary\nDominant valence: **"), F.coalesce("valence", F.lit("\u2014")), F.lit("**. Seen across providers: "), F.coalesce(F.nullif(F.array_join(split("providers"), ", "), blank), F.lit("\u2014")), F.lit(". Status: **"), "status", F.lit("** (last seen "), F.coalesce(F.nullif("_to", blank), F.lit("\u2014")), F.lit(").\n\n"))
+    section = lambda title, body: F.when(F.col(body) != "", F.concat(F.lit(f"## {title}\n"), body, F.lit("\n\n"))).otherwise("")
+    parts = [section("Load-bearing decisions", "_decisions"), section("Concerns", "_concerns"), section("Rules touching this entity", "_rules"), section("Mention log", "_log")]
+    return out.select("target_id", "name", F.concat(head, said, *parts).alias("page"))
+
+
+def index_page(names: DataFrame) -> DataFrame:
+    """(name, page): one row, the index of all pages in order of their targets, whatever their case; it grows with the
+    targets, and its lines are put together in one task."""
+    line = F.concat(F.lit("- [["), "name", F.lit("]] \u2014 `"), "target_id", F.lit("`\n"))
+    listed = F.array_sort(F.collect_list(F.struct(F.lower("target_id").alias("k"), "target_id", line.alias("l"))))
+    one = names.agg(F.count("*").alias("n"), F.array_join(F.transform(listed, lambda x: x["l"]), "").alias("all"))
+    return one.select(F.lit("INDEX").alias("name"), F.concat(F.lit("# Vault index\n_"), F.col("n").cast("string"), F.lit(" entities_\n\n"), "all").alias("page"))

@@ -57,7 +57,7 @@ select target_id, count(distinct provider) as provider_count, string_agg(distinc
 from m group by target_id having count(distinct provider) >= 2""")
 
 on_events("entity_top30", profile.entity_frequency, """
-select target_id, count(*) as event_count from m group by target_id order by event_count desc, min(seq) limit 30""")
+select target_id, min_by(target_type, seq) as target_type, count(*) as event_count, string_agg(distinct provider, ',' order by provider) as providers from m group by target_id order by event_count desc, min(seq) limit 30""")
 
 on_events("corpus_now", profile.corpus_now, """
 select max(ts) as now from m""")
@@ -82,26 +82,35 @@ select target_id, target_type, case when b is null then 'still_open' else 'resol
   round(abs(epoch_us(coalesce(b, (select max(ts) from m))) - epoch_us(a)) / 8.64e10::double, 1) as lifetime_days
 from c where a is not null""")
 
-on_events("provider_cognition", profile.provider_cognition, """
-select provider, count(distinct session_id) as sessions, count(*) filter (mention_type = 'concern_raised') as raised, count(*) filter (mention_type = 'concern_resolved') as resolved,
+on_events("provider_cognition", profile.provider_cognition, """,
+k as (select provider, string_agg(mention_type || ':' || n, ',' order by mention_type) as breakdown from (select provider, mention_type, count(*) as n from m where mention_type like 'concern%' group by 1, 2) group by 1)
+select provider, any_value(breakdown) as breakdown, count(distinct session_id) as sessions, count(*) filter (mention_type = 'concern_raised') as raised, count(*) filter (mention_type = 'concern_resolved') as resolved,
   count(*) filter (mention_type like 'concern%') as concern_events,
   round(count(*) filter (mention_type = 'concern_raised') / count(distinct session_id)::double, 3) as raised_per_session,
   round(count(*) filter (mention_type = 'concern_resolved') / count(distinct session_id)::double, 3) as resolved_per_session
-from m group by provider having count(*) filter (mention_type like 'concern%') > 0""")
+from m join k using (provider) group by provider having count(*) filter (mention_type like 'concern%') > 0""")
+
+
+@query("scale", f"""with {M_SQL.strip()}, {R_SQL.strip()}
+select count(distinct session_id) as sessions, count(distinct provider) as providers, count(*) as events, count(distinct target_id) as targets,
+  (select count(*) from r) + (select count(*) from m where mention_type like 'concern%') as total_deltas from m""")
+def scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = views.mention_events(spark, sf_dir)
+    return profile.scale(e, {"rules": views.rules(spark, sf_dir), "affect": e.where("mention_type like 'concern%'"), "decisions": views.decisions(spark, sf_dir)})
 
-on_events("scale", profile.scale, """
-select count(distinct session_id) as sessions, count(distinct provider) as providers, count(*) as events, count(distinct target_id) as targets from m""")
 
 on_events("drift_recurrence", lambda e: profile.drift_recurrence(e.where("mention_type like 'concern%'"), "valence", "target_id"), """,
 c as (select *, row_number() over (partition by valence order by seq) as r from m where mention_type like 'concern%')
 select valence, count(*) as count, string_agg(target_id, '|' order by seq) filter (r <= 3) as examples from c group by valence""")
 
 
-@query("moves_confirmed", f"""with {R_SQL.strip()}
-select substring(rule_text, 1, 100) as move, provider as owner, level, count(*) as occurrences, case when count(*) >= 2 then 'confirmed' else 'candidate' end as state
-from r group by 1, 2, 3""")
+@query("moves_confirmed", f"""with {R_SQL.strip()},
+x as (select *, row_number() over (partition by substring(rule_text, 1, 100), provider, level order by seq) as n from r)
+select substring(rule_text, 1, 100) as move, coalesce(provider, '?') as owner, coalesce(level, '?') as level, count(*) as occurrences, string_agg((seq % 50)::varchar, ',' order by seq) filter (n <= 5) as example_sessions, case when count(*) >= 2 then 'confirmed' else 'candidate' end as state
+from x group by substring(rule_text, 1, 100), provider, level""")
 def moves_confirmed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.moves(views.rules(spark, sf_dir).withColumnsRenamed({"rule_text": "move", "provider": "owner"}))
+    r = views.rules(spark, sf_dir).withColumnsRenamed({"rule_text": "move", "provider": "owner"})
+    return profile.moves(r.withColumn("session_id", (F.col("seq") % 50).cast("string")))
 
 
 on_decisions("p3_load_bearing", decisions.load_bearing, """,
@@ -233,4 +242,4 @@ def communities_modularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.modularity(edges, graph.louvain(edges))
 
 
-from . import catalogue_more  # noqa: E402,F401  registers the rest
+from . import catalogue_more, catalogue_state  # noqa: E402,F401  register the rest

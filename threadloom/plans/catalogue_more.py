@@ -172,7 +172,7 @@ def _profile(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     p["drifts"] = profile.drift_recurrence(e.where("mention_type like 'concern%'"), "valence", "target_id")
     r = views.rules(spark, sf_dir)
     p["rules"] = r
-    p["moves"] = profile.moves(r.withColumnsRenamed({"rule_text": "move", "provider": "owner"}))
+    p["moves"] = profile.moves(r.withColumnsRenamed({"rule_text": "move", "provider": "owner"}).withColumn("session_id", (F.col("seq") % 50).cast("string")))
     return p
 
 
