@@ -163,7 +163,7 @@ def test_text_functions(spark):
     page = spark.createDataFrame([("n", "# H\n\n## Rules\n- do *this*\nprose\n## Environment\nplain & text\n---")], "name string, text string")
     assert text.compact_markdown(page).first()["xml"] == '<s t="Rules">\n<r>do this</r>\n</s>\n<s t="Environment">\nplain &amp; text\n</s>'
     code = "```\n" + "\n".join(map(str, range(12))) + "\n```"
-    assert spark.createDataFrame([(code,)], "t string").select(text.shrink_code("t", F.lit(4))).first()[0] == "```\n0\n1\n... 8 lines ...\n10\n11\n```"
+    assert spark.createDataFrame([(code,)], "t string").select(text.shrink_code("t", F.lit(4))).first()[0] == "```\n0\n1\n… [8 lines elided] …\n10\n11\n```"
 
 
 def plain_sample(lengths, most):

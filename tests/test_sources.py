@@ -12,7 +12,7 @@ from threadloom.sources import extractions, transcripts
 def put(root, name, data):
     p = root / name
     p.parent.mkdir(parents=True, exist_ok=True)
-    p.write_text(data if isinstance(data, str) else json.dumps(data))
+    p.write_text(data if isinstance(data, str) else json.dumps(data, indent=2))
 
 
 def turns(df):
@@ -27,6 +27,13 @@ def test_chat_lines(spark, tmp_path):
     assert turns(transcripts.claude_desktop(spark, str(tmp_path / "d"))) == [("s1", 0, "user", "q", "", "T")]
 
 
+def test_order_of_lines(spark, tmp_path):
+    put(tmp_path, "s.jsonl", "\n".join(json.dumps({"type": "user", "message": {"content": f"m{i}"}}) for i in range(40)))
+    assert [t[3] for t in turns(transcripts.claude_code(spark, str(tmp_path)))] == [f"m{i}" for i in range(40)]
+    put(tmp_path, "t/raw.log", "one\ntwo\n\n> three\nfour\n\nfive")
+    assert [(r, t) for _, _, r, t, _, _ in turns(transcripts.terminal(spark, str(tmp_path / "t")))] == [("assistant", "one\ntwo"), ("user", "three\nfour"), ("assistant", "five")]
+
+
 def test_documents(spark, tmp_path):
     put(tmp_path, "g/s.json", {"messages": [{"type": "user", "content": "hi"}, "junk", {"type": "gemini", "content": [{"text": "a"}, {"text": "b"}], "thoughts": [{"text": "t"}], "tokens": {"n": 1}}, {"type": "info", "content": "x"}]})
     put(tmp_path, "g/bad.json", "{")
@@ -87,6 +94,27 @@ def test_artifacts_and_cli(spark, sf, tmp_path, capsys):
     assert "be kind" in capsys.readouterr().out
     assert cli.main(["pipeline", str(tmp_path / "p"), "--out", str(tmp_path / "o")]) == 0
     assert (tmp_path / "o/profile/convergence").is_dir() and (tmp_path / "o/events").is_dir()
+    assert "# acme\n" in (tmp_path / "o/entities/acme.md").read_text() and "_2 entities_" in (tmp_path / "o/entities/INDEX.md").read_text()
+    capsys.readouterr()
+
+    def run(*argv):
+        assert cli.main(list(argv)) == 0
+        return capsys.readouterr().out
+
+    stored = ["--profile", str(tmp_path / "o/profile")]
+    assert "be kind" in run("compile", "-", "--target", "claude_md", *stored)
+    state = json.loads(run("brain", "-", *stored))
+    assert len(state["regions"]) == 8 and len(state["fibers"]) == 20 and len(state["hypotheses"]) == 10 and state["timeline"] == []
+    assert json.loads(run("brain", str(tmp_path / "p")))["timeline"]
+    line = {"type": "user", "timestamp": "2026-01-01T00:00:00Z", "message": {"content": "FooBar and GPU\n```\ncode\n```"}}
+    put(tmp_path, "t/s7.jsonl", json.dumps(line))
+    run("extract", str(tmp_path / "t"), "--out", str(tmp_path / "x"))
+    made = json.loads((tmp_path / "x/claude_code/s7.json").read_text())
+    assert {m["target_id"] for m in made["mention_events"]} >= {"FooBar", "GPU"}
+    assert "# Session reflection" in run("reflect", str(tmp_path / "t"))
+    assert "industry_map" in run("draft", str(tmp_path), "--project", "acme", *stored)
+    assert "acme" in run("canonicalize", str(tmp_path / "p")) and run("canonicalize", str(tmp_path / "p"), "--apply") and run("canonicalize", str(tmp_path / "p"), "--apply") == ""
+    run("ripple", str(tmp_path / "p"), "--out", str(tmp_path / "o"))
 
 
 def test_extraction_surface(spark):

@@ -9,12 +9,13 @@ import sys
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .functions import slugs
+from .functions import slugs, text
 from .operators import decisions as dec
-from .operators import domain, event_log, graph, profile, reliability, sanitize, vault
+from .operators import brain_state, domain, drafts, event_log, extract, graph, profile, reliability, sanitize, vault
 from .plans.compilers import TARGETS, Profile, compile_profile, compile_projects
 from .session import get_session
-from .sources import extractions, transcripts
+from .sources import extractions, profiles, rewriting, transcripts
+from .sources.writing import write_texts
 
 
 def frames(spark, args) -> dict[str, DataFrame]:
@@ -30,6 +31,21 @@ def whole_profile(f: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return profile.full_profile(f["events"], f["decisions"], kinds)
 
 
+def write_vault(f: dict[str, DataFrame], folder: str) -> DataFrame:
+    """The entity pages and their index as Markdown files; (path, bytes) of what was written."""
+    rules = extractions.objects(f["docs"], "rules")
+    pages = vault.pages(f["events"], F.current_timestamp(), f["decisions"], rules).select("name", "page")
+    every = pages.unionByName(vault.index_page(vault.file_names(f["events"])))
+    return write_texts(every, folder, "name", "page", ".md")
+
+
+def sessions(turns: DataFrame) -> DataFrame:
+    """(session_id, provider, text): each session's turns, scrubbed, sampled to the budget and rendered for a model."""
+    t = turns.select("session_id", "provider", "index", text.render_turn(F.col("index"), F.col("role"), F.col("timestamp"), text.scrub(F.col("text")), text.scrub(F.col("thinking"), True)).alias("text"))
+    kept = text.sample_turns(t).groupBy("session_id", "provider").agg(F.array_sort(F.collect_list(F.struct("index", "text"))).alias("t"))
+    return kept.select("session_id", "provider", F.array_join(F.transform("t", lambda x: x["text"]), "\n\n").alias("text"))
+
+
 def show(df: DataFrame, n: int = 50) -> None:
     for r in df.limit(n).collect():
         print(json.dumps(r.asDict(recursive=True), default=str, ensure_ascii=False))
@@ -37,8 +53,8 @@ def show(df: DataFrame, n: int = 50) -> None:
 
 def main(argv: list[str] | None = None) -> int:
     a = argparse.ArgumentParser(prog="threadloom")
-    a.add_argument("command", choices=["status", "ingest", "events", "vault", "aggregate", "compile", "compile-projects", "index", "open", "history", "supersession", "reliability", "domain", "canonicalize", "pipeline"])
-    a.add_argument("sessions", nargs="+", help="folders of extraction documents (ingest: of transcripts; domain: of Markdown files)")
+    a.add_argument("command", choices=["status", "ingest", "extract", "reflect", "events", "vault", "aggregate", "compile", "compile-projects", "brain", "draft", "index", "ripple", "open", "history", "supersession", "reliability", "domain", "canonicalize", "canvas", "pipeline"])
+    a.add_argument("sessions", nargs="+", help="folders of extraction documents (ingest, extract, reflect: of transcripts; domain, draft: a project; canvas: its nodes)")
     a.add_argument("--out")
     a.add_argument("--providers", nargs="*")
     a.add_argument("--aliases")
@@ -48,6 +64,11 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--provider", default="claude_code")
     a.add_argument("--entity")
     a.add_argument("--limit", type=int, default=30)
+    a.add_argument("--profile", help="compile, draft and brain: a stored profile instead of --sessions' documents")
+    a.add_argument("--project", default="?")
+    a.add_argument("--apply", action="store_true", help="canonicalize, canvas: write the files in place")
+    a.add_argument("--force", action="store_true", help="canvas: look at nodes that have a name already")
+    a.add_argument("--fast", action="store_true", help="extract: no critique")
     args = a.parse_args(argv)
     spark = get_session()
     if args.command == "ingest":
@@ -60,8 +81,42 @@ def main(argv: list[str] | None = None) -> int:
         show(domain.coverage(seen))
         show(domain.gaps(seen))
         return 0
-    f = frames(spark, args)
-    e = f["events"]
+    if args.command in ("extract", "reflect"):
+        read = sessions(transcripts.reader(args.provider)(spark, args.sessions[0]))
+        if args.command == "extract":
+            out = extract.run_sessions(read, fast=args.fast)
+            show(out.drop("document")) if not args.out else show(write_texts(out.withColumn("name", F.concat("provider", F.lit("/"), "session_id")), args.out, "name", "document", ".json"), args.limit)
+            return 0
+        answers = extract.lenses(read.select("session_id", F.col("text").alias("brief")))
+        page = extract.reflection(answers, read, project=args.project)
+        show(write_texts(page, args.out, "session_id", "page", ".md") if args.out else page, args.limit)
+        return 0
+    aliases = slugs.load_aliases(spark, args.aliases) if args.aliases else None
+    if args.command == "canvas":
+        nodes = rewriting.canvas_slugs(spark, args.sessions[0], aliases, args.force)
+        show(write_texts(nodes.where("outcome = 'rewritten'"), None, "path", "text") if args.apply else nodes.drop("text"), args.limit)
+        return 0
+    if args.command == "canonicalize" and args.apply:
+        for folder in args.sessions:
+            show(write_texts(rewriting.canonical_documents(spark, folder, aliases), None, "path", "text"), args.limit)
+        return 0
+    stored = profiles.load(spark, args.profile) if args.profile else None
+    if args.command == "draft":
+        asked = drafts.prompts(spark, args.sessions[0], args.project, stored or {"top_entities": spark.createDataFrame([], "target_id string, event_count long, providers string")})
+        show(drafts.draft(asked, extract.rule_based, args.project), args.limit)
+        return 0
+    f = frames(spark, args) if stored is None else {}
+    e = f.get("events")
+    if args.command in ("compile", "compile-projects", "brain"):
+        every = stored if stored is not None else whole_profile(f)
+        if args.command == "brain":
+            print(brain_state.state_json(every, e))
+            return 0
+        p = Profile(sanitize.sanitise(every, args.sanitize))
+        print(compile_profile(p, args.target, args.max_tokens) if args.command == "compile" else json.dumps(compile_projects(p), ensure_ascii=False, indent=1))
+        return 0
+    if stored is not None:
+        a.error(f"{args.command} takes no --profile")
     if args.command == "status":
         show(event_log.meta(e))
     elif args.command == "canonicalize":
@@ -77,9 +132,6 @@ def main(argv: list[str] | None = None) -> int:
         m = reliability.per_provider(extractions.session_counts(f["docs"]), kinds)
         show(m)
         show(reliability.skew(m, "mention_events_mean"))
-    elif args.command in ("compile", "compile-projects"):
-        p = Profile(sanitize.sanitise(whole_profile(f), args.sanitize))
-        print(compile_profile(p, args.target, args.max_tokens) if args.command == "compile" else json.dumps(compile_projects(p), ensure_ascii=False, indent=1))
     else:
         if not args.out:
             a.error(f"{args.command} needs --out")
@@ -87,10 +139,12 @@ def main(argv: list[str] | None = None) -> int:
             event_log.write_months(e, f"{args.out}/events")
             event_log.index(e).write.mode("overwrite").json(f"{args.out}/events_index")
         if args.command in ("vault", "pipeline"):
-            _write_vault(spark, f, f"{args.out}/entities")
+            write_vault(f, f"{args.out}/entities").agg(F.sum("bytes")).collect()
         if args.command in ("aggregate", "pipeline"):
-            for name, frame in whole_profile(f).items():
-                frame.write.mode("overwrite").json(f"{args.out}/profile/{name}")
+            profiles.save(whole_profile(f), f"{args.out}/profile")
+        if args.command == "ripple":
+            edges = graph.cochange(e)
+            write_texts(graph.shards(graph.ripple(edges, graph.criticality(e, edges))), f"{args.out}/ripple", suffix=".json").agg(F.sum("bytes")).collect()
         if args.command == "index":
             for name, frame in graph.bundle(e).items():
                 frame.write.mode("overwrite").json(f"{args.out}/graph/{name}")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .text import strip
+
 #: Endings that say nothing about the name, and the form of a trailing version.
 FILLERS = ["-bridge", "-core", "-mcp", "-service", "-svc", "-daemon", "-server"]
 VERSION = r"[-_ ]v?\d+(?:[._-]\d+)*"
@@ -13,18 +15,20 @@ VERSION = r"[-_ ]v?\d+(?:[._-]\d+)*"
 def normalise(name: Column, fillers: list[str] = FILLERS) -> Column:
     """Trimmed, lower case, blanks as hyphens; trailing versions and fillers go while two characters stay before them, then
     the word "the", doubled separators and separators at the ends. One pattern takes all endings of a name, however many."""
-    s = F.regexp_replace(F.lower(F.trim(name)), r"(?U)\s+", "-")
+    s = F.regexp_replace(F.lower(strip(name)), r"(?U)\s+", "-")
     s = F.regexp_replace(s, rf"(?:{VERSION}|(?<=..)(?:{'|'.join(fillers)}))++$", "")
     s = F.regexp_replace(s, r"(^|[-_ ])the([-_ ]|$)", "$1$2")
     s = F.regexp_replace(s, r"[-_]{2,}", "-")
     return F.regexp_replace(s, r"^[-_]+|[-_]+$", "")
 
 
-def alias_table(spark: SparkSession, aliases: dict[str, str | list[str]]) -> DataFrame:
-    """(alias, canonical) of a mapping canonical -> alias or aliases, both sides normalised."""
-    rows = [(a, c) for c, given in aliases.items() for a in ([given] if isinstance(given, str) else given)]
-    t = spark.createDataFrame(rows, "alias string, canonical string") if rows else spark.createDataFrame([], "alias string, canonical string")
-    return t.select(normalise(F.col("alias")).alias("alias"), normalise(F.col("canonical")).alias("canonical")).dropDuplicates(["alias"])
+def alias_table(spark: SparkSession, aliases: dict[str, str | list[str] | None]) -> DataFrame:
+    """(alias, canonical) of a mapping canonical -> alias or aliases, both sides normalised; a canonical name stands for itself.
+    Where a name is told twice the later line holds; empty names are left out."""
+    rows = [(str(a), str(c)) for c, given in aliases.items() for a in [c, *([given] if isinstance(given, str) else given or [])]]
+    t = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "at long, alias string, canonical string")
+    t = t.select("at", normalise(F.col("alias")).alias("alias"), normalise(F.col("canonical")).alias("canonical")).where("alias <> '' and canonical <> ''")
+    return t.groupBy("alias").agg(F.max_by("canonical", "at").alias("canonical"))
 
 
 def load_aliases(spark: SparkSession, path: str) -> DataFrame:

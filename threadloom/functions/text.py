@@ -16,39 +16,48 @@ from pyspark.sql.types import StringType
 FENCE = r"(?s)```[^\n]*\n.*?```"
 #: Terminal control sequences, and what a scrubbed turn loses.
 ANSI = r"\x1B(?:\[[0-?]*[ -/]*[@-~]|\][^\x07]*\x07|[@-Z\\-_])"
-TOOL_TAGS = r"(?s)<(tool_use|tool_result|function_calls|system-reminder)\b.*?</\1>"
+TOOL_RESULT = r"\[tool_result:[^\]]*+\][^\n]*+\n?"
+#: Fixed value: white space as Python's strip takes it.
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends (trim takes spaces alone)."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def strip_fences(text: Column) -> Column:
-    """Fenced code taken out and the rest trimmed; texts without fences stay as they are."""
-    return F.when(text.contains("```"), F.trim(F.regexp_replace(text, FENCE, ""))).otherwise(text)
+    """Fenced code taken out and the rest stripped; texts without fences stay as they are."""
+    return F.when(text.contains("```"), strip(F.regexp_replace(text, FENCE, ""))).otherwise(text)
 
 
 @F.pandas_udf(StringType())
 def shrink_code(text: pd.Series, most_lines: pd.Series) -> pd.Series:
-    """Fenced code of over most_lines lines keeps its first and last half of them."""
+    """Fenced code of over most_lines lines keeps half of them, at its start and its end, around a note of what went."""
 
     def one(t: str | None, most: int) -> str | None:
         def cut(m: re.Match) -> str:
-            lines = m.group(2).split("\n")
+            lines, half = m.group(2).splitlines(), most // 2
             if len(lines) <= most:
                 return m.group(0)
-            head, tail = most - most // 2, most // 2
-            return f"```{m.group(1)}\n" + "\n".join([*lines[:head], f"... {len(lines) - most} lines ...", *lines[len(lines) - tail :]]) + "\n```"
+            last = lines[-(most - half) :]
+            return "\n".join([f"```{m.group(1).strip()}", "\n".join(lines[:half]), f"\u2026 [{len(lines) - most} lines elided] \u2026", *last, "```"])
 
-        return None if t is None else re.sub(r"```([^\n]*)\n(.*?)\n?```", cut, t, flags=re.S)
+        return None if t is None else re.sub(r"```([^\n]*)\n(.*?)```", cut, t, flags=re.S)
 
     return pd.Series([one(t, n) for t, n in zip(text, most_lines, strict=True)])
 
 
-def flatten_blocks(content: Column, kind: str = "text") -> Column:
-    """Of a variant that is a string or a list of content blocks: the text (or thinking) of its blocks, a line each."""
+def flatten_blocks(content: Column, kind: str = "text", code: bool = False) -> Column:
+    """Of a variant that is a string or a list of content blocks: the text (or thinking) of its blocks, a line each, each
+    without fenced code unless `code`. A thought may lie in its block's text. What is no block is left out."""
+    bare = (lambda t: t) if code else strip_fences
     shape = F.schema_of_variant(content)
     blocks = F.try_variant_get(content, "$", "array<variant>")
-    own = F.filter(blocks, lambda b: (F.try_variant_get(b, "$.type", "string") == kind) | (F.schema_of_variant(b).startswith("STRING") & F.lit(kind == "text")))
-    texts = F.transform(own, lambda b: F.coalesce(F.try_variant_get(b, f"$.{kind}", "string"), F.when(F.schema_of_variant(b).startswith("STRING"), b.try_cast("string"))))
-    joined = F.array_join(F.filter(texts, lambda t: t.isNotNull() & (t != "")), "\n")
-    whole = F.try_variant_get(content, "$", "string") if kind == "text" else F.lit("")
+    own = F.filter(blocks, lambda b: F.schema_of_variant(b).startswith("OBJECT") & (F.try_variant_get(b, "$.type", "string") == kind))
+    texts = F.transform(own, lambda b: bare(F.coalesce(*[F.try_variant_get(b, f"$.{k}", "string") for k in dict.fromkeys([kind, "text"])])))
+    joined = strip(F.array_join(F.filter(texts, lambda t: t.isNotNull() & (t != "")), "\n"))
+    whole = bare(F.try_variant_get(content, "$", "string")) if kind == "text" else F.lit("")
     return F.when(shape.startswith("ARRAY"), joined).otherwise(F.coalesce(F.when(shape.startswith("STRING"), whole), F.lit("")))
 
 
@@ -92,9 +101,9 @@ def truncate_tokens(text: Column, most: int) -> Column:
     return F.when(F.length(text) <= 4 * most, text).otherwise(F.concat(whole, F.lit("\n")))
 
 
-def scrub(text: Column) -> Column:
-    """A turn without tool artifacts and fences."""
-    return F.trim(strip_fences(F.regexp_replace(text, TOOL_TAGS, "")))
+def scrub(text: Column, thinking: bool = False) -> Column:
+    """A turn's text without results of tools and fenced code, stripped; of its thinking fences alone go."""
+    return strip_fences(text) if thinking else strip(F.regexp_replace(F.regexp_replace(text, TOOL_RESULT, ""), FENCE, ""))
 
 
 def strip_ansi(text: Column) -> Column:
@@ -103,7 +112,7 @@ def strip_ansi(text: Column) -> Column:
 
 def lenient_json(text: Column) -> Column:
     """A variant from a model's answer: the text without fence marks, else its first { to last }; null if neither parses."""
-    bare = F.trim(F.regexp_replace(text, r"(?m)^\s*```[a-zA-Z]*\s*$", ""))
+    bare = strip(F.regexp_replace(text, r"(?m)^\s*```[a-zA-Z]*\s*$", ""))
     braces = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
     return F.coalesce(F.try_parse_json(bare), F.try_parse_json(F.when(braces != "", braces)))
 
@@ -169,7 +178,7 @@ def brief(title: str, items: Column, most: int = 12) -> Column:
 def compact_markdown(pages: DataFrame, key: str = "name", text: str = "text") -> DataFrame:
     """(name, xml): Markdown pages as compact XML: blanks, rules, italics and first headings go, second headings make
     sections, bullets rules; prose is dropped but for a section named environment, which keeps 600 characters."""
-    lines = pages.select(key, F.posexplode(F.split(text, "\n")).alias("n", "line")).withColumn("line", F.trim("line"))
+    lines = pages.select(key, F.posexplode(F.split(text, "\n")).alias("n", "line")).withColumn("line", strip(F.col("line")))
     by = Window.partitionBy(key).orderBy("n")
     head = F.when(F.col("line").startswith("## "), F.struct("n", F.regexp_replace("line", r"^##\s+", "").alias("title")))
     lines = lines.withColumn("section", F.last(head, ignorenulls=True).over(by))
@@ -187,7 +196,7 @@ def compact_markdown(pages: DataFrame, key: str = "name", text: str = "text") ->
 
 def render_turn(index: Column, role: Column, ts: Column, text: Column, thinking: Column, most: int = 1500) -> Column:
     """A turn as a prompt shows it: place, role, time to the second, then text and thinking, cut; empty without either."""
-    body, mind = (F.substring(F.trim(F.coalesce(c, F.lit(""))), 1, most) for c in (text, thinking))
+    body, mind = (F.substring(strip(F.coalesce(c, F.lit(""))), 1, most) for c in (text, thinking))
     head = F.concat(F.lit("[t"), index.cast("string"), F.lit("] "), role, F.lit(" @"), F.substring(F.coalesce(ts, F.lit("")), 1, 19))
     line = lambda name, c: F.when(c != "", F.concat(F.lit(f"\n  {name}: "), c)).otherwise("")
     return F.when((body == "") & (mind == ""), "").otherwise(F.concat(head, line("text", body), line("thinking", mind)))

@@ -31,7 +31,7 @@ def session_targets(events: DataFrame) -> DataFrame:
     frequent, ties by first seen."""
     e = events.where("target_id is not null and target_id <> ''")
     v = e.where("valence is not null").groupBy("session_id", "target_id", "valence").agg(F.count("*").alias("c"), F.min("seq").alias("first"))
-    v = v.groupBy("session_id", "target_id").agg(F.max_by("valence", F.struct("c", (-F.col("first")).alias("f"))).alias("valence"))
+    v = v.groupBy("session_id", "target_id").agg(F.min_by("valence", F.struct((-F.col("c")).alias("c"), "first")).alias("valence"))
     dates = events.groupBy("session_id").agg(F.to_date(F.min("ts")).alias("date"))
     per = e.groupBy("session_id", "provider", "target_id").agg(F.count("*").alias("n"), F.bool_or(F.col("mention_type") == "concern_raised").alias("concern"))
     return per.join(v, ["session_id", "target_id"], "left").join(dates, "session_id")
@@ -223,7 +223,31 @@ def ripple(edges: DataFrame, scores: DataFrame) -> DataFrame:
     return near.join(scores.select("target_id", "score"), "target_id", "left")
 
 
+def shards(rows: DataFrame) -> DataFrame:
+    """(name, text): a JSON text for each row of ripple(), under a file name of its own."""
+    from .vault import file_names
+
+    near = F.transform("neighbours", lambda n: F.struct(n["target"].alias("target"), n["weight"].alias("weight")))
+    text = F.to_json(F.struct(F.col("target_id").alias("target"), near.alias("neighbors"), F.col("score").alias("criticality")))
+    return rows.join(file_names(rows), "target_id").select("name", text.alias("text"))
+
+
+def community_table(communities: DataFrame, most: int = 25) -> DataFrame:
+    """(community, size, label, members): members by name, the first `most` of them; size counts all."""
+    r = F.row_number().over(Window.partitionBy("community").orderBy("node"))
+    shown = communities.withColumn("r", r).where(F.col("r") <= most).groupBy("community").agg(F.array_sort(F.collect_list("node")).alias("members"))
+    return community_labels(communities).join(shown, "community")
+
+
+def community_meta(edges: DataFrame, communities: DataFrame, resolution: float = 1.0) -> DataFrame:
+    """One row: communities, modularity to four places, targets and undirected edges."""
+    n = communities.agg(F.count_distinct("community").alias("n_communities"), F.count("*").alias("total_modules"))
+    pairs = edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct().agg(F.count("*").alias("total_edges"))
+    m = modularity(edges, communities, resolution).select(F.round("modularity", 4).alias("modularity"))
+    return n.crossJoin(F.broadcast(pairs)).crossJoin(F.broadcast(m)).withColumn("resolution", F.lit(resolution))  # one row each
+
+
 def bundle(events: DataFrame, min_weight: int | None = None, resolution: float = 1.0) -> dict[str, DataFrame]:
     edges = cochange(events, min_weight)
     communities = louvain(edges, resolution)
-    return {"cochange": edges, "communities": communities, "criticality": criticality(events, edges), "meta": cochange_meta(events)}
+    return {"cochange": edges, "communities": communities, "community_table": community_table(communities), "community_meta": community_meta(edges, communities, resolution), "criticality": criticality(events, edges), "meta": cochange_meta(events)}

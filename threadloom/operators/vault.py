@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import activity
+from ..functions.text import activity, strip
 from .graph import co_mentions
 from .profile import when_key
 
@@ -108,7 +108,7 @@ def pages(events: DataFrame, now: Column, decisions: DataFrame | None = None, ru
     day = F.coalesce(F.nullif(F.substring("ts_raw", 1, 10), F.lit("")), F.lit("\u2014"))
     kind = F.coalesce(F.nullif(F.col("mention_type"), F.lit("")), F.lit("reference"))
     quote = F.col("evidence_quote") if "evidence_quote" in e.columns else F.lit(None).cast("string")
-    quote = F.substring(F.regexp_replace(F.trim(F.coalesce(quote, F.lit(""))), "\n", " "), 1, 180)
+    quote = F.substring(F.regexp_replace(strip(F.coalesce(quote, F.lit(""))), "\n", " "), 1, 180)
     out = entities(e, now).join(file_names(e), "target_id")
     out = out.join(e.groupBy("target_id").agg(F.min_by("ts_raw", when_key()).alias("_from"), F.max_by("ts_raw", when_key()).alias("_to")), "target_id")
     out = out.join(_lines(e, when_key(), F.concat(F.lit("- "), day, dash, F.lit("[[session_"), "session_id", F.lit("]]"), dash, kind, F.lit(" ("), F.coalesce("authorship", F.lit("?")), F.lit(")")), "_log"), "target_id")

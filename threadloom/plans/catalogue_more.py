@@ -11,8 +11,7 @@ from ..operators import decisions as dec
 from ..streaming import incremental
 from . import views
 from .catalogue import CO, D_SQL, M_SQL, R_SQL, on_events, query
-
-NOW = "2024-03-01"
+from .views import NOW
 
 on_events("vault_entities", lambda e: vault.entities(e, F.lit(NOW).cast("timestamp")), CO + """,
 tv as (select target_id, valence from (select target_id, valence, row_number() over (partition by target_id order by count(*) desc, min(ts)) as rn from m group by 1, 2) where rn = 1),
@@ -91,11 +90,11 @@ def slug_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slugs.canonical_events(views.mention_events(spark, sf_dir), aliases).select("seq", "target_id", "mentioned_as")
 
 
-@query("strip_fences", """select conv_id::varchar as session_id, turn::int as index, trim(case when turn % 2 = 0 then text else text || chr(10) end, ' ') as kept from conversations""".replace("trim(case when turn % 2 = 0 then text else text || chr(10) end, ' ')", "case when turn % 2 = 0 then text else trim(text || chr(10), ' ') end"))
+@query("strip_fences", f"""select conv_id::varchar as session_id, turn::int as index, case when turn % 2 = 0 then text else trim(text || chr(10) || chr(9), '{text.BLANKS}') end as kept from conversations""")
 def strip_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns to half of which a fenced block was added."""
     t = views.turns(spark, sf_dir)
-    fenced = F.when(F.col("index") % 2 == 0, F.col("text")).otherwise(F.concat("text", F.lit("\n```sql\nselect 1\nfrom t\n```")))
+    fenced = F.when(F.col("index") % 2 == 0, F.col("text")).otherwise(F.concat("text", F.lit("\n```sql\nselect 1\nfrom t\n```\t")))
     return t.select("session_id", "index", text.strip_fences(fenced).alias("kept"))
 
 

@@ -9,7 +9,7 @@ from ..functions import slugs
 from ..operators import brain_state, profile, vault
 from . import views
 from .catalogue import CO, D_SQL, M_SQL, R_SQL, on_events, query
-from .catalogue_more import NOW
+from .views import NOW
 
 MARKERS = {"frustrated": "frustration", "negative": "concern"}
 TRIGGERS = {"frustrated": "self_catch", "negative": "tool_failure"}

@@ -14,6 +14,8 @@ from html import escape
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.drafts import project_rules, touches
+
 SCHEMA = "0.2.1"
 
 
@@ -143,24 +145,14 @@ def light_ir_personal(p: Profile, most: int) -> str:
     return fit([*lines, "</personal-brain>"], most, ["<anticipate", "<collab"])
 
 
-def touches(text: Column, name: str) -> Column:
-    """Whether the text holds the project's name or is held by it; empty texts never."""
-    low = F.lower(text)
-    return (low != "") & (low.contains(name.lower()) | F.lit(name.lower()).contains(low))
-
-
 @target("light_ir_project", 2500)
 def light_ir_project(p: Profile, most: int) -> str:
     name = p.project or "?"
     lines = [f'<project-brain v="{SCHEMA}" p="{escape(name)}">']
     if own := p.top("top_entities", 10, F.col("event_count").desc(), F.col("target_id"), where=touches(F.col("target_id"), name)):
         lines += ["<entities>", *[f'  <ent tid="{escape(e["target_id"])}" ev="{e["event_count"]}">{escape(p.summaries.get(e["target_id"], "")[:280])}</ent>' for e in own], "</entities>"]
-    rules = p.frames.get("rules")
-    if rules is not None:
-        scope = touches(F.trim(F.coalesce(F.col("level"), F.lit(""))), name) | F.coalesce(F.lower("rule_text").contains(name.lower()), F.lit(False))
-        if "bucket" in rules.columns:
-            scope = scope & (F.col("bucket") == "project_domain")
-        lines += [f"<rule>{escape(r['rule_text'])}</rule>" for r in p.top("rules", 15, F.col("seq"), where=scope) if r["rule_text"]]
+    if (rules := p.frames.get("rules")) is not None:
+        lines += [f"<rule>{escape(r['rule_text'])}</rule>" for r in project_rules(rules, name).orderBy("seq").limit(15).collect() if r["rule_text"]]
     lines += [f'<decision refs="{d["sessions"]}">{escape((d["sample_propositions"] or "")[:200])}</decision>' for d in p.top("load_bearing", 10, F.col("sessions").desc(), F.col("entity"), where=touches(F.col("entity"), name))]
     return fit([*lines, "</project-brain>"], most, ["<decision", "<rule", "  <ent", "<entities", "</entities"])
 
@@ -223,9 +215,11 @@ def brain_view(p: Profile, most: int) -> str:
 
 
 def compile_projects(profile: Profile, min_rules: int = 2, most: int | None = None) -> dict[str, str]:
-    """light_ir_project of every scope that at least min_rules rules name."""
+    """light_ir_project of every scope that at least min_rules rules (of bucket project_domain, where they are classified) name."""
     rules = profile.frames.get("rules")
     if rules is None:
         return {}
-    scopes = rules.where("level is not null and level <> ''").groupBy("level").agg(F.count("*").alias("n")).where(F.col("n") >= min_rules).orderBy(F.col("n").desc(), "level")
+    scope = "scope" if "scope" in rules.columns else "level"
+    own = rules.where("bucket = 'project_domain'") if "bucket" in rules.columns else rules
+    scopes = own.select(F.trim(scope).alias("level")).where("level <> ''").groupBy("level").agg(F.count("*").alias("n")).where(F.col("n") >= min_rules).orderBy(F.col("n").desc(), "level")
     return {r["level"]: compile_profile(Profile(profile.frames, r["level"], profile.summaries), "light_ir_project", most) for r in scopes.toLocalIterator()}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The day that pages and ages are told from.
+NOW = "2024-03-01"
 #: Kinds of target by k % 7, mention types by event type.
 TARGET_TYPES = ["Project", "Tool", "Technology", "Concept", "Artifact", "Error", "Decision"]
 MENTION_TYPES = {"signup": "first_introduction", "view": "reference", "click": "revisit", "error": "concern_raised", "purchase": "concern_resolved"}

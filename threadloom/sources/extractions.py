@@ -19,7 +19,7 @@ FIELDS = {
 def scan(spark: SparkSession, paths: list[str], providers: list[str] | None = None) -> DataFrame:
     """(file_ord, path, session_id, provider, v): each session document once: files by name of the session, the first path
     wins; files that are no JSON objects, profiles, logs and hidden folders are skipped. Providers prune by folder."""
-    t = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").text(paths)
+    t = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").text(paths, wholetext=True)
     t = t.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("mtime"), "value")
     name, folder = F.regexp_extract("path", r"([^/]+)$", 1), F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
     t = t.where(~name.isin(SKIPPED) & ~F.col("path").rlike(r"/[_.][^/]*/[^/]+$") & ~name.startswith("_"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import coerce_time, flatten_blocks, strip_ansi, strip_fences
+from ..functions.text import coerce_time, flatten_blocks, strip, strip_ansi, strip_fences
 
 #: Roles and message types that are tools' and not people's; longest texts.
 TOOL_ROLES = ["tool", "tool_result", "function"]
@@ -43,13 +43,13 @@ def providers() -> list[str]:
 
 def _lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """(path, n, v) of each line; n orders the lines of a file."""
-    t = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    t = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return t.select("path", F.posexplode(F.split("value", "\n")).alias("n", "line")).where("trim(line) <> ''").select("path", "n", F.try_parse_json("line").alias("v")).where("v is not null")
 
 
 def _documents(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """(path, v) of each file that is JSON."""
-    t = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+    t = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, wholetext=True)
     return t.select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("v")).where("v is not null")
 
 
@@ -62,6 +62,11 @@ def _elements(frame: DataFrame, array: Column) -> DataFrame:
     return frame.withColumn("_a", F.try_variant_get(array, "$", "array<variant>")).select("*", F.posexplode("_a").alias("n", "e")).drop("_a").where(F.schema_of_variant("e").startswith("OBJECT"))
 
 
+def _time(value: Column, coerce: bool) -> Column:
+    """A time as ISO text, or as it is written."""
+    return coerce_time(value) if coerce else F.try_variant_get(value, "$", "string")
+
+
 def stem(path: str = "path") -> Column:
     return F.regexp_replace(F.regexp_extract(path, r"([^/]+?)(\.[^./]+)?$", 1), "local_", "")
 
@@ -84,25 +89,25 @@ def _chat_lines(spark: SparkSession, path: str, glob: str, provider: str, sessio
     x = _lines(spark, path, glob).withColumn("type", _get("v", "$.type")).where("type in ('user', 'assistant')")
     role = F.coalesce(_get("v", "$.message.role"), F.col("type"))
     x = x.withColumn("role", role).where(~F.col("role").isin(TOOL_ROLES)).withColumn("c", _get("v", "$.message.content", "variant"))
-    text, thinking = (F.coalesce(strip_fences(flatten_blocks(F.col("c"), k)), F.lit("")) for k in ("text", "thinking"))
+    text, thinking = (flatten_blocks(F.col("c"), k) for k in ("text", "thinking"))
     return _turns(x, provider, session, F.col("role"), ts, text, thinking)
 
 
 @register("claude_code")
-def claude_code(spark: SparkSession, path: str) -> DataFrame:
+def claude_code(spark: SparkSession, path: str, coerce: bool = True) -> DataFrame:
     """A JSON line a message; tool roles go."""
-    return _chat_lines(spark, path, "*.jsonl", "claude_code", stem(), coerce_time(_get("v", "$.timestamp", "variant")))
+    return _chat_lines(spark, path, "*.jsonl", "claude_code", stem(), _time(_get("v", "$.timestamp", "variant"), coerce))
 
 
 @register("claude_desktop")
-def claude_desktop(spark: SparkSession, path: str) -> DataFrame:
+def claude_desktop(spark: SparkSession, path: str, coerce: bool = True) -> DataFrame:
     """<session>/audit.jsonl; the audit's own time comes first."""
-    ts = F.coalesce(coerce_time(_get("v", "$._audit_timestamp", "variant")), coerce_time(_get("v", "$.timestamp", "variant")))
+    ts = F.coalesce(_time(_get("v", "$._audit_timestamp", "variant"), coerce), _time(_get("v", "$.timestamp", "variant"), coerce))
     return _chat_lines(spark, path, "audit.jsonl", "claude_desktop", F.regexp_replace(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1), "local_", ""), ts)
 
 
 @register("gemini_cli")
-def gemini_cli(spark: SparkSession, path: str) -> DataFrame:
+def gemini_cli(spark: SparkSession, path: str, coerce: bool = True) -> DataFrame:
     """A document of messages; thoughts are a text or a list of texts."""
     x = _elements(_documents(spark, path, "*.json"), _get("v", "$.messages", "variant")).withColumn("type", _get("e", "$.type")).where("type in ('user', 'gemini')")
     blocks = F.try_variant_get("e", "$.content", "array<variant>")
@@ -111,14 +116,14 @@ def gemini_cli(spark: SparkSession, path: str) -> DataFrame:
     thoughts = F.try_variant_get("e", "$.thoughts", "array<variant>")
     thought = F.array_join(F.transform(thoughts, lambda b: F.coalesce(F.try_variant_get(b, "$.text", "string"), b.try_cast("string"))), "\n")
     said = F.when(F.schema_of_variant(_get("e", "$.thoughts", "variant")).startswith("STRING"), _get("e", "$.thoughts"))
-    text = strip_fences(F.trim(F.coalesce(plain, listed, F.lit(""))))
-    thinking = strip_fences(F.trim(F.coalesce(said, thought, F.lit(""))))
+    text = strip_fences(strip(F.coalesce(plain, listed, F.lit(""))))
+    thinking = strip_fences(strip(F.coalesce(said, thought, F.lit(""))))
     role = F.when(F.col("type") == "user", "user").otherwise("assistant")
-    return _turns(x, "gemini_cli", stem(), role, coerce_time(_get("e", "$.timestamp", "variant")), text, thinking, tokens=F.to_json(_get("e", "$.tokens", "variant")))
+    return _turns(x, "gemini_cli", stem(), role, _time(_get("e", "$.timestamp", "variant"), coerce), text, thinking, tokens=F.to_json(_get("e", "$.tokens", "variant")))
 
 
 @register("cline")
-def cline(spark: SparkSession, path: str) -> DataFrame:
+def cline(spark: SparkSession, path: str, coerce: bool = True) -> DataFrame:
     """A list of messages in the shape of the interface (ui_messages files) or of the API."""
     d = _documents(spark, path, "*.json")
     e = _elements(d, F.col("v"))
@@ -126,10 +131,10 @@ def cline(spark: SparkSession, path: str) -> DataFrame:
     kind = F.coalesce(*[F.nullif(_get("e", f"$.{k}"), F.lit("")) for k in ("type", "say", "ask")], F.lit("msg"))
     ui = ui.withColumn("type", kind).where(~F.col("type").isin(TOOL_TYPES))
     shown = F.coalesce(strip_fences(_get("e", "$.text")), F.lit(""))
-    ui = _turns(ui, "cline", stem(), F.when(F.col("type").isin("ask", "text"), "user").otherwise("assistant"), coerce_time(_get("e", "$.ts", "variant")), F.when(F.trim(shown) == "", "").otherwise(F.substring(shown, 1, CLINE_TEXT)), F.lit(""), raw_type=F.col("type"))
+    ui = _turns(ui, "cline", stem(), F.when(F.col("type").isin("ask", "text"), "user").otherwise("assistant"), _time(_get("e", "$.ts", "variant"), coerce), F.when(strip(shown) == "", "").otherwise(F.substring(shown, 1, CLINE_TEXT)), F.lit(""), raw_type=F.col("type"))
     api = e.where(~F.regexp_extract("path", r"([^/]+)$", 1).contains("ui_messages")).withColumn("role", F.coalesce(_get("e", "$.role"), F.lit("?"))).where(~F.col("role").isin(TOOL_ROLES))
     c = _get("e", "$.content", "variant")
-    text, thinking = (F.coalesce(strip_fences(flatten_blocks(c, k)), F.lit("")) for k in ("text", "thinking"))
+    text, thinking = (flatten_blocks(c, k) for k in ("text", "thinking"))
     return ui.unionByName(_turns(api, "cline", stem(), F.col("role"), F.lit(None).cast("string"), F.substring(text, 1, CLINE_TEXT), thinking))
 
 
@@ -141,22 +146,42 @@ def antigravity(spark: SparkSession, path: str) -> DataFrame:
 
 
 @register("structured")
-def structured(spark: SparkSession, path: str) -> DataFrame:
+def structured(spark: SparkSession, path: str, coerce: bool = True) -> DataFrame:
     """<session>.json that holds turns already."""
     x = _elements(_documents(spark, path, "*.json"), _get("v", "$.turns", "variant"))
-    return _turns(x, "structured", F.coalesce(_get("v", "$.session_id"), stem()), F.coalesce(_get("e", "$.role"), F.lit("?")), coerce_time(_get("e", "$.timestamp", "variant")), F.coalesce(_get("e", "$.text"), F.lit("")), F.coalesce(_get("e", "$.thinking"), F.lit("")))
+    return _turns(x, "structured", F.coalesce(_get("v", "$.session_id"), stem()), F.coalesce(_get("e", "$.role"), F.lit("?")), _time(_get("e", "$.timestamp", "variant"), coerce), F.coalesce(_get("e", "$.text"), F.lit("")), F.coalesce(_get("e", "$.thinking"), F.lit("")))
 
 
 @register("terminal")
 def terminal(spark: SparkSession, path: str) -> DataFrame:
     """A raw terminal log: control sequences out, blocks between blank lines are turns, prompts mark the user's."""
-    t = spark.read.option("wholetext", True).option("pathGlobFilter", "*.log").option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace(strip_ansi(F.col("value")), "\r", "").alias("value"))
-    x = t.select("path", F.posexplode(F.split("value", r"\n\s*\n")).alias("n", "block")).withColumn("block", F.trim("block"))
+    t = spark.read.option("pathGlobFilter", "*.log").option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace(strip_ansi(F.col("value")), "\r", "").alias("value"))
+    x = t.select("path", F.posexplode(F.split("value", r"\n\s*\n")).alias("n", "block")).withColumn("block", strip(F.col("block")))
     user = F.col("block").rlike(r"^(>|❯|\$|User:|Human:)\s?")
     text = F.substring(F.regexp_replace("block", r"^(>|❯|\$|User:|Human:|Assistant:|⏺)\s?", ""), 1, TERMINAL_TEXT)
     return _turns(x, "terminal", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1), F.when(user, "user").otherwise("assistant"), F.lit(None).cast("string"), text, F.lit(""))
 
 
+def load_session(spark: SparkSession, jsonl: str | None = None, session_json: str | None = None, session_dir: str | None = None) -> DataFrame:
+    """The turns of one session from the best input there is: its lines of JSON, a document of turns, or in its folder
+    session.json before raw.log. ValueError if nothing is given or the folder has neither."""
+    from pyspark.errors import AnalysisException
+
+    if jsonl:
+        return claude_code(spark, jsonl)
+    if session_json:
+        return structured(spark, session_json)
+    if not session_dir:
+        raise ValueError("one of jsonl, session_json and session_dir is needed")
+    for read, name in ((structured, "session.json"), (terminal, "raw.log")):
+        try:
+            return read(spark, f"{session_dir.rstrip('/')}/{name}")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+    raise ValueError(f"no session.json or raw.log under {session_dir}")
+
+
 def normalised(turns: DataFrame) -> DataFrame:
     """(session_id, provider, source_path, input_type, turns): a row a session, its turns in order."""
     t = F.struct("index", "role", "timestamp", "text", "thinking", "raw_type")

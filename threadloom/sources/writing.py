@@ -20,6 +20,7 @@ def write_texts(frame: DataFrame, folder: str | None = None, path: str = "name",
 
 def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import posixpath
+    import re
     import uuid
 
     from pyarrow import fs
@@ -27,6 +28,7 @@ def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         sizes = []
         for path, text in zip(b["path"], b["text"], strict=True):
+            path = re.sub(r"^file:/+", "/", path)
             system, place = fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
             system.create_dir(posixpath.dirname(place), recursive=True)
             hidden = posixpath.join(posixpath.dirname(place), f".{uuid.uuid4().hex}.tmp")
