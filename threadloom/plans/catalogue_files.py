@@ -34,13 +34,19 @@ def conversations(spark: SparkSession, sf_dir: str, element: Column, between: st
     return per.select((F.col("session_id") if name is None else name).alias("name"), F.concat(F.lit(around[0]), F.array_join(F.transform("e", lambda x: x["e"]), between), F.lit(around[1])).alias("text"))
 
 
+def millis() -> Column:
+    return F.lit(START) + F.col("index") * 1000
+
+
+def speaker() -> Column:
+    return F.when(F.col("role") == "user", "user").otherwise("assistant")
+
+
 def turns_sql(body: str, ts: str = AT, thinking: str = "''", role: str = "role", session: str = "conv_id::varchar") -> str:
     return f"""with t as (select {session} as session_id, turn, {role} as role, {ts} as timestamp, {body} as text, {thinking} as thinking from conversations where text is not null)
 select session_id, row_number() over (partition by session_id order by turn) - 1 as index, role, timestamp, text, thinking from t where text <> '' or thinking <> ''"""
 
 
-MILLIS = F.lit(START) + F.col("index") * 1000
-SPEAKER = F.when(F.col("role") == "user", "user").otherwise("assistant")
 STRIPPED = f"trim(text, '{text.BLANKS}')"
 SPOKEN = "case when role = 'user' then 'user' else 'assistant' end"
 
@@ -53,7 +59,7 @@ def reader_claude_code(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("thinking").alias("type"), F.lit(None).cast("string").alias("text"), F.concat(F.lit("thought "), F.col("index").cast("string"), "text").alias("thinking")),
         F.struct(F.lit("tool_use").alias("type"), F.lit("no").alias("text"), F.lit("no").alias("thinking")),
     )
-    line = F.to_json(F.struct(SPEAKER.alias("type"), MILLIS.alias("timestamp"), F.struct("role", content.alias("content")).alias("message")))
+    line = F.to_json(F.struct(speaker().alias("type"), millis().alias("timestamp"), F.struct("role", content.alias("content")).alias("message")))
     docs = conversations(spark, sf_dir, line, '\n{"type": "summary"}\nno json\n')
     return transcripts.claude_code(spark, written(docs, ".jsonl")).select(SHOWN)
 
@@ -61,7 +67,7 @@ def reader_claude_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("reader_claude_desktop", turns_sql("text", ts="'T' || turn"))
 def reader_claude_desktop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits in folders of their own, texts as plain strings."""
-    line = F.to_json(F.struct(SPEAKER.alias("type"), F.concat(F.lit("T"), F.col("index").cast("string")).alias("_audit_timestamp"), MILLIS.alias("timestamp"), F.struct("role", F.col("text").alias("content")).alias("message")))
+    line = F.to_json(F.struct(speaker().alias("type"), F.concat(F.lit("T"), F.col("index").cast("string")).alias("_audit_timestamp"), millis().alias("timestamp"), F.struct("role", F.col("text").alias("content")).alias("message")))
     docs = conversations(spark, sf_dir, line, "\n", name=F.concat(F.lit("local_"), "session_id", F.lit("/audit")))
     return transcripts.claude_desktop(spark, written(docs, ".jsonl")).select(SHOWN)
 
@@ -69,14 +75,14 @@ def reader_claude_desktop(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("reader_gemini_cli", turns_sql(STRIPPED, thinking="'t' || turn || chr(10) || 'u'", role=SPOKEN))
 def reader_gemini_cli(spark: SparkSession, sf_dir: str) -> DataFrame:
     thoughts = F.array(F.struct(F.concat(F.lit("t"), F.col("index").cast("string")).alias("text")), F.struct(F.lit("u").alias("text")))
-    e = F.to_json(F.struct(F.when(F.col("role") == "user", "user").otherwise("gemini").alias("type"), MILLIS.alias("timestamp"), F.col("text").alias("content"), thoughts.alias("thoughts")))
+    e = F.to_json(F.struct(F.when(F.col("role") == "user", "user").otherwise("gemini").alias("type"), millis().alias("timestamp"), F.col("text").alias("content"), thoughts.alias("thoughts")))
     docs = conversations(spark, sf_dir, e, ',\n{"type": "info", "content": "no"}, 7,\n', ('{"messages": [\n', "\n]}"))
     return transcripts.gemini_cli(spark, written(docs, ".json")).select(SHOWN)
 
 
 @query("reader_cline", turns_sql("left(text, 5000)", ts="null::varchar"))
 def reader_cline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = F.to_json(F.struct("role", F.col("text").alias("content"), MILLIS.alias("ts")))
+    e = F.to_json(F.struct("role", F.col("text").alias("content"), millis().alias("ts")))
     docs = conversations(spark, sf_dir, e, ',\n{"role": "tool", "content": "no"},\n', ("[\n", "\n]"))
     return transcripts.cline(spark, written(docs, ".json")).select(SHOWN)
 
@@ -84,7 +90,7 @@ def reader_cline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("reader_structured", turns_sql("text", thinking="'x' || turn", session="'c' || conv_id"))
 def reader_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of turns, renamed by the reader to the session's own id, normalised and taken apart again."""
-    e = F.to_json(F.struct("role", "text", MILLIS.alias("timestamp"), F.concat(F.lit("x"), F.col("index").cast("string")).alias("thinking")))
+    e = F.to_json(F.struct("role", "text", millis().alias("timestamp"), F.concat(F.lit("x"), F.col("index").cast("string")).alias("thinking")))
     t = views.turns(spark, sf_dir).where("text is not null").groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("index", e.alias("e")))).alias("e"))
     docs = t.select(F.col("session_id").alias("name"), F.concat(F.lit('{"session_id": "c'), "session_id", F.lit('",\n"turns": [\n'), F.array_join(F.transform("e", lambda x: x["e"]), ",\n"), F.lit("\n]}")).alias("text"))
     whole = transcripts.normalised(transcripts.structured(spark, written(docs, ".json")))

@@ -250,7 +250,7 @@ def cube_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.mention_events(spark, sf_dir).cube("provider", "target_type", "mention_type").agg(F.count("*").alias("events"))
 
 
-@query("incremental_equals_full", f"with {M_SQL.strip()} select target_id, count(*) as event_count from m group by 1 order by event_count desc, min(seq) limit 30")
+@query("incremental_equals_full", f"with {M_SQL.strip()} select target_id, min_by(target_type, seq) as target_type, count(*) as event_count, string_agg(distinct provider, ',' order by provider) as providers from m group by 1 order by event_count desc, min(seq) limit 30")
 def incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top entities over a state appended in two halves, the second run twice."""
     import uuid
