@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import first_per_key
+
 #: Statuses by meaning.
 OPEN = ["tentative", "proposed", "pending", "queued", "trial", "assess", "hold", "planned", "initiated"]
 RESOLVED = ["locked", "implemented", "executed", "completed", "accepted"]
@@ -19,14 +21,13 @@ def per_entity(decisions: DataFrame) -> DataFrame:
 
 def load_bearing(decisions: DataFrame, least: int = 3, examples: int = 3) -> DataFrame:
     """Entities that anchor decisions: distinct sessions, anchors, providers, the first propositions, and whether they bear
-    load (decisions in at least `least` sessions)."""
+    load (decisions in at least `least` sessions). Propositions come from a bounded number a map task."""
     e = per_entity(decisions)
-    first = F.row_number().over(Window.partitionBy("entity").orderBy("seq"))
-    per = e.withColumn("r", first).groupBy("entity").agg(
-        F.count_distinct("session_id").alias("sessions"), F.count("*").alias("anchors"), F.array_join(F.array_sort(F.collect_set("provider")), ",").alias("providers"),
-        F.array_sort(F.collect_list(F.when((F.col("r") <= examples) & (F.col("proposition") != ""), F.struct("seq", "proposition")))).alias("p"),
-    )
-    return per.select("entity", "sessions", "anchors", "providers", F.array_join(F.transform("p", lambda x: x["proposition"]), "|").alias("sample_propositions"), (F.col("sessions") >= least).alias("load_bearing"))
+    per = e.groupBy("entity").agg(F.count_distinct("session_id").alias("sessions"), F.count("*").alias("anchors"), F.array_join(F.array_sort(F.collect_set("provider")), ",").alias("providers"))
+    few = first_per_key(e.select("entity", "seq", "proposition"), ["entity"], [F.col("seq")], examples).where("proposition <> ''")
+    few = few.groupBy("entity").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "proposition"))), lambda x: x["proposition"]), "|").alias("sample_propositions"))
+    per = per.join(few, "entity", "left")
+    return per.select("entity", "sessions", "anchors", "providers", F.coalesce("sample_propositions", F.lit("")).alias("sample_propositions"), (F.col("sessions") >= least).alias("load_bearing"))
 
 
 def newest_last(frame: DataFrame, limit: int) -> DataFrame:

@@ -57,7 +57,8 @@ def merge_moves(moves: DataFrame, least: int = 20, prefix: int = 40, order: list
     The scan depends on its own earlier merges, but a move can only meet moves that it is linked to by way of others, so
     each component of the links is scanned alone, and the result is that of one scan over all."""
     from ..functions.text import move_key
-    from .graph import components, scratch
+    from ..staging import scratch
+    from .graph import components
 
     scratch(moves.sparkSession)
     m = moves.select("move", "owner", "level", F.col("occurrences").cast("long").alias("occurrences"), move_key(F.col("move")).alias("key"), F.struct(*(order or ["move", "owner", "level"])).alias("rank"))

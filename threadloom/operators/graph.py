@@ -7,13 +7,13 @@ blocks, so no session meets in one task.
 
 from __future__ import annotations
 
-import tempfile
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import scratch
+from .communities import louvain
+from .ordering import first_per_key, numbered
+
 #: The weights of the signals, and valences that count as strong.
 WEIGHTS = {"blast_radius": 0.30, "event_volume": 0.20, "recency": 0.15, "valence_intensity": 0.15, "concern_weight": 0.20}
 STRONG = ["frustrated", "confident", "negative", "positive", "urgent"]
@@ -43,29 +43,39 @@ def cochange(events: DataFrame, min_weight: int | None = None, most_targets: int
     if min_weight is None:
         min_weight = auto_min_weight(events.select("session_id").distinct().count())
     pairs = co_mentions(events, most_targets).where(F.col("weight") >= min_weight)
-    by = Window.partitionBy("src").orderBy(F.col("weight").desc(), "dst")
-    return pairs.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top)
+    return first_per_key(pairs, ["src"], [F.col("weight").desc(), F.col("dst")], top, "rank")
 
 
 def co_mentions(events: DataFrame, most_targets: int | None = None, block: int = BLOCK) -> DataFrame:
     """(src, dst, weight): sessions that mention both, in both directions. The pairs are made once, a before b, and turned
     round after they are summed. Sessions over most_targets make none (null: all do).
 
-    A session of over `block` targets is cut into blocks by hash. Each target goes to every pair of blocks its own is in;
-    targets of one block meet in that block's pair with itself alone, those of two in the one pair of the two."""
+    Sessions of up to `block` targets are joined with themselves on the session, which the sizes share. A longer one is cut
+    into blocks by hash: each target goes to every pair of blocks its own is in; targets of one block meet in that block's
+    pair with itself alone, those of two in the one pair of the two."""
     st = events.where("target_id is not null and target_id <> ''").select("session_id", "target_id").distinct()
-    st = st.withColumn("size", F.count("*").over(Window.partitionBy("session_id"))).where("size >= 2")
+    sizes = st.groupBy("session_id").agg(F.count("*").alias("size")).where("size >= 2")
     if most_targets is not None:
-        st = st.where(F.col("size") <= most_targets)
-    st = st.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+        sizes = sizes.where(F.col("size") <= most_targets)
+    sized = st.join(sizes, "session_id")
+    short = sized.where(F.col("size") <= block)
+    pairs = short.select("session_id", F.col("target_id").alias("a")).join(short.select("session_id", F.col("target_id").alias("b")), "session_id").where("a < b").select("a", "b")
+    if most_targets is None or most_targets > block:
+        pairs = pairs.unionByName(_dealt_pairs(sized.where(F.col("size") > block), block))
+    half = pairs.groupBy("a", "b").agg(F.count("*").alias("weight"))
+    both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")), F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
+    return half.select(F.explode(both).alias("e"), "weight").select("e.src", "e.dst", "weight")
+
+
+def _dealt_pairs(sized: DataFrame, block: int) -> DataFrame:
+    """(a, b) of each session's pairs of targets, made in pairs of blocks."""
+    st = sized.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     st = st.withColumn("own", F.pmod(F.xxhash64("target_id"), F.col("blocks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("lo"), F.greatest("own", j).alias("hi")))
     st = st.select("session_id", "target_id", "own", F.explode(pairs).alias("p")).select("session_id", "target_id", "own", "p.lo", "p.hi")
     on = ["session_id", "lo", "hi"]
     a, b = st.select(*on, F.col("target_id").alias("a"), F.col("own").alias("oa")), st.select(*on, F.col("target_id").alias("b"), F.col("own").alias("ob"))
-    half = a.join(b, on).where("a < b and (oa <> ob or lo = hi)").groupBy("a", "b").agg(F.count("*").alias("weight"))
-    both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")), F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
-    return half.select(F.explode(both).alias("e"), "weight").select("e.src", "e.dst", "weight")
+    return a.join(b, on).where("a < b and (oa <> ob or lo = hi)").select("a", "b")
 
 
 def cochange_meta(events: DataFrame, most_targets: int = MOST_TARGETS) -> DataFrame:
@@ -103,21 +113,11 @@ def criticality(events: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def ranked(scores: DataFrame, n: int | None = None) -> DataFrame:
-    """Rank by score, ties by target. Over the frame of targets; a top n is a bounded sort."""
-    if n is not None:
-        scores = scores.orderBy(F.col("score").desc(), "target_id").limit(n)
-    return scores.withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc(), "target_id")))
-
-
-def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; unset, a temporary one in local mode only."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if at is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="threadloom-"))
-        at = spark.sparkContext.getCheckpointDir()
-    return at.rstrip("/")
+    """Rank by score, ties by target: of the top n by a bounded sort, of all by a range sort and a row a range."""
+    order = [F.col("score").desc(), F.col("target_id")]
+    if n is None:
+        return numbered(scores, order).withColumn("rank", F.col("rank").cast("int"))
+    return scores.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -139,64 +139,6 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
             return label
 
 
-def louvain(edges: DataFrame, resolution: float = 1.0) -> DataFrame:
-    """(node, community): modularity communities of the kept edges, both directions' weights added.
-
-    Sequential by nature, so it runs in one task over the whole graph of targets, whatever its size: a graph that the task's
-    memory cannot hold fails, and never gets another method's result."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _louvain(pdf, resolution)
-
-    return edges.select("src", "dst", F.col("weight").cast("double").alias("weight"), F.lit(0).alias("g")).groupBy("g").applyInPandas(run, "node string, community int")
-
-
-def _louvain(pdf: pd.DataFrame, resolution: float) -> pd.DataFrame:
-    names = sorted(set(pdf["src"]) | set(pdf["dst"]))
-    at = {n: i for i, n in enumerate(names)}
-    graph: list[dict[int, float]] = [{} for _ in names]
-    for s, d, w in pdf.sort_values(["src", "dst"])[["src", "dst", "weight"]].itertuples(index=False):
-        a, b = at[s], at[d]
-        graph[a][b] = graph[a].get(b, 0.0) + w
-        graph[b][a] = graph[b].get(a, 0.0) + w
-    member = np.arange(len(names))
-    while True:
-        degree = np.array([sum(g.values()) for g in graph])
-        total = degree.sum()
-        home = list(range(len(graph)))
-        weight = degree.copy()
-        moved_any, moved = False, True
-        while moved:
-            moved = False
-            for v in range(len(graph)):
-                near: dict[int, float] = {}
-                for u, w in graph[v].items():
-                    if u != v:
-                        near[home[u]] = near.get(home[u], 0.0) + w
-                own = home[v]
-                weight[own] -= degree[v]
-                best, gain = own, near.get(own, 0.0) - resolution * weight[own] * degree[v] / total
-                for c in sorted(near):
-                    g = near[c] - resolution * weight[c] * degree[v] / total
-                    if g > gain + 1e-12:
-                        best, gain = c, g
-                weight[best] += degree[v]
-                if best != own:
-                    home[v] = best
-                    moved = moved_any = True
-        label = {c: i for i, c in enumerate(sorted(set(home)))}
-        home = [label[c] for c in home]
-        member = np.array([home[m] for m in member])
-        if not moved_any or len(label) == len(graph):
-            break
-        merged: list[dict[int, float]] = [{} for _ in label]
-        for v, g in enumerate(graph):
-            for u, w in g.items():
-                merged[home[v]][home[u]] = merged[home[v]].get(home[u], 0.0) + w
-        graph = merged
-    return pd.DataFrame({"node": names, "community": member.astype("int32")})
-
-
 def modularity(edges: DataFrame, communities: DataFrame, resolution: float = 1.0) -> DataFrame:
     """One row: modularity of the communities over the kept edges, both directions added."""
     c = communities.select("node", "community")

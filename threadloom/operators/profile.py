@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import stage
+from .ordering import first_per_key, with_previous
+
 #: Fixed values of the model.
 SETTLED = ["positive", "confident"]
 STUCK = ["frustrated", "negative"]
@@ -42,51 +45,89 @@ def first_type() -> Column:
     return F.min_by("target_type", "seq").alias("target_type")
 
 
+#: Facts of a target that inferences are projections of; each set is made by one aggregate over its events.
+def basic() -> dict[str, Column]:
+    return {
+        "target_type": first_type(), "event_count": F.count("*"), "providers": F.array_sort(F.collect_set("provider")), "first_seq": F.min("seq"),
+        "first_seen": F.min_by("ts", when_key()), "last_seen": F.max_by("ts", when_key()),
+    }
+
+
+def concerns() -> dict[str, Column]:
+    """How often raised and resolved, in which sessions, and when first."""
+    out = {}
+    for kind in ("raised", "resolved"):
+        is_ = F.col("mention_type") == f"concern_{kind}"
+        listed = F.array_sort(F.collect_list(F.when(is_, F.struct("seq", "session_id"))))
+        out |= {kind: F.count_if(is_), f"{kind}_in": F.array_join(F.transform(listed, lambda e: e["session_id"]), ","), f"{kind}_at": F.min_by("ts", F.when(is_, when_key()))}
+    return out
+
+
+def introductions() -> dict[str, Column]:
+    """The first event and the first that introduces the target."""
+    event = F.struct("ts", "seq")
+    return {"first": F.min_by(event, when_key()), "intro": F.min_by(event, F.when(F.col("mention_type").isin(INTRODUCED), when_key()))}
+
+
+def aggregate(events: DataFrame, *facts: dict[str, Column]) -> DataFrame:
+    return events.groupBy("target_id").agg(*[c.alias(n) for f in facts for n, c in f.items()])
+
+
+def tails(events: DataFrame, last: int = 3) -> DataFrame:
+    """(target_id, tail): the last events of each target in time, from at most `last` of them a map task."""
+    newest = first_per_key(events.select("target_id", "ts_raw", "seq", "valence", "mention_type"), ["target_id"], [F.coalesce("ts_raw", F.lit("")).desc(), F.col("seq").desc()], last)
+    return newest.groupBy("target_id").agg(F.array_sort(F.collect_list(F.struct(when_key().alias("k"), "valence", "mention_type"))).alias("tail"))
+
+
 def convergence(events: DataFrame, least: int = 3, last: int = 3) -> DataFrame:
     """Targets of at least three events by how their last three end: settled, possibly_abandoned_or_stuck or ambiguous.
 
-    The last events come from one aggregate that keeps `last` structs a target in each task, not from sorted groups."""
-    newest = F.struct(when_key().alias("k"), "valence", "mention_type")
-    # array_agg over a bounded window keeps the shuffle narrow: rank first, then aggregate what is left with the counts
-    by = Window.partitionBy("target_id").orderBy(F.coalesce("ts_raw", F.lit("")).desc(), F.col("seq").desc())
-    ranked = present(events).withColumn("r", F.row_number().over(by))
-    tail = F.collect_list(F.when(F.col("r") <= last, newest))
-    per = ranked.groupBy("target_id").agg(
-        first_type(), F.count("*").alias("event_count"), F.array_sort(F.collect_set("provider")).alias("providers"),
-        F.min_by("ts", when_key()).alias("first_seen"), F.max_by("ts", when_key()).alias("last_seen"), F.array_sort(tail).alias("tail"),
-    ).where(F.col("event_count") >= least)
+    Facts come from one aggregate, the last events from a bounded number a map task: no target's events are sorted whole."""
+    e = present(events)
+    return _convergence(aggregate(e, basic()).where(F.col("event_count") >= least).join(tails(e, last), "target_id"), least)
+
+
+def _convergence(facts: DataFrame, least: int = 3) -> DataFrame:
     good = F.exists("tail", lambda e: e["valence"].isin(SETTLED) | (e["mention_type"] == "concern_resolved"))
     bad = F.exists("tail", lambda e: e["valence"].isin(STUCK))
     status = F.when(F.coalesce(good, F.lit(False)), "settled").when(F.coalesce(bad, F.lit(False)), "possibly_abandoned_or_stuck").otherwise("ambiguous")
-    return per.select("target_id", "target_type", "event_count", F.array_join("providers", ",").alias("providers"), "first_seen", "last_seen", F.array_join(F.transform("tail", lambda e: e["valence"]), ",", "").alias("last_valences"), status.alias("status"))
+    listed = F.array_join(F.transform("tail", lambda e: e["valence"]), ",", "")
+    return facts.where(F.col("event_count") >= least).select("target_id", "target_type", "event_count", F.array_join("providers", ",").alias("providers"), "first_seen", "last_seen", listed.alias("last_valences"), status.alias("status"))
 
 
 def concern_lifecycle(events: DataFrame) -> DataFrame:
     """Targets with a raised concern: how often raised and resolved, in which sessions, resolved or latent."""
-    raised, resolved = F.col("mention_type") == "concern_raised", F.col("mention_type") == "concern_resolved"
-    sessions = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(c, F.struct("seq", "session_id")))), lambda e: e["session_id"]), ",")
-    per = present(events).where("mention_type in ('concern_raised', 'concern_resolved')").groupBy("target_id").agg(F.count_if(raised).alias("raised"), F.count_if(resolved).alias("resolved"), sessions(raised).alias("raised_in"), sessions(resolved).alias("resolved_in"))
-    return per.where("raised > 0").withColumn("status", F.when(F.col("resolved") > 0, "resolved").otherwise("latent_unresolved"))
+    return _lifecycle(aggregate(present(events).where("mention_type in ('concern_raised', 'concern_resolved')"), concerns()))
+
+
+def _lifecycle(facts: DataFrame) -> DataFrame:
+    return facts.where("raised > 0").select("target_id", "raised", "resolved", "raised_in", "resolved_in", F.when(F.col("resolved") > 0, "resolved").otherwise("latent_unresolved").alias("status"))
 
 
 def cross_provider(events: DataFrame, least: int = 2) -> DataFrame:
     """Targets that several providers mention."""
-    per = present(events).groupBy("target_id").agg(F.array_sort(F.collect_set("provider")).alias("p"), F.count("*").alias("event_count"))
-    return per.where(F.size("p") >= least).select("target_id", F.size("p").cast("long").alias("provider_count"), F.array_join("p", ",").alias("providers"), "event_count")
+    return _reach(aggregate(present(events), {k: v for k, v in basic().items() if k in ("providers", "event_count")}), least)
+
+
+def _reach(facts: DataFrame, least: int = 2) -> DataFrame:
+    return facts.where(F.size("providers") >= least).select("target_id", F.size("providers").cast("long").alias("provider_count"), F.array_join("providers", ",").alias("providers"), "event_count")
 
 
 def entity_frequency(events: DataFrame, n: int = 30) -> DataFrame:
     """The n most mentioned targets, ties by first mention, with their type and providers."""
-    per = present(events).groupBy("target_id").agg(first_type(), F.count("*").alias("event_count"), F.array_join(F.array_sort(F.collect_set("provider")), ",").alias("providers"), F.min("seq").alias("first_seq"))
-    return per.orderBy(F.col("event_count").desc(), "first_seq").limit(n).select("target_id", "target_type", "event_count", "providers")
+    return _frequency(aggregate(present(events), {k: v for k, v in basic().items() if k in ("target_type", "providers", "event_count", "first_seq")}), n)
+
+
+def _frequency(facts: DataFrame, n: int = 30) -> DataFrame:
+    return facts.orderBy(F.col("event_count").desc(), "first_seq").limit(n).select("target_id", "target_type", "event_count", F.array_join("providers", ",").alias("providers"))
 
 
 def drift_recurrence(drifts: DataFrame, trigger: str = "trigger", detail: str = "detail", examples: int = 3) -> DataFrame:
-    """How often each trigger of drift recurs, with its first examples."""
-    by = Window.partitionBy(trigger).orderBy("seq")
-    ranked = drifts.withColumn("r", F.row_number().over(by))
-    shown = F.array_sort(F.collect_list(F.when(F.col("r") <= examples, F.struct("seq", F.col(detail).alias("d")))))
-    return ranked.groupBy(trigger).agg(F.count("*").alias("count"), F.array_join(F.transform(shown, lambda e: e["d"]), "|").alias("examples"))
+    """How often each trigger of drift recurs, with its first examples. Null triggers are one of their own."""
+    counted = drifts.groupBy(trigger).agg(F.count("*").alias("count"))
+    few = first_per_key(drifts.select(trigger, "seq", F.col(detail).alias("_d")), [trigger], [F.col("seq")], examples)
+    few = few.groupBy(F.col(trigger).alias("_t")).agg(F.array_sort(F.collect_list(F.struct("seq", F.col("_d").alias("d")))).alias("_shown"))
+    return counted.join(few, counted[trigger].eqNullSafe(few["_t"])).select(trigger, "count", F.array_join(F.transform("_shown", lambda e: e["d"]), "|").alias("examples"))
 
 
 def corpus_now(events: DataFrame) -> DataFrame:
@@ -96,30 +137,44 @@ def corpus_now(events: DataFrame) -> DataFrame:
 
 def resurrection(events: DataFrame, gap_days: float = 30, recent_days: float = 14, least: int = 3) -> DataFrame:
     """Targets that went silent for gap_days and came back within recent_days of the corpus's last event."""
-    e = present(events).withColumn("prev", F.lag("ts").over(timeline()))
-    gap = days(F.col("prev"), F.col("ts"))
-    per = e.withColumn("gap", gap).groupBy("target_id").agg(first_type(), F.count("*").alias("event_count"), F.max("gap").alias("max_gap"), F.max_by("ts", when_key()).alias("last_seen"))
-    out = per.crossJoin(F.broadcast(corpus_now(events)))  # one row by construction
+    e = present(events).withColumn("previous_ts", F.lag("ts").over(timeline()))
+    return _resurrection(aggregate(e, basic(), gaps()), corpus_now(events), gap_days, recent_days, least)
+
+
+def gaps() -> dict[str, Column]:
+    return {"max_gap": F.max(days(F.col("previous_ts"), F.col("ts")))}
+
+
+def _resurrection(facts: DataFrame, now: DataFrame, gap_days: float = 30, recent_days: float = 14, least: int = 3) -> DataFrame:
+    out = facts.crossJoin(F.broadcast(now))  # one row by construction
     out = out.where((F.col("event_count") >= least) & (F.col("max_gap") >= gap_days) & (days(F.col("last_seen"), F.col("now")) <= recent_days))
     return out.select("target_id", "target_type", "event_count", F.round("max_gap", 1).alias("gap_days"), "last_seen")
 
 
 def half_life(events: DataFrame) -> DataFrame:
     """Decisions: days from their introduction to the first other event in time; thrashing if under two with three events."""
-    e = present(events).groupBy("target_id").agg(first_type(), F.count("*").alias("event_count"), F.min_by("seq", F.when(F.col("mention_type").isin(INTRODUCED), when_key())).alias("intro"), F.min_by("seq", when_key()).alias("earliest"))
-    d = e.where("target_type = 'Decision' and event_count >= 2").select("target_id", "event_count", F.coalesce("intro", "earliest").alias("intro"))
-    j = present(events).join(d, "target_id")
-    at, other = F.max(F.when(F.col("seq") == F.col("intro"), F.col("ts"))), F.min_by("ts", F.when(F.col("seq") != F.col("intro"), when_key()))
-    per = j.groupBy("target_id", "event_count").agg(at.alias("introduced"), other.alias("next"))
+    e = present(events)
+    second = first_per_key(e.select("target_id", "ts_raw", "ts", "seq"), ["target_id"], [F.coalesce("ts_raw", F.lit("")), F.col("seq")], 2).where("r = 2")
+    return _half_life(aggregate(e, basic(), introductions()).join(second.select("target_id", F.col("ts").alias("second")), "target_id"))
+
+
+def _half_life(facts: DataFrame) -> DataFrame:
+    """second: the time of the target's second event. The first event that isn't the introduction is the first of all, or
+    the second where the first is it."""
+    d = facts.where("target_type = 'Decision' and event_count >= 2").withColumn("intro", F.coalesce("intro", "first"))
+    d = d.select("target_id", "event_count", F.col("intro.ts").alias("introduced"), F.when(F.col("intro.seq") == F.col("first.seq"), F.col("second")).otherwise(F.col("first.ts")).alias("next"))
     life = days(F.col("introduced"), F.col("next"))
-    return per.select("target_id", "event_count", "introduced", F.round(life, 2).alias("half_life_days"), ((life < 2) & (F.col("event_count") >= 3)).alias("thrashing"))
+    return d.select("target_id", "event_count", "introduced", F.round(life, 2).alias("half_life_days"), ((life < 2) & (F.col("event_count") >= 3)).alias("thrashing"))
 
 
 def concern_lifetime(events: DataFrame) -> DataFrame:
     """Days from a concern's first raise to its first resolve, or to the corpus's last event while it is open."""
-    first = lambda kind: F.min_by("ts", F.when(F.col("mention_type") == kind, when_key()))
-    per = present(events).groupBy("target_id").agg(first_type(), first("concern_raised").alias("raised_at"), first("concern_resolved").alias("resolved_at")).where("raised_at is not null")
-    out = per.crossJoin(F.broadcast(corpus_now(events)))  # one row by construction
+    only = {k: v for k, v in concerns().items() if k.endswith("_at")}
+    return _lifetime(aggregate(present(events), {"target_type": first_type()}, only), corpus_now(events))
+
+
+def _lifetime(facts: DataFrame, now: DataFrame) -> DataFrame:
+    out = facts.where("raised_at is not null").crossJoin(F.broadcast(now))  # one row by construction
     kind = F.when(F.col("resolved_at").isNull(), "still_open").otherwise("resolved")
     return out.select("target_id", "target_type", kind.alias("kind"), F.round(days(F.col("raised_at"), F.coalesce("resolved_at", "now")), 1).alias("lifetime_days"))
 
@@ -156,23 +211,49 @@ def scale(events: DataFrame, objects: dict[str, DataFrame] | None = None) -> Dat
 
 def moves(frame: DataFrame, least: int = 2, width: int = 100, distinct_sessions: bool = False, examples: int = 5) -> DataFrame:
     """(move, owner, level) with occurrences and the sessions of the first ones: confirmed at `least`, else candidates. Long
-    moves are told by their start. A move's place among its equals is a window, so its examples stay few in each group."""
-    key = [F.substring("move", 1, width).alias("move"), F.coalesce("owner", F.lit("?")).alias("owner"), F.coalesce("level", F.lit("?")).alias("level")]
+    moves are told by their start. Examples come from a bounded number a map task, so no move's rows are sorted whole."""
+    keys = ["move", "owner", "level"]
     at = F.col("seq") if "seq" in frame.columns else F.col("session_id")
-    m = frame.select(*key, at.alias("seq"), "session_id").withColumn("r", F.row_number().over(Window.partitionBy("move", "owner", "level").orderBy("seq")))
+    m = frame.select(F.substring("move", 1, width).alias("move"), F.coalesce("owner", F.lit("?")).alias("owner"), F.coalesce("level", F.lit("?")).alias("level"), at.alias("seq"), "session_id")
     n = F.count_distinct("session_id") if distinct_sessions else F.count("*")
-    shown = F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= examples, F.struct("r", "session_id")))), lambda e: e["session_id"])
-    per = m.groupBy("move", "owner", "level").agg(n.alias("occurrences"), F.array_join(shown, ",").alias("example_sessions"))
-    return per.withColumn("state", F.when(F.col("occurrences") >= least, "confirmed").otherwise("candidate"))
+    counted = m.groupBy(*keys).agg(n.alias("occurrences"))
+    few = first_per_key(m, keys, [F.col("seq")], examples).groupBy(F.col("move").alias("_m"), F.col("owner").alias("_o"), F.col("level").alias("_l"))
+    few = few.agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "session_id"))), lambda e: e["session_id"]).alias("_shown"))
+    per = counted.join(few, counted["move"].eqNullSafe(few["_m"]) & (counted["owner"] == few["_o"]) & (counted["level"] == few["_l"]))
+    return per.select(*keys, "occurrences", F.array_join("_shown", ",").alias("example_sessions"), F.when(F.col("occurrences") >= least, "confirmed").otherwise("candidate").alias("state"))
+
+
+#: What the inferences read of an event.
+NARROW = ["seq", "ts_raw", "ts", "session_id", "provider", "target_id", "target_type", "mention_type", "valence"]
+
+
+def clustered(events: DataFrame) -> DataFrame:
+    """The log's columns that inferences read, staged in the order of target and time, with the time of the event before
+    (previous_ts) and whether there is one (later). A hot target lies in many ranges."""
+    e = events.select(*NARROW, F.coalesce("ts_raw", F.lit("")).alias("_t"), F.lit(True).alias("_one"))
+    x = with_previous(e, ["target_id"], [F.col("_t"), F.col("seq")], ["ts", "_one"])
+    return x.withColumn("later", F.coalesce("previous__one", F.lit(False))).drop("previous__one", "_t", "_one")
+
+
+def all_facts(log: DataFrame, last: int = 3) -> DataFrame:
+    """One row a target, staged: every fact that A1 to A13 need of it, from one aggregate over a clustered log."""
+    e = present(log)
+    second = {"second": F.min_by("ts", F.when(F.col("later"), when_key()))}  # the first of all events but the first
+    return stage(aggregate(e, basic(), concerns(), introductions(), gaps(), second).join(tails(e, last), "target_id"))
 
 
 def full_profile(events: DataFrame, decisions: DataFrame | None = None, objects: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Every inference over one log, as lazily evaluated frames; objects (by kind) add moves, drifts, rules and affect."""
+    """Every inference over one log; objects (by kind) add moves, drifts, rules and affect.
+
+    The log is read for one range sort (and its sample) and staged by target; one aggregate over it makes a row of facts a
+    target, staged too, and the inferences of targets are projections of that. Those of providers read the staged log."""
     from . import decisions as d
 
+    log = clustered(events)
+    facts, now = all_facts(log), stage(corpus_now(log))
     out = {
-        "convergence": convergence(events), "concern_lifecycle": concern_lifecycle(events), "cross_provider": cross_provider(events), "top_entities": entity_frequency(events),
-        "idea_resurrection": resurrection(events), "decision_half_life": half_life(events), "concern_lifetime": concern_lifetime(events), "provider_cognition": provider_cognition(events), "scale": scale(events, objects),
+        "convergence": _convergence(facts), "concern_lifecycle": _lifecycle(facts), "cross_provider": _reach(facts), "top_entities": _frequency(facts),
+        "idea_resurrection": _resurrection(facts, now), "decision_half_life": _half_life(facts), "concern_lifetime": _lifetime(facts, now), "provider_cognition": provider_cognition(log), "scale": scale(log, objects),
     }
     if decisions is not None:
         out["load_bearing"] = d.load_bearing(decisions)

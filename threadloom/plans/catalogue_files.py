@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import drafts, extract
-from ..operators.graph import scratch
+from ..staging import scratch
 from ..sources import extractions, profiles, transcripts
 from ..sources.writing import write_texts
 from . import views

@@ -255,7 +255,7 @@ def incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top entities over a state appended in two halves, the second run twice."""
     import uuid
 
-    from ..operators.graph import scratch
+    from ..staging import scratch
 
     e = views.mention_events(spark, sf_dir)
     half = F.pmod(F.xxhash64("session_id"), F.lit(2))
