@@ -137,7 +137,7 @@ def main(argv: list[str] | None = None) -> int:
             a.error(f"{args.command} needs --out")
         if args.command in ("events", "pipeline"):
             event_log.write_months(e, f"{args.out}/events")
-            event_log.index(e).write.mode("overwrite").json(f"{args.out}/events_index")
+            event_log.file_index(e.sparkSession, f"{args.out}/events").write.mode("overwrite").json(f"{args.out}/events_index")
         if args.command in ("vault", "pipeline"):
             write_vault(f, f"{args.out}/entities").agg(F.sum("bytes")).collect()
         if args.command in ("aggregate", "pipeline"):

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import month
+from ..functions.text import month, parse_time
+from ..sources.lines import lines, offsets
 
 #: Columns of a log record, in order.
 RECORD = ["ts", "session_id", "provider", "target_id", "target_type", "mention_type", "authorship", "valence", "evidence_quote", "mentioned_as"]
@@ -54,7 +58,8 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def index(events: DataFrame) -> DataFrame:
-    """(target_id, refs): where in the log each target is: time, month and line in the month's order.
+    """(target_id, refs): where in a log kept as one file a month each target is: time, file and line in the month's order.
+    The log that write_months writes has several files a month; file_index() names those.
 
     Lines are counted in ranges: within a day by window, days by prefix sums, so no month is one task's."""
     e = events.withColumn("ym", month(F.col("ts_raw"))).withColumn("day", F.substring("ts_raw", 1, 10))
@@ -66,6 +71,55 @@ def index(events: DataFrame) -> DataFrame:
     return lined.groupBy("target_id").agg(F.array_sort(F.collect_list("ref")).alias("refs"))
 
 
+def placed(spark: SparkSession, path: str) -> DataFrame:
+    """Records of the log with the place of their line: file (below the log's folder), offset and length in bytes."""
+    x = offsets(lines(spark, path, "*.json")).withColumn("r", F.from_json("line", SCHEMA))
+    x = x.where("r.target_id is not null").select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("file"), "offset", "length", "r.*")
+    return x.withColumn("ym", F.regexp_extract("file", r"^ym=([^/]+)/", 1))
+
+
+def file_index(spark: SparkSession, path: str) -> DataFrame:
+    """(target_id, refs): time, file, byte offset and length of each of a target's lines, in the order of time and place."""
+    ref = F.struct("ts", "file", "offset", "length")
+    return placed(spark, path).groupBy("target_id").agg(F.array_sort(F.collect_list(ref)).alias("refs"))
+
+
+def read_refs(spark: SparkSession, path: str, refs: DataFrame) -> DataFrame:
+    """The records at rows (file, offset, length): only the files that they name are opened, and only those bytes read.
+
+    Rows meet by file, in the order of their offsets, so that a task reads a file forwards. The folder must be reachable
+    from executors."""
+    wanted = refs.select(F.concat(F.lit(path.rstrip("/") + "/"), "file").alias("file"), "offset", "length")
+    wanted = wanted.repartition("file").sortWithinPartitions("file", "offset")
+    got = wanted.mapInPandas(_read_at, "file string, offset long, line string")
+    x = got.select(F.regexp_extract("file", r"([^/]+/[^/]+)$", 1).alias("file"), "offset", F.from_json("line", SCHEMA).alias("r")).select("file", "offset", "r.*")
+    return x.withColumn("ym", F.regexp_extract("file", r"^ym=([^/]+)/", 1))
+
+
+def _read_at(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import re
+
+    from pyarrow import fs
+
+    held, name = None, None
+    for b in batches:
+        texts = []
+        for file, offset, length in zip(b["file"], b["offset"], b["length"], strict=True):
+            if file != name:
+                plain = re.sub(r"^file:/+", "/", file)
+                system, place = fs.FileSystem.from_uri(plain) if ":/" in plain else (fs.LocalFileSystem(), plain)
+                held, name = system.open_input_file(place), file
+            held.seek(offset)
+            texts.append(held.read(length).decode())
+        yield pd.DataFrame({"file": b["file"], "offset": b["offset"], "line": texts})
+
+
+def logged_events(spark: SparkSession, path: str) -> DataFrame:
+    """The log as mention events again: seq is the line's time and place, ts_raw the time as written, ts parsed."""
+    x = placed(spark, path)
+    return x.withColumns({"seq": F.struct("ts", "file", "offset"), "ts_raw": F.col("ts"), "ts": parse_time(F.col("ts"))}).drop("file", "offset", "length")
+
+
 def meta(events: DataFrame) -> DataFrame:
     return events.agg(F.count_distinct("session_id").alias("sessions_read"), F.count("*").alias("events_total"), F.count_distinct("target_id").alias("distinct_targets"), F.count_distinct(month(F.col("ts_raw"))).alias("months"), F.max_by("session_id", F.struct("ts_raw", "seq")).alias("last_session"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import activity, strip
+from .containment import containing
 from .graph import co_mentions
 from .profile import when_key
 
@@ -50,11 +51,12 @@ def decisions_of(events: DataFrame, decisions: DataFrame, most: int = 15) -> Dat
 
 
 def rules_of(events: DataFrame, rules: DataFrame, most: int = 15) -> DataFrame:
-    """(target_id, session_id, line, place): rules of a mentioning session whose text or scope holds the target's name; the
-    equi-join on the session comes first, the substring test is its residual."""
+    """(target_id, session_id, line, place): rules of a mentioning session whose text or scope holds the target's name. Rules
+    and names meet by a piece of the name and the session, not every rule of a session with all its targets."""
     e = events.groupBy("session_id", "target_id").agg(F.min(when_key()).alias("at"))
-    r = rules.select("session_id", F.col("seq").alias("d"), "rule_text", F.coalesce("applies_to", F.lit("")).alias("applies_to"))
-    met = e.join(r, "session_id").where(F.col("applies_to").contains(F.col("target_id")) | F.col("rule_text").contains(F.col("target_id")))
+    r = rules.select("session_id", F.col("seq").alias("d"), "rule_text", F.concat(F.coalesce("applies_to", F.lit("")), F.lit("\n\x00\n"), F.coalesce("rule_text", F.lit(""))).alias("both"))
+    found = containing(r, e.where("target_id <> ''"), "d", "both", "target_id", ["session_id"], any_case=False)
+    met = found.join(r.select("session_id", "d", "rule_text"), ["session_id", "d"]).join(e, ["session_id", "target_id"])
     met = met.groupBy("target_id", "session_id", F.substring("rule_text", 1, 180).alias("line")).agg(F.min(F.struct("at", "d")).alias("at"))
     by = Window.partitionBy("target_id").orderBy("at", "session_id", "line")
     return met.withColumn("place", F.row_number().over(by)).where(F.col("place") <= most).drop("at")

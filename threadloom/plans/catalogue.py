@@ -242,4 +242,4 @@ def communities_modularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.modularity(edges, graph.louvain(edges))
 
 
-from . import catalogue_compiled, catalogue_files, catalogue_more, catalogue_state  # noqa: E402,F401  register the rest
+from . import catalogue_compiled, catalogue_files, catalogue_more, catalogue_scale, catalogue_state  # noqa: E402,F401  register the rest

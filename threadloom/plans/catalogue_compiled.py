@@ -38,14 +38,14 @@ def rules_sql(tag: str, bucket: str, n: int) -> str:
 @query("compiled_global", BASE + f"""select '<global-brain v="{SCHEMA}">' as line union all {MOVES.replace('NUMBER', '15')} union all {rules_sql('obs', 'meta_user', 12)} union all {DRIFTS.replace('NUMBER', '8')} union all select '</global-brain>')
 select line from x""")
 def compiled_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _compiled(spark, sf_dir, "light_ir_global", 100_000)
+    return _compiled(spark, sf_dir, "light_ir_global", 10_000_000)
 
 
 @query("compiled_personal", BASE + f"""select '<personal-brain v="{SCHEMA}">' as line union all {rules_sql('collab', 'meta_assistant', 20)} union all select '</personal-brain>')
 select line from x""")
 def compiled_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """None of the tables' concerns is of the general kinds."""
-    return _compiled(spark, sf_dir, "light_ir_personal", 100_000)
+    return _compiled(spark, sf_dir, "light_ir_personal", 10_000_000)
 
 
 @query("compiled_rules_file", BASE + """select '# Moves, rules and open concerns distilled from many sessions.' as line union all select '' union all select '## Mental moves to honor' union all select unnest(string_split('- ' || trim(move, ' '), chr(10))) from (select * from mv where move <> '' order by n desc, move limit 8)
@@ -53,4 +53,4 @@ def compiled_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
   union all select unnest(['## Open concerns (do not silently introduce regressions here)', '']) where exists (select 1 from cl where resolved = 0) union all select '- `' || target_id || '`' from (select * from cl where resolved = 0 order by raised desc, target_id limit 6))
 select line from x""")
 def compiled_rules_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _compiled(spark, sf_dir, "cursor_rules", 100_000)
+    return _compiled(spark, sf_dir, "cursor_rules", 10_000_000)

@@ -74,16 +74,17 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules over documents and their labels, with the bucket each falls in; unlabelled ones fall in project_domain."""
+    """Rules over documents and their labels, with the bucket each falls in; unlabelled ones fall in project_domain. Texts are whole; what
+    needs a key of them cuts it."""
     d = table(spark, sf_dir, "documents")
     lab = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "l_doc_id")
     q, t = F.col("quality"), F.col("toxic")
     bucket = F.when((q == 1) & (t == 0), "meta_user").when((q == 1) & (t == 1), "meta_assistant").when((q == 0) & (t == 1), "debugging_recipe").otherwise("project_domain")
-    return d.join(lab, F.col("doc_id") == F.col("l_doc_id"), "left").select(F.col("doc_id").alias("seq"), F.substring("text", 1, 100).alias("rule_text"), F.col("lang").alias("provider"), F.col("source").alias("level"), bucket.alias("bucket"))
+    return d.join(lab, F.col("doc_id") == F.col("l_doc_id"), "left").select(F.col("doc_id").alias("seq"), F.col("text").alias("rule_text"), F.col("lang").alias("provider"), F.col("source").alias("level"), bucket.alias("bucket"))
 
 
 R_SQL = """
-r as (select d.doc_id as seq, substring(text, 1, 100) as rule_text, lang as provider, source as level,
+r as (select d.doc_id as seq, text as rule_text, lang as provider, source as level,
         case when quality = 1 and toxic = 0 then 'meta_user' when quality = 1 and toxic = 1 then 'meta_assistant' when quality = 0 and toxic = 1 then 'debugging_recipe' else 'project_domain' end as bucket
       from documents d left join labels l on d.doc_id = l.doc_id)
 """

@@ -1,7 +1,7 @@
 """Transcripts of five providers and of terminals, as turns or artifacts; a registry of readers.
 
-Files are read as text (a line or a whole file a row) and taken apart as VARIANT, so that one malformed element or file
-drops alone. A session is bounded by its file; nothing is collected.
+Files of lines are read in ranges (see lines), documents as whole files, and taken apart as VARIANT, so that one malformed
+element or file drops alone. Nothing is collected; a session of lines may be of any size.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import coerce_time, flatten_blocks, strip, strip_ansi, strip_fences
+from .lines import PLACE, lines, running
 
 #: Roles and message types that are tools' and not people's; longest texts.
 TOOL_ROLES = ["tool", "tool_result", "function"]
@@ -42,9 +43,8 @@ def providers() -> list[str]:
 
 
 def _lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """(path, n, v) of each line; n orders the lines of a file."""
-    t = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return t.select("path", F.posexplode(F.split("value", "\n")).alias("n", "line")).where("trim(line) <> ''").select("path", "n", F.try_parse_json("line").alias("v")).where("v is not null")
+    """(path, block, n, v) of each line that is JSON; files are read in ranges, block and n order the lines of a file."""
+    return lines(spark, path, glob).where("trim(line) <> ''").select(*PLACE, F.try_parse_json("line").alias("v")).where("v is not null")
 
 
 def _documents(spark: SparkSession, path: str, glob: str) -> DataFrame:
@@ -77,10 +77,14 @@ def clean_id(name: Column) -> Column:
 
 
 def _turns(frame: DataFrame, provider: str, session: Column, role: Column, ts: Column, text: Column, thinking: Column, raw_type: Column | None = None, tokens: Column | None = None) -> DataFrame:
-    """Turns with a text or a thought, numbered anew in each file."""
+    """Turns with a text or a thought, numbered anew in each file: rows of lines by their splits, rows of a document (one
+    row a file before it was taken apart) by a window."""
     none = F.lit(None).cast("string")
-    t = frame.select(session.alias("session_id"), F.lit(provider).alias("provider"), F.col("path").alias("source_path"), "n", role.alias("role"), ts.alias("timestamp"), text.alias("text"), thinking.alias("thinking"), (raw_type if raw_type is not None else none).alias("raw_type"), (tokens if tokens is not None else none).alias("tokens"))
+    own = ["block"] if "block" in frame.columns else []
+    t = frame.select(*own, session.alias("session_id"), F.lit(provider).alias("provider"), F.col("path").alias("source_path"), "n", role.alias("role"), ts.alias("timestamp"), text.alias("text"), thinking.alias("thinking"), (raw_type if raw_type is not None else none).alias("raw_type"), (tokens if tokens is not None else none).alias("tokens"))
     t = t.where("text <> '' or thinking <> ''")
+    if own:
+        return running(t.withColumnRenamed("source_path", "path"), F.lit(1), "index").withColumnRenamed("path", "source_path").withColumn("index", F.col("index").cast("int")).drop("block", "n")
     index = F.row_number().over(Window.partitionBy("source_path").orderBy("n")) - 1
     return t.withColumn("index", index).drop("n")
 
@@ -138,6 +142,7 @@ def cline(spark: SparkSession, path: str, coerce: bool = True) -> DataFrame:
     return ui.unionByName(_turns(api, "cline", stem(), F.col("role"), F.lit(None).cast("string"), F.substring(text, 1, CLINE_TEXT), thinking))
 
 
+@register("antigravity")
 def antigravity(spark: SparkSession, path: str) -> DataFrame:
     """(session_id, provider, artifacts): the Markdown files of each folder, by name, long ones cut."""
     f = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").option("recursiveFileLookup", "true").load(path)
