@@ -377,7 +377,7 @@ def bundled(rows: DataFrame) -> DataFrame:
     than the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=4))
         for batch in batches:
             slices = batch.column(0).to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(slices)) + 1).tolist(), len(slices)]
