@@ -42,3 +42,29 @@ def test_gender_is_part_of_a_person(spark):
     a, b, c, d, e = (t.split() for t in texts(spark, "Mr Kim Lee", "Mrs Kim Lee", "Dr Kim Lee", "Dr Eva Moss", "Miss Eva Moss"))
     assert a[1] in pii.GIVEN["latin", "m"] and b[1] in pii.GIVEN["latin", "f"] and c[1] in pii.GIVEN["latin", "n"]
     assert d[1] in pii.GIVEN["latin", "f"] and d[1:] == e[1:]
+
+
+def test_hyphenated_and_long_names(spark):
+    got = texts(spark, "Mr Jean-Luc Picard-Smith; Picard-Smith. Jean-Luc, Luc", "Mrs Anna-Lena Bauer came. Anna-Lena left. Then Anna-Lena Bauer.", "Mr Juan Carlos Garcia Lopez Martin and Mr John F. Kennedy. Kennedy's anti-Kennedy; Kennedy-like", "Frau Ann-Eva-Mia-Lea-Zoe Abt")
+    w = got[0].replace(";", "").replace(".", "").replace(",", "").split()
+    assert w[2] == w[3] and w[1] == w[4] and w[5] == w[1].split("-")[1] and not any(n in got[0] for n in ("Jean", "Luc", "Picard", "Smith"))
+    w = got[1].replace(".", "").split()
+    assert w[1] == w[4] == w[7] and w[2] == w[8] and not any(n in got[1] for n in ("Anna", "Lena", "Bauer")) and w[1].count("-") == 1
+    assert not any(n in got[2] for n in ("Juan", "Carlos", "Garcia", "Lopez", "Martin", "John")) and " F. " in got[2] and got[2].count("Kennedy") == 1 and got[2].endswith("Kennedy-like")
+    assert got[3].count("-") == 4 and not any(n in got[3] for n in ("Ann-", "Eva", "Mia", "Lea", "Zoe", "Abt"))
+
+
+def test_entities_of_any_length(spark):
+    """Keys, mails and numbers are entities however long they are, and a megabyte of one takes time that grows with it."""
+    rows = ["a1" * 72, "key sk-" + "Ab9_" * 60 + " end", "x" * 70 + "@host.org", "a" * 300 + "@" + "b" * 90 + ".museum", "ghp_" + "k9" * 30, "0f" * 100_000, "q" * 200_000 + "@x.org"]
+    got = texts(spark, *rows)
+    for a, b in zip(rows, got, strict=True):
+        assert a != b and len(a) == len(b)
+    assert got[1].startswith("key sk-") and got[1].endswith(" end") and "Ab9_Ab9" not in got[1] and got[2].endswith(".org") and got[3].endswith(".museum")
+
+
+def test_country_codes_stay(spark):
+    rows = ["+49 (0)30 123456", "+1 212 555 7713", "+353 1 234 5678", "+4930123456", "+44 20 7946 0958", "(212) 555-7713", "+7 495 123 45 67"]
+    got = texts(spark, *rows)
+    for a, b, kept in zip(rows, got, ("+49", "+1", "+353", "+49", "+44", "", "+7"), strict=True):
+        assert a != b and b.startswith(kept) and [c for c in a if not c.isdigit()] == [c for c in b if not c.isdigit()]

@@ -43,22 +43,28 @@ TITLES = "(?:" + "|".join(sorted({*_AS_WRITTEN, *_CAPITALS}, key=lambda t: (-len
 #: A capitalised word of a name, of up to 49 characters; an apostrophe stands before a capital only (O'Brien, but Anna's is
 #: Anna).
 WORD = r"\p{Lu}(?:[\p{L}\p{M}]|['’](?=\p{Lu})){1,48}+(?![\p{L}\p{M}])"
-#: Patterns by type; the first that fits names the type. Each starts at the edge of a run only, and what repeats is possessive
-#: and bounded (a mail's name and labels have up to 64 characters, as the standard says), so neither time nor the matcher's
-#: stack grows faster than the text, and no entity is long.
+#: Words joined by hyphens, and a person's name of up to five of these. One capital and a full stop may stand between them.
+JOINED = rf"{WORD}(?:-{WORD}){{0,30}}"
+NAME = rf"{JOINED}(?: (?:\p{{Lu}}\. )?{JOINED}){{0,4}}"
+#: Patterns by type; the first that fits names the type. Each starts at the edge of a run only, and runs of characters are
+#: possessive and of any length, so time grows as the text; groups that repeat are bounded (a host has up to 127 labels), as
+#: the matcher's stack is.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]{1,64}+@[\p{L}\p{M}\p{N}-]{1,64}+(?:\.[\p{L}\p{M}\p{N}-]{1,64}+){0,125}\.\p{L}[\p{L}\p{M}]{1,63}+",
-    "secret": r"\b(?:[0-9a-f]{32,128}|AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,200})\b",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@[\p{L}\p{M}\p{N}-]++(?:\.[\p{L}\p{M}\p{N}-]++){0,125}\.\p{L}[\p{L}\p{M}]++",
+    "secret": r"\b(?:[0-9a-f]{32,}+\b|AKIA[0-9A-Z]{16}\b|gh[opsu]_[A-Za-z0-9]{36,}+\b|sk-[A-Za-z0-9_-]{20,}+)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}\b|\(\d{3}\) ?\d{3}-\d{4}\b|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])",
+    "phone": r"\+(?=(?:[ ().-]{0,2}\d){7})\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{1,4}){2,5}\b|\(\d{3}\) ?\d{3}-\d{4}\b|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])",
     "card": r"(?<![\d-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
-    "person": rf"\b(?:{TITLES}) {WORD}(?:[ -]{WORD}){{0,2}}",
+    "person": rf"\b(?:{TITLES}) {NAME}",
 }
 ANY = "(?U)" + "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: In a document that names a person, its other capitalised words as well: those that are a part of a name are replaced.
-BARE = rf"(?<![\p{{L}}\p{{M}}\p{{N}}_@.%+-]){WORD}(?![\p{{N}}_@%+]|[.-][\p{{L}}\p{{N}}])"
+#: In a document that names a person, its other capitalised words as well, each of a hyphenated name: those that are a part
+#: of a name are replaced. Parts of addresses and of words that go on in small letters or digits are none.
+BARE = rf"(?<![\p{{L}}\p{{M}}\p{{N}}_@.%+])(?<![^\p{{L}}\p{{M}}]-){WORD}(?![\p{{N}}_@%+]|\.[\p{{L}}\p{{N}}]|-[\p{{Ll}}\p{{N}}])"
+#: Country codes of one digit, and of two; all others have three.
+ONE, TWO = ["1", "7"], "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 ANY_OR_WORD = f"{ANY}|(?:{BARE})"
 PERSON = f"(?U)^(?:{PATTERNS['person']})$"
 DIGITS = ("ssn", "phone", "card")
@@ -112,11 +118,11 @@ def name_of(mention: Column) -> Column:
 
 
 def canonical(mention: Column, kind: Column) -> Column:
-    """Digits alone for numbers, no breaks for accounts, lower case for mail and parts of names. Numbers, accounts and
-    network addresses are one entity in the digits of any script."""
+    """Digits alone for numbers (after the plus of a phone with a country code), no breaks for accounts, lower case for mail
+    and parts of names. Numbers, accounts and network addresses are one entity in the digits of any script."""
     ascii_ = F.translate(mention, ALL_DIGITS, "0123456789" * (len(ALL_DIGITS) // 10))
     number = F.regexp_replace(ascii_, r"[^0-9]", "")
-    return F.when(kind.isin(*DIGITS), number).when(kind == "iban", F.replace(ascii_, F.lit(" "), F.lit(""))).when(kind.isin("email", "given", "family"), F.lower(mention)).when(kind == "ip", ascii_).otherwise(mention)
+    return F.when((kind == "phone") & mention.startswith("+"), F.concat(F.lit("+"), number)).when(kind.isin(*DIGITS), number).when(kind == "iban", F.replace(ascii_, F.lit(" "), F.lit(""))).when(kind.isin("email", "given", "family"), F.lower(mention)).when(kind == "ip", ascii_).otherwise(mention)
 
 
 def in_script_of(digit: Column, like: Column) -> Column:
@@ -143,8 +149,7 @@ def _chars(text: Column) -> Column:
 def _bytes(seed: Column, n: Column) -> Column:
     """n pseudo-random numbers of 0 to 255 from blocks of SHA-512 of the seed."""
     blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 64).cast("int")), lambda i: F.sha2(F.concat(seed, F.lit(":"), i.cast("string")).cast("binary"), 512))
-    digits = F.array_join(blocks, "")
-    return _let(digits, lambda d: F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.conv(F.substr(d, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int")))
+    return F.slice(F.flatten(F.transform(blocks, lambda d: F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.conv(F.substr(d, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int")))), F.lit(1), n)
 
 
 def _like(c: Column, b: Column, hexadecimal: Column) -> Column:
@@ -176,8 +181,10 @@ def _drawn(kind: Column, entity: Column, gender: Column, more: Column, chars: Co
     # a country code, an account's country, a card's first digit, a token's prefix and a mail's top domain stay
     kept = F.when(kind == "email", F.length(entity) - F.length(F.substring_index(entity, ".", -1))).otherwise(F.lit(1 << 30))
     prefix = F.length(F.regexp_extract(entity, r"^(AKIA|gh[opsu]_|sk-)", 1))
-    lead = F.when(kind == "iban", 4).when(kind == "card", 1).when(kind == "secret", prefix).when((kind == "phone") & (F.length(entity) - more > 10), F.length(entity) - more - 10).otherwise(0)
-    mapped = F.array_join(F.transform(chars, lambda c, i: F.when((i < lead) | (i >= kept), c).otherwise(_like(c, drawn[i], hexadecimal))), "")
+    lead = F.when(kind == "iban", 4).when(kind == "card", 1).when(kind == "secret", prefix).when((kind == "phone") & entity.startswith("+"), 1 + F.when(F.substr(entity, F.lit(2), F.lit(1)).isin(ONE), 1).when(F.substr(entity, F.lit(2), F.lit(2)).isin(TWO), 2).otherwise(3)).otherwise(0)
+    # each computed once, and not for every character
+    bounds = F.struct(F.coalesce(lead, F.lit(0)).alias("lead"), kept.alias("kept"), hexadecimal.alias("hex"))
+    mapped = _let(bounds, lambda b: F.array_join(F.transform(chars, lambda c, i: F.when((i < b["lead"]) | (i >= b["kept"]), c).otherwise(_like(c, drawn[i], b["hex"]))), ""))
     octets = F.array_join(F.transform(F.slice(drawn, F.lit(1), F.least(F.lit(64), 4 + more).cast("int")), lambda b: (b % 254 + 1).cast("string")), ".")
     body = F.substr(mapped, F.lit(1), F.length(mapped) - 1)
     card = F.filter(F.array(*[F.concat(body, F.lit(str(d))) for d in range(10)]), lambda n: F.call_function("luhn_check", n))[0]
@@ -201,7 +208,7 @@ def formatted(mention: Column, kind: Column, canon: Column) -> Column:
     chars = _chars(mention)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
 
-    def fill(kept: str):
+    def fill(kept: str, canon: Column = canon):
         def step(acc: Column, c: Column) -> Column:
             fits = c.rlike(kept)
             return F.struct(F.concat(acc["out"], F.when(fits, in_script_of(F.substr(canon, acc["k"] + 1, F.lit(1)), c)).otherwise(c)).alias("out"), (acc["k"] + fits.cast("int")).alias("k"))
@@ -209,10 +216,10 @@ def formatted(mention: Column, kind: Column, canon: Column) -> Column:
         return F.aggregate(chars, start, step, lambda a: F.concat(a["out"], F.substr(canon, a["k"] + 1)))
 
     ahead = F.length(canon) - F.length(mention)
-    cased = F.array_join(F.transform(chars, lambda c, i: F.when(c != F.lower(c), F.upper(F.substr(canon, ahead + i + 1, F.lit(1)))).otherwise(F.substr(canon, ahead + i + 1, F.lit(1)))), "")
+    cased = F.array_join(F.zip_with(chars, F.slice(_chars(canon), F.greatest(F.lit(0), ahead) + 1, F.size(chars)), lambda c, d: F.when(c != F.lower(c), F.upper(d)).otherwise(d)), "")
     octets = F.array_join(F.transform(F.split(canon, ""), lambda c: in_script_of(c, chars[0])), "")
     part = F.when((F.upper(mention) == mention) & (F.lower(mention) != mention), F.upper(canon)).otherwise(F.initcap(canon))
-    return F.when(kind.isin(*DIGITS), fill(r"\p{Nd}")).when(kind == "ip", octets).when(kind == "iban", fill(r"[A-Z\p{Nd}]")).when(kind.isin("given", "family"), part).when(kind == "email", F.concat(F.substr(canon, F.lit(1), ahead), cased)).otherwise(canon)
+    return F.when(kind.isin(*DIGITS), fill(r"\p{Nd}", F.ltrim(canon, F.lit("+")))).when(kind == "ip", octets).when(kind == "iban", fill(r"[A-Z\p{Nd}]")).when(kind.isin("given", "family"), part).when(kind == "email", F.concat(F.substr(canon, F.lit(1), ahead), cased)).otherwise(canon)
 
 
 def entity_table(mentions: DataFrame, key: str) -> DataFrame:
@@ -252,16 +259,16 @@ def entity_table(mentions: DataFrame, key: str) -> DataFrame:
 def _titled(mentions: DataFrame) -> DataFrame:
     """(rid, pos, place, ahead, piece, kind, gender, given, family, name) of the parts of titled persons: ahead is the title
     or the break before the part. A part in the last word is of the family, the others are given. A name without a gender
-    takes the one that its document tells: of the same name, or for a family name alone of the first one of it."""
+    takes the one that its document tells: of the same name, or for a family name alone of the first one of it. Initials stay."""
     p = mentions.where(F.col("kind") == "person").withColumn("full", name_of(F.col("mention")))
     p = p.withColumn("title", F.substr("mention", F.lit(1), F.length("mention") - F.length("full"))).withColumn("gender", gender_of(F.col("mention")))
-    p = p.withColumn("name", F.lower("full")).withColumn("words", F.split("full", " "))
+    p = p.withColumn("name", F.lower("full")).withColumn("words", F.regexp_extract_all("full", F.lit(f"(?U){JOINED}"), F.lit(0))).withColumn("between", F.split("full", f"(?U){JOINED}", -1))
     p = p.withColumn("family", F.lower(F.split(F.element_at("words", -1), "-")[0]))
     p = p.withColumn("given", F.when(F.size("words") > 1, F.lower(F.element_at(F.split(F.element_at("words", -2), "-"), -1))))
     told = lambda *by: F.first("gender", ignorenulls=True).over(Window.partitionBy("rid", *by).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     p = p.withColumn("of_name", told("name")).withColumn("of_family", told("family"))
     p = p.withColumn("gender", F.coalesce("gender", "of_name", F.when(F.size("words") == 1, F.col("of_family"))))
-    pieces = F.flatten(F.transform("words", lambda w, i: F.transform(F.split(w, "-"), lambda x, j: F.struct(x.alias("piece"), F.when(j > 0, "-").when(i > 0, " ").otherwise("").alias("before"), F.when(i == F.size("words") - 1, "family").otherwise("given").alias("kind")))))
+    pieces = F.flatten(F.transform("words", lambda w, i: F.transform(F.split(w, "-"), lambda x, j: F.struct(x.alias("piece"), F.when(j > 0, "-").otherwise(F.element_at("between", i + 1)).alias("before"), F.when(i == F.size("words") - 1, "family").otherwise("given").alias("kind")))))
     p = p.select("rid", "pos", "title", "gender", "given", "family", "name", F.posexplode(pieces).alias("place", "x"))
     return p.select("rid", "pos", "place", F.when(F.col("place") == 0, F.col("title")).otherwise(F.col("x.before")).alias("ahead"), "x.piece", "x.kind", "gender", "given", "family", "name")
 
