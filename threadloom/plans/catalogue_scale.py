@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import containment, drafts, event_log, graph, profile
-from ..sources import transcripts
+from ..sources import extractions, transcripts
 from ..staging import scratch
 from . import views
 from .catalogue import CRIT, M_SQL, R_SQL, SQL, ST, on_events, query
@@ -83,3 +83,20 @@ def rules_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which rules hold which names as they are written."""
     r = views.rules(spark, sf_dir)
     return containment.containing(r, project_names(r), "seq", "rule_text", "project", any_case=False)
+
+
+@query("unresolved_concerns", f"""with {M_SQL.strip()},
+s as (select session_id, provider, case when provider = 'p0' then '2020-01-01' when provider = 'p1' then '' else min(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')) end as ts from m group by 1, 2)
+select s.ts, session_id, provider, target_id, 'open ' || seq as text from m join s using (session_id, provider) where mention_type = 'concern_raised'""")
+def unresolved_concerns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open concerns of extraction documents: of one provider's the events have no time but the session has, of another's
+    neither; between the concerns are items that are none."""
+    e = views.mention_events(spark, sf_dir)
+    raised = F.collect_list(F.when(F.col("mention_type") == "concern_raised", F.struct(F.concat(F.lit("open "), F.col("seq").cast("string")).alias("text"), "target_id")))
+    events = F.collect_list(F.struct("target_id", F.when(~F.col("provider").isin("p0", "p1"), F.col("ts_raw")).alias("ts")))
+    per = e.groupBy("session_id", "provider").agg(events.alias("mention_events"), raised.alias("raised"))
+    meta = F.when(F.col("provider") == "p0", F.struct(F.lit("2020-01-01").alias("started_at")))
+    body = F.to_json(F.struct("session_id", "provider", "mention_events", meta.alias("session_meta"), F.col("raised").alias("unresolved")))
+    docs = per.select(F.concat("provider", F.lit("/"), "session_id").alias("name"), F.regexp_replace(body, r'"unresolved":\[', '"unresolved":["no object",7' ).alias("text"), F.size("raised").alias("n"))
+    docs = docs.select("name", F.when(F.col("n") > 0, F.replace("text", F.lit('["no object",7'), F.lit('["no object",7,'))).otherwise(F.col("text")).alias("text"))
+    return extractions.unresolved(extractions.scan(spark, [written(docs, ".json")])).select("ts", "session_id", "provider", "target_id", "text")

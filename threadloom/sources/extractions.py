@@ -74,6 +74,22 @@ def decisions(docs: DataFrame) -> DataFrame:
     return e.select(_order().alias("seq"), raw.alias("ts_raw"), parse_time(raw).alias("ts"), "session_id", "provider", s("status").alias("status"), F.coalesce(s("proposition"), s("decision"), s("text"), F.lit("")).alias("proposition"), s("why").alias("why"), s("target_id").alias("target_id"), F.coalesce(related, F.array().cast("array<string>")).alias("related_entities"))
 
 
+def session_time() -> Column:
+    """A session's time: the least `ts` of its events, else when its meta says it started, else empty. Of rows with doc."""
+    events = F.transform(F.try_variant_get("doc", "$.mention_events", "array<variant>"), lambda e: F.nullif(F.try_variant_get(e, "$.ts", "string"), F.lit("")))
+    meta = [F.nullif(F.try_variant_get("doc", f"$.session_meta.{k}", "string"), F.lit("")) for k in ("started_at", "ts")]
+    return F.coalesce(F.array_min(events), *meta, F.lit(""))
+
+
+def unresolved(docs: DataFrame, limit: int | None = None) -> DataFrame:
+    """(ts, seq, session_id, provider, text, target_id, status, concern): concerns that sessions left open, in the order of
+    their sessions' times; items that are no objects are dropped, concern is the whole item as JSON."""
+    e = _objects(docs, "unresolved")
+    out = e.select(session_time().alias("ts"), _order().alias("seq"), "session_id", "provider", *[F.try_variant_get("e", f"$.{f}", "string").alias(f) for f in FIELDS["unresolved"]], F.to_json("e").alias("concern"))
+    out = out.orderBy("ts", "seq")
+    return out if limit is None else out.limit(limit)
+
+
 def session_counts(docs: DataFrame) -> DataFrame:
     """(provider, session_id, turns, one column a kind): how much each extraction holds."""
     size = lambda k: F.coalesce(F.size(F.try_variant_get("v", f"$.{k}", "array<variant>")), F.lit(0))
