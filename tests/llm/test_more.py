@@ -187,3 +187,16 @@ def test_tokens_ignore_other_columns(spark, edge):
     import public_tokenizers
 
     assert tokens.tokenised(edge, public_tokenizers.path("word_bpe_49k.json")).count() == 7
+
+
+def test_mix_of_null_ids(spark):
+    """Documents without ids fall in many buckets of their source, and the mix is that of any other documents."""
+    from threadloom.llm import mixing
+
+    docs = spark.createDataFrame([(None, f"word {i} " * (i % 7 + 1), "ab"[i % 2]) for i in range(1000)] + [(None, None, None)], "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(docs).collect()
+    assert len(got) == 1001 and sorted((r["size"], r["taken"]) for r in got) == sorted((r["size"], r["taken"]) for r in mixing.mix(docs.repartition(2)).collect())
+    for source in "ab":
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 20
+        assert len({(r["key"] % 4096) for r in own}) > 100

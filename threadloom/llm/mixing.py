@@ -47,12 +47,14 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = (3, 1, 2), share:
 def mix(docs: DataFrame, cycle: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: str = "mix", size: Column | None = None) -> DataFrame:
     """The mix's plan, a row a document: row, doc_id, key (row_key), source, size, source_size, target, copies, taken.
 
-    Null sources are a source of their own, null or empty texts have size 0; with no words at all every target is 0.
+    Null sources are a source of their own, null or empty texts have size 0; with no words at all every target is 0. Null ids
+    are shuffled by their texts, long texts count whole, an empty table gives an empty plan.
     Repeated rows are documents of their own. Ties in the shuffle order (equal ids) go by size, so rows that tie in all
     are alike in the result. Documents are never cut: each source's taken words come within about one document of its
     target. Extra columns are ignored. A hot source is summed in buckets of its shuffle key, never in one task."""
     size = word_count(F.col("text")) if size is None else size
-    shuffle = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # documents without an id are told apart by their text, so they fall in many buckets
+    shuffle = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), row_key().cast("string")))))
     base = docs.select("doc_id", row_key().alias("key"), "source", size.alias("size"), shuffle.alias("shuffle"), F.monotonically_increasing_id().alias("row"))
     base = stage(base, "sizes").withColumn("bucket", F.substring("shuffle", 1, BUCKET_DIGITS))
     targets = source_targets(base, cycle, share, most)
