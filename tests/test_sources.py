@@ -49,7 +49,7 @@ def test_documents(spark, tmp_path):
     put(tmp_path, "p/s9.json", {"session_id": "s9", "turns": [{"role": "user", "text": "hey"}]})
     s = transcripts.normalised(transcripts.reader("structured")(spark, str(tmp_path / "p")))
     assert json.loads(transcripts.to_json(s).first()["json"])["turns"][0]["text"] == "hey"
-    assert set(transcripts.providers()) == {"claude_code", "claude_desktop", "gemini_cli", "cline", "structured", "terminal"}
+    assert set(transcripts.providers()) == {"claude_code", "claude_desktop", "gemini_cli", "cline", "structured", "terminal", "antigravity"}
 
 
 DOC = {

@@ -76,11 +76,11 @@ def clean_id(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, r"\.(jsonl|json)$", ""), "^local_", "")
 
 
-def _turns(frame: DataFrame, provider: str, session: Column, role: Column, ts: Column, text: Column, thinking: Column, raw_type: Column | None = None, tokens: Column | None = None) -> DataFrame:
+def _turns(frame: DataFrame, provider: str, session: Column, role: Column, ts: Column, text: Column, thinking: Column, raw_type: Column | None = None, tokens: Column | None = None, of_lines: bool = False) -> DataFrame:
     """Turns with a text or a thought, numbered anew in each file: rows of lines by their splits, rows of a document (one
     row a file before it was taken apart) by a window."""
     none = F.lit(None).cast("string")
-    own = ["block"] if "block" in frame.columns else []
+    own = ["block"] if of_lines else []
     t = frame.select(*own, session.alias("session_id"), F.lit(provider).alias("provider"), F.col("path").alias("source_path"), "n", role.alias("role"), ts.alias("timestamp"), text.alias("text"), thinking.alias("thinking"), (raw_type if raw_type is not None else none).alias("raw_type"), (tokens if tokens is not None else none).alias("tokens"))
     t = t.where("text <> '' or thinking <> ''")
     if own:
@@ -94,7 +94,7 @@ def _chat_lines(spark: SparkSession, path: str, glob: str, provider: str, sessio
     role = F.coalesce(_get("v", "$.message.role"), F.col("type"))
     x = x.withColumn("role", role).where(~F.col("role").isin(TOOL_ROLES)).withColumn("c", _get("v", "$.message.content", "variant"))
     text, thinking = (flatten_blocks(F.col("c"), k) for k in ("text", "thinking"))
-    return _turns(x, provider, session, F.col("role"), ts, text, thinking)
+    return _turns(x, provider, session, F.col("role"), ts, text, thinking, of_lines=True)
 
 
 @register("claude_code")
