@@ -269,3 +269,23 @@ def test_page_names_and_sections(spark):
     assert '— **concern_raised** — say "x" again' in got["a b"]["page"]
     index = vault.index_page(vault.file_names(e)).first()["page"]
     assert index.startswith("# Vault index\n_5 entities_\n\n- [[unnamed]] — `///`\n") and index.index("`a b`") < index.index("`A-b`") < index.index("`a/b`")
+
+
+@pytest.mark.parametrize("raw,want", [
+    ('{"u": "http://x.org", "n": 1}', '{"u": "http://x.org", "n": 1}'), ("{'a': \"it's\", 'b': 1}", '{"a": "it\'s", "b": 1}'), ("{'a': 'it\'s so', 'b': [True, None,],}", '{"a": "it\'s so", "b": [true, null]}'),
+    ('so: {"u": "http://x.org", // note, "no"\n "v": 2 /* { */}  and more', '{"u": "http://x.org", "v": 2}'), ('{"a": "x // y", "b": [1, 2', '{"a": "x // y", "b": [1, 2]}'), ('{"a": "line\nbreak, \\"q\\"",}', '{"a": "line\\nbreak, \\"q\\""}'),
+    ("['say \"hi\"']", '["say \\"hi\\""]'), ("no json", None), ("{{{", None), ("", None), (None, None), ('{"a": 1}', '{"a": 1}'),
+])
+def test_repair_json(spark, raw, want):
+    assert spark.createDataFrame([(raw,)], "t string").select(text.repair_json(F.col("t"))).first()[0] == want
+
+
+def test_tumbling_is_exact_in_a_stream(spark, sf, tmp_path):
+    from threadloom.plans import views
+
+    e = views.mention_events(spark, sf)
+    e.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(e.schema).parquet(str(tmp_path / "in"))
+    q = incremental.tumbling(stream).writeStream.format("memory").queryName("tumbled").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(map(str, spark.table("tumbled").collect())) == sorted(map(str, incremental.tumbling(e).collect()))

@@ -117,26 +117,74 @@ def lenient_json(text: Column) -> Column:
     return F.coalesce(F.try_parse_json(bare), F.try_parse_json(F.when(braces != "", braces)))
 
 
+def repair_json(text: Column) -> Column:
+    """JSON text as it is where it parses; else mended (see mended), null if it stays unreadable. Python sees only what the
+    parser refuses."""
+    sound = F.try_parse_json(text).isNotNull()
+    return F.coalesce(F.when(sound, text), _mend(F.when(~sound, text)))
+
+
 @F.pandas_udf(StringType())
-def repair_json(text: pd.Series) -> pd.Series:
-    """JSON text with trailing commas, single quotes, comments and unclosed brackets mended; null if it stays unreadable."""
-
-    def one(t: str | None) -> str | None:
-        if t is None:
-            return None
-        s = re.sub(r"//[^\n]*", "", t[t.find("{") :] if "{" in t else t)
-        for fix in (lambda x: x, lambda x: re.sub(r",\s*([}\]])", r"\1", x), lambda x: re.sub(r",\s*([}\]])", r"\1", re.sub(r"'([^']*)'", r'"\1"', x))):
-            f = fix(s).strip()
-            closed = f + ('"' if f.count('"') % 2 else "") + "]" * max(0, f.count("[") - f.count("]")) + "}" * max(0, f.count("{") - f.count("}"))
-            for c in (f, closed):
-                try:
-                    return json.dumps(json.loads(c), ensure_ascii=False)
-                except ValueError:
+def _mend(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else mended(t))
+
+
+#: What ends a string in single quotes, and a bare word.
+ENDS, WORD = re.compile(r"\s*(?:[,:}\]]|$)"), re.compile(r"[\w.+-]+|.", re.S)
+#: Words of another language for JSON's.
+WORDS = {"True": "true", "False": "false", "None": "null"}
+
+
+def mended(text: str) -> str | None:
+    """JSON from its first bracket on with comments and needless commas gone, strings in single quotes and words of Python
+    rewritten, and what is open at the end closed; null if that doesn't parse. Strings are told by their quotes: a single one
+    ends at a quote before a comma, colon, bracket or the end."""
+    start = min((i for i in map(text.find, "{[") if i >= 0), default=len(text))
+    out, open_, comma, i, n = [], [], False, start, len(text)
+    while i < n:
+        c = text[i]
+        if c in "\"'":
+            out.append(",") if comma else None
+            comma, body, i = False, [], i + 1
+            while i < n:
+                d = text[i]
+                if d == "\\" and i + 1 < n:
+                    body.append(text[i + 1] if text[i + 1] == "'" else text[i : i + 2])
+                    i += 2
                     continue
+                if d == c and (c == '"' or ENDS.match(text, i + 1)):
+                    break
+                body.append('\\"' if d == '"' else json.dumps(d)[1:-1] if d < " " else d)
+                i += 1
+            out.append('"' + "".join(body) + '"')
+        elif text.startswith("//", i):
+            i = text.find("\n", i) if text.find("\n", i) >= 0 else n
+        elif text.startswith("/*", i):
+            i = text.find("*/", i) + 1 if text.find("*/", i) >= 0 else n
+        elif c == ",":
+            comma = bool(out)
+        elif c in "]}":
+            comma = False
+            if open_ and open_[-1] == c:
+                out.append(open_.pop())
+                if not open_:
+                    break
+        elif not c.isspace():
+            out.append(",") if comma else None
+            comma = False
+            if c in "[{":
+                open_.append("]" if c == "[" else "}")
+                out.append(c)
+            else:
+                word = WORD.match(text, i)[0]
+                out.append(WORDS.get(word, word))
+                i += len(word) - 1
+        i += 1
+    try:
+        return json.dumps(json.loads("".join(out) + "".join(reversed(open_))), ensure_ascii=False)
+    except ValueError:
         return None
 
-    return text.map(one)
-
 
 def move_key(text: Column) -> Column:
     """A move's text for comparison: lower case, each run of other than a-z and 0-9 a blank."""
