@@ -81,3 +81,19 @@ def test_ranked_has_no_window_over_all(spark):
     got = [(r["rank"], r["target_id"]) for r in graph.ranked(s).orderBy("rank").collect()]
     assert got == list(enumerate(sorted((f"t{i:03}" for i in range(200)), key=lambda t: (-(int(t[1:]) % 7), t)), 1))
     assert [(r["rank"], r["target_id"]) for r in graph.ranked(s, 9).orderBy("rank").collect()] == got[:9]
+
+
+def test_index_of_events_without_a_time(spark):
+    """Half of all events have no time: they are lines of a month of their own, none is lost."""
+    from threadloom.operators import event_log
+
+    rows = [(f"t{i % 5}", None if i % 2 else f"2026-0{1 + i % 3}-01T00:00:{i % 60:02}", f"s{i % 7}", i) for i in range(400)]
+    got = event_log.index(spark.createDataFrame(rows, "target_id string, ts_raw string, session_id string, seq long").repartition(5)).collect()
+    lines = {}
+    for r in got:
+        for ref in r["refs"]:
+            lines.setdefault(ref["file"], []).append((ref["line"], ref["ts"], r["target_id"]))
+    assert sum(map(len, lines.values())) == 400 and len(lines["unknown.jsonl"]) == 200
+    for name, found in lines.items():
+        want = sorted((t or "", s, q, target) for target, t, s, q in rows if ((t or "")[:7] or "unknown") + ".jsonl" == name)
+        assert sorted(found) == [(i, w[0], w[3]) for i, w in enumerate(want)]

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import month, parse_time
 from ..sources.lines import lines, offsets
+from .ordering import numbered
 
 #: Columns of a log record, in order.
 RECORD = ["ts", "session_id", "provider", "target_id", "target_type", "mention_type", "authorship", "valence", "evidence_quote", "mentioned_as"]
@@ -61,13 +62,12 @@ def index(events: DataFrame) -> DataFrame:
     """(target_id, refs): where in a log kept as one file a month each target is: time, file and line in the month's order.
     The log that write_months writes has several files a month; file_index() names those.
 
-    Lines are counted in ranges: within a day by window, days by prefix sums, so no month is one task's."""
-    e = events.withColumn("ym", month(F.col("ts_raw"))).withColumn("day", F.substring("ts_raw", 1, 10))
-    inside = F.row_number().over(Window.partitionBy("ym", "day").orderBy("ts_raw", "session_id", "seq")) - 1
-    per = e.groupBy("ym", "day").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("ym").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lined = e.withColumn("inside", inside).join(per.select("ym", "day", before.alias("before")), ["ym", "day"])
-    lined = lined.select("target_id", F.struct(F.col("ts_raw").alias("ts"), F.concat("ym", F.lit(".jsonl")).alias("file"), (F.col("before") + F.col("inside")).alias("line")).alias("ref"))
+    Lines come from one range sort of all events, less the first place of their month, so no day or month is one task's;
+    events without a time are the month `unknown`."""
+    e = events.select("target_id", F.coalesce("ts_raw", F.lit("")).alias("ts"), "session_id", "seq", month(F.col("ts_raw")).alias("ym"))
+    x = numbered(e, [F.col("ym"), F.col("ts"), F.col("session_id"), F.col("seq")], "at", 0)
+    first = x.groupBy("ym").agg(F.min("at").alias("first"))  # a row a month
+    lined = x.join(F.broadcast(first), "ym").select("target_id", F.struct("ts", F.concat("ym", F.lit(".jsonl")).alias("file"), (F.col("at") - F.col("first")).alias("line")).alias("ref"))
     return lined.groupBy("target_id").agg(F.array_sort(F.collect_list("ref")).alias("refs"))
 
 
