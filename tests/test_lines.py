@@ -62,3 +62,14 @@ def test_log_by_index(spark, small_splits, tmp_path, sf):
     assert sum(map(len, index.values())) == log.count()
     ordered = lambda d: sorted(map(str, d.select("session_id", "target_id", "n", "valence", "concern", "date").collect()))
     assert ordered(graph.session_targets(event_log.logged_events(spark, path))) == ordered(graph.session_targets(e))
+
+
+def test_append_of_events_without_a_time(spark, tmp_path):
+    path, now = str(tmp_path / "log"), F.lit("2026-05-06").cast("timestamp")
+    rows = [(1, "2026-01-02T00:00:00", "s1", "a"), (2, None, "s1", "b"), (3, "", "s2", "c")]
+    e = spark.createDataFrame(rows, "seq long, ts_raw string, session_id string, target_id string")
+    event_log.append(e, path, "p", now)
+    event_log.append(e, path, "p", now)
+    got = sorted((r["ym"], r["target_id"], r["project"]) for r in event_log.read_log(spark, path).collect())
+    assert got == [("2026-01", "a", "p"), ("2026-05", "b", "p"), ("2026-05", "c", "p")]
+    assert {r["target_id"]: r["refs"][0]["file"][:10] for r in event_log.file_index(spark, path).collect()} == {"a": "ym=2026-01", "b": "ym=2026-05", "c": "ym=2026-05"}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import month, parse_time
@@ -40,10 +40,12 @@ def write_months(events: DataFrame, path: str, project: str | None = None, files
     r.write.partitionBy("ym").mode("overwrite").json(path)
 
 
-def append(events: DataFrame, path: str, project: str | None = None) -> None:
-    """Append records of sessions that the log does not have yet; running it again adds nothing."""
+def append(events: DataFrame, path: str, project: str | None = None, now: Column | None = None) -> None:
+    """Append records of sessions that the log does not have yet; running it again adds nothing. Events without a time go to
+    the month of `now`, by default the current one."""
     spark = events.sparkSession
     r = records(events, project).drop("seq")
+    r = r.withColumn("ym", F.when(F.col("ts") == "", F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM")).otherwise(F.col("ym")))
     try:
         have = read_log(spark, path).select("session_id").distinct()
         r = r.join(have, "session_id", "left_anti").select(*[c for c in r.columns])
