@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom.operators import containment, drafts, reliability
+from threadloom.operators import containment, dedup, drafts, reliability
 
 
 @pytest.mark.parametrize("piece", [2, 5])
@@ -48,3 +48,23 @@ def test_medians(spark):
     assert got == {p: (float(statistics.median(x)) if x else None, float(statistics.median(y))) for p, (x, y) in per.items()}
     plan = reliability.per_provider(frame, ["x", "y"])
     assert "median(" not in plan._jdf.queryExecution().optimizedPlan().toString() and plan.count() == len(per)
+
+
+def test_pieces_of_long_texts_are_made_in_one_pass(spark):
+    """A megabyte has a million pieces; cutting each from the text's start would take hours."""
+    rng = random.Random(2)
+    long = "".join(rng.choices("abcdefgh é", k=1_000_000))
+    texts = spark.createDataFrame([(1, long), (2, "x" + long[-30:]), (3, None)], "key long, text string")
+    names = spark.createDataFrame([(long[500_000:500_040],), (long[-20:],), ("zz",), ("a",)], "name string")
+    got = {tuple(r) for r in containment.containing(texts, names, "key", "text", "name").collect()}
+    assert got == {(k, n) for k, t in ((1, long), (2, "x" + long[-30:])) for n in (long[500_000:500_040], long[-20:], "zz", "a") if n in t}
+
+
+def test_links_of_long_moves_carry_no_text(spark):
+    rng = random.Random(3)
+    long = "".join(rng.choices("abcdefgh ", k=300_000)).strip()
+    keys = spark.createDataFrame([(7, long), (8, long[1000:200_000].strip()), (9, "nothing that is in any other one")], "id long, key string")
+    assert [tuple(r) for r in dedup.move_links(keys).collect()] == [(7, 8)]
+    rows = [(long, "u", "gen", 2), (long[1000:200_000], "u", "gen", 5)]
+    got = dedup.merge_moves(spark.createDataFrame(rows, "move string, owner string, level string, occurrences long")).collect()
+    assert [(len(r["move"]), r["occurrences"], r["merged"]) for r in got] == [(len(long), 7, 2)]

@@ -6,6 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import scratch, stage
+from .containment import pieces
+
 MOVE = "move string, owner string, level string, occurrences long, merged int"
 
 
@@ -16,20 +19,22 @@ def merge_by_name(frame: DataFrame, name: Column, counts: list[str], sets: list[
 
 
 def move_links(keys: DataFrame, least: int = 20, prefix: int = 40) -> DataFrame:
-    """(src, dst): links enough to connect all keys (distinct, of at least `least` characters) of which one holds the other
-    or which share a prefix of `prefix`: each prefix a star, and each holder to what it holds.
+    """(src, dst): links, by id, enough to connect all keys (id, key; distinct, of at least `least` characters of a-z, 0-9 and
+    blank) of which one holds the other or which share a prefix of `prefix`: each prefix a star, and each holder to what it
+    holds.
 
-    A key is looked up by the rarest of its pieces of `least` characters among the pieces of all keys, then compared."""
+    A key is looked up by the rarest of its pieces of `least` characters among the pieces of all keys, then compared. Pieces
+    carry ids alone, so their rows take no more than the keys' lengths in all."""
     block = F.substring("key", 1, prefix)
-    stars = keys.where(F.length("key") >= prefix).groupBy(block.alias("b")).agg(F.min("key").alias("src"), F.count("*").alias("n")).where("n > 1")
-    stars = keys.where(F.length("key") >= prefix).join(stars, block == F.col("b")).where("key <> src").select("src", F.col("key").alias("dst"))
-    pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("key") - least + 1), lambda i: F.xxhash64(F.substr("key", i, F.lit(least)))))
-    index = keys.select("key", F.explode(pieces).alias("piece"))
-    counts = index.groupBy("piece").agg(F.count("*").alias("n")).where("n > 1")
-    rare = index.join(counts, "piece", "left").groupBy("key").agg(F.min_by(F.struct("piece", "n"), F.struct(F.coalesce("n", F.lit(1)).alias("n"), "piece")).alias("x")).where("x.n is not null")
-    held = rare.select(F.col("key").alias("dst"), F.col("x.piece").alias("piece")).join(index.withColumnRenamed("key", "src"), "piece")
-    held = held.where((F.col("src") != F.col("dst")) & F.col("src").contains(F.col("dst"))).select("src", "dst")
-    return stars.unionByName(held)
+    stars = keys.where(F.length("key") >= prefix).select("id", block.alias("b"))
+    stars = stars.join(stars.groupBy("b").agg(F.min("id").alias("src"), F.count("*").alias("n")).where("n > 1"), "b")
+    stars = stars.where("id <> src").select("src", F.col("id").alias("dst"))
+    index = stage(pieces(keys, "key", [least], ["id"]))
+    counts = index.groupBy("_piece").agg(F.count("*").alias("n"))
+    rare = index.join(counts, "_piece").groupBy("id").agg(F.min_by(F.struct("_piece", "n"), F.struct("n", "_piece")).alias("x")).where("x.n > 1")
+    met = rare.select(F.col("id").alias("dst"), F.col("x._piece").alias("_piece")).join(index.withColumnRenamed("id", "src"), "_piece").where("src <> dst").select("src", "dst")
+    held = met.join(keys.select(F.col("id").alias("src"), F.col("key").alias("whole")), "src").join(keys.select(F.col("id").alias("dst"), F.col("key").alias("part")), "dst")
+    return stars.unionByName(held.where(F.col("whole").contains(F.col("part"))).select("src", "dst"))
 
 
 def _scan(pdf: pd.DataFrame, least: int, prefix: int) -> pd.DataFrame:
@@ -57,16 +62,17 @@ def merge_moves(moves: DataFrame, least: int = 20, prefix: int = 40, order: list
     The scan depends on its own earlier merges, but a move can only meet moves that it is linked to by way of others, so
     each component of the links is scanned alone, and the result is that of one scan over all."""
     from ..functions.text import move_key
-    from ..staging import scratch
     from .graph import components
 
     scratch(moves.sparkSession)
     m = moves.select("move", "owner", "level", F.col("occurrences").cast("long").alias("occurrences"), move_key(F.col("move")).alias("key"), F.struct(*(order or ["move", "owner", "level"])).alias("rank"))
-    m = m.checkpoint()  # the keys are read several times
+    m = m.withColumn("id", F.monotonically_increasing_id()).checkpoint()  # the keys are read several times
     alone = m.where(F.length("key") < least).select("move", "owner", "level", "occurrences", F.lit(1).alias("merged"))
     m = m.where(F.length("key") >= least)
-    nodes = components(move_links(m.select("key").distinct(), least, prefix))
-    m = m.join(nodes, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("component", "key")).drop("node")
+    keys = m.groupBy("key").agg(F.min("id").alias("id")).checkpoint()
+    nodes = components(move_links(keys, least, prefix))
+    nodes = keys.join(nodes, F.col("id") == F.col("node"), "left").select("key", F.coalesce("component", "id").alias("component"))
+    m = m.drop("id").join(nodes, "key")
     m = m.withColumn("id", F.row_number().over(Window.partitionBy("component").orderBy("rank"))).drop("rank")
     scan = lambda pdf: _scan(pdf, least, prefix)
     return m.groupBy("component").applyInPandas(scan, MOVE).unionByName(alone)
