@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from threadloom.operators import extract, profile
@@ -134,3 +135,29 @@ def test_extraction_surface(spark):
     assert extract.keep_after_critique(k).count() == 3
     assert extract.lenses(s.select("session_id", F.col("text").alias("brief"))).count() == 6
     assert profile.moves(spark.createDataFrame([("x", "u", "g", "s")], "move string, owner string, level string, session_id string")).first()["state"] == "candidate"
+
+
+def test_bundled_documents_scan_as_files_do(spark, tmp_path):
+    from threadloom.sources import writing
+
+    texts = [("p1/a", '{"session_id": "s", "mention_events": [{"target_id": "x"}]}'), ("p0/a", '{"provider": "q", "mention_events": [{"target_id": "y", "ts": "t"}], "unresolved": [{"text": "open"}]}'), ("p0/b", "no json"), ("p0/c", "[1]"), ("p0/_meta", "{}"), (".hidden/d", "{}"), ("p2/e", "{}")]
+    docs = spark.createDataFrame(texts, "name string, text string")
+    writing.write_texts(docs, f"{tmp_path}/files", suffix=".json").agg(F.sum("bytes")).collect()
+    writing.write_bundle(docs, f"{tmp_path}/bundle", suffix=".json")
+    seen = {}
+    for name, scan, folder in (("files", extractions.scan, "files"), ("bundle", extractions.scan_bundles, "bundle")):
+        for providers in (None, ["p0"]):
+            d = scan(spark, [f"{tmp_path}/{folder}"], providers)
+            rows = [(r["path"].rpartition(f"/{folder}/")[2], r["session_id"], r["provider"], r["j"]) for r in d.withColumn("j", F.to_json("v")).collect()]
+            open_ = [(r["ts"], r["session_id"], r["text"]) for r in extractions.unresolved(d).collect()]
+            seen[name, providers is None] = (sorted(rows), open_)
+    assert seen["files", True] == seen["bundle", True] and seen["files", False] == seen["bundle", False]
+    assert [r[:3] for r in seen["bundle", True][0]] == [("p0/a.json", "a", "q"), ("p2/e.json", "e", "p2")]
+
+
+@pytest.mark.parametrize("name", ["extraction_events", "unresolved_concerns"])
+def test_documents_of_events_take_few_files(spark, sf, name):
+    from threadloom.plans import catalogue
+
+    found = catalogue.QUERIES[name](spark, sf)
+    assert 0 < len(found.inputFiles()) <= 64 and found.count() > 64

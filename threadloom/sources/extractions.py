@@ -18,9 +18,22 @@ FIELDS = {
 
 def scan(spark: SparkSession, paths: list[str], providers: list[str] | None = None) -> DataFrame:
     """(file_ord, path, session_id, provider, v): each session document once: files by name of the session, the first path
-    wins; files that are no JSON objects, profiles, logs and hidden folders are skipped. Providers prune by folder."""
+    wins; files that are no JSON objects, profiles, logs and hidden folders are skipped. Providers prune by folder.
+
+    Spark's driver lists the files and holds the list; millions of documents belong in bundles (scan_bundles)."""
     t = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").text(paths, wholetext=True)
-    t = t.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("mtime"), "value")
+    return _sessions(t.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("mtime"), "value"), providers)
+
+
+def scan_bundles(spark: SparkSession, paths: list[str], providers: list[str] | None = None) -> DataFrame:
+    """scan() of documents that lie in bundles (writing.write_bundle), each under the path that it would have as a file."""
+    t = spark.read.schema("path string, text string").parquet(*paths).where("path like '%.json'")
+    path = F.concat(F.regexp_extract(F.col("_metadata.file_path"), r"^(.*/)[^/]+$", 1), "path")
+    return _sessions(t.select(path.alias("path"), F.col("_metadata.file_modification_time").alias("mtime"), F.col("text").alias("value")), providers)
+
+
+def _sessions(t: DataFrame, providers: list[str] | None) -> DataFrame:
+    """scan() of texts (path, mtime, value)."""
     name, folder = F.regexp_extract("path", r"([^/]+)$", 1), F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
     t = t.where(~name.isin(SKIPPED) & ~F.col("path").rlike(r"/[_.][^/]*/[^/]+$") & ~name.startswith("_"))
     if providers is not None:

@@ -1,4 +1,4 @@
-"""Texts written as files of their own, from the tasks that hold them."""
+"""Texts written as files of their own, from the tasks that hold them, or many to a file as a bundle."""
 
 from __future__ import annotations
 
@@ -18,6 +18,12 @@ def write_texts(frame: DataFrame, folder: str | None = None, path: str = "name",
     return frame.select(target.alias("path"), F.col(text).alias("text")).where("path is not null and text is not null").mapInPandas(_write, "path string, bytes long")
 
 
+def write_bundle(frame: DataFrame, folder: str, path: str = "name", text: str = "text", suffix: str = "") -> None:
+    """Texts as a bundle, a Parquet table of (path, text): files by the task, not by the text, so that whoever reads millions
+    of them lists a few. The path, with the suffix, is where a text would lie under the folder."""
+    frame.select(F.concat(F.col(path), F.lit(suffix)).alias("path"), F.col(text).alias("text")).where("path is not null and text is not null").write.parquet(folder)
+
+
 def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import posixpath
     import re
