@@ -97,3 +97,20 @@ def test_index_of_events_without_a_time(spark):
     for name, found in lines.items():
         want = sorted((t or "", s, q, target) for target, t, s, q in rows if ((t or "")[:7] or "unknown") + ".jsonl" == name)
         assert sorted(found) == [(i, w[0], w[3]) for i, w in enumerate(want)]
+
+
+def test_a_long_session_is_sampled_in_ranges(spark):
+    from threadloom.functions import text
+
+    rows = [("hot", i, "x" * (i % 7)) for i in range(3000)] + [(None, i, "y" * 5) for i in range(40)] + [("one", 1, "z" * 900)]
+    frame = spark.createDataFrame(rows, "session_id string, index int, text string").repartition(5)
+    plan = text.sample_turns(frame, 8000, note=20)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("_i#" in x or "text#" in x for x in plan.splitlines() if "Window [" in x)
+    got = {(r["session_id"], r["index"]): r["stride"] for r in text.sample_turns(frame, 8000, note=20).collect()}
+    hot = [(i, i % 7) for s, i, x in rows if s == "hot" and x]
+    n, side = len(hot), len(hot) // 10
+    edge, mid = hot[:side] + hot[n - side :], hot[side : n - side]
+    room = 8000 - 20 - (sum(x + 2 for _, x in hot[:side]) - 2) - (sum(x + 2 for _, x in hot[n - side :]) - 2)
+    stride = min(d for d in range(1, max(2, len(mid) // 4 + 1) + 1) if sum(x + 2 for _, x in mid[::d]) <= room + 2)
+    assert {i for s, i in got if s == "hot"} == {i for i, _ in edge + mid[::stride]}
+    assert {s for k, s in got.items() if k[0] == "hot"} == {stride} and {k for k in got if k[0] != "hot"} == {(None, i) for i in range(40)} | {("one", 1)}

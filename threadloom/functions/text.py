@@ -256,27 +256,38 @@ def _divisors(n: Column, most: Column) -> Column:
     return F.filter(F.array_distinct(F.concat(low, F.transform(low, lambda d: F.floor(n / d)))), lambda d: d <= most)
 
 
-def sample_turns(turns: DataFrame, most_chars: int = 240_000, shown: str = "text", note: int = 200) -> DataFrame:
+def sample_turns(turns: DataFrame, most_chars: int = 240_000, shown: str = "text", note: int = 200, size: Column | None = None) -> DataFrame:
     """The turns of each session that fit a prompt of most_chars, with the `stride` they were taken at: all if they fit
     (joined by two line breaks); else the first and last tenth, and of the middle each n-th from its first on, n the smallest
     stride up to a quarter of the middle with which it fits beside them and a note; else no middle at all. Turns without
-    text are left out.
-
-    Sums of all strides come from one aggregate: a turn counts for the divisors of its place, so a session of m turns makes
-    some m log m rows, and only sessions over the budget make any."""
-    by = Window.partitionBy("session_id")
-    t = turns.where(F.length(shown) > 0).withColumn("_len", F.length(shown)).withColumn("_i", F.row_number().over(by.orderBy("index")) - 1).withColumn("_n", F.count("*").over(by))
-    t = t.withColumn("_side", F.greatest(F.lit(1), F.floor(F.col("_n") / 10)))
+    text are left out. `size`: the length of what is shown, where its text isn't wanted itself.
+
+    A session of any length is many ranges of turns, and its sums are taken from a row a range. Sums of all strides come from
+    one aggregate: a turn counts for the divisors of its place, so a session of m turns makes some m log m rows, and only
+    sessions over the budget make any."""
+    from ..operators.ordering import numbered_within, same_place
+    from ..staging import stage
+
+    key, by = ["session_id"], Window.partitionBy("session_id")
+    sized = turns.withColumn("_len", F.length(shown) if size is None else size).where("_len > 0")
+    t = numbered_within(sized, key, [F.col("index")], "_i", 0)
+    per = t.groupBy("_part", *key).agg(F.count("*").alias("_c"), F.sum(F.col("_len") + 2).alias("_l"))
+    per = per.select("_part", *key, F.sum("_c").over(by).alias("_n"), (F.sum("_l").over(by) - 2).alias("_all"))  # a row a range
+    per = per.withColumn("_side", F.greatest(F.lit(1), F.floor(F.col("_n") / 10)))
+    per = stage(per.withColumn("_most", F.greatest(F.lit(2), F.floor((F.col("_n") - 2 * F.col("_side")) / 4) + 1)))
     head, tail = F.col("_i") < F.col("_side"), (F.col("_i") >= F.col("_n") - F.col("_side")) & (F.col("_n") > F.col("_side"))
-    t = t.withColumn("_edge", head | tail)
-    joined = lambda c: F.sum(F.when(c, F.col("_len") + 2).otherwise(0)).over(by) - F.when(F.max(c).over(by), 2).otherwise(0)
-    t = t.withColumn("_all", joined(F.lit(True))).withColumn("_room", F.lit(most_chars - note) - joined(head) - joined(tail)).withColumn("_j", F.col("_i") - F.col("_side"))
-    t = t.withColumn("_most", F.greatest(F.lit(2), F.floor((F.col("_n") - 2 * F.col("_side")) / 4) + 1))
-    middle = t.where(~F.col("_edge") & (F.col("_all") > most_chars) & (F.col("_room") > 0))
+    joined = lambda c: F.sum(F.when(c, F.col("_len") + 2).otherwise(0))
+    less = lambda c: F.greatest(F.lit(0), F.sum(c).over(by) - 2)
+    edges = same_place(t, per, key).groupBy("_part", *key).agg(joined(head).alias("_h"), joined(tail).alias("_t"))
+    edges = edges.select("_part", *key, (F.lit(most_chars - note) - less("_h") - less("_t")).alias("_room"))  # a row a range
+    per = stage(same_place(per, edges, key))
+    j = F.col("_i") - F.col("_side")
+    middle = same_place(t, per, key).where(~(head | tail) & (F.col("_all") > most_chars) & (F.col("_room") > 0)).withColumn("_j", j)
     first = middle.where("_j = 0").select("session_id", F.col("_len").alias("first"), "_room", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_most").cast("long"))).alias("d"))
-    later = middle.where("_j > 0").select("session_id", F.explode(_divisors(F.col("_j").cast("long"), F.col("_most"))).alias("d"), "_len").groupBy("session_id", "d").agg(F.sum(F.col("_len") + 2).alias("more"))
-    fits = first.join(later, ["session_id", "d"], "left").where(F.col("first") + F.coalesce("more", F.lit(0)) <= F.col("_room"))
-    t = t.join(fits.groupBy("session_id").agg(F.min("d").alias("stride")), "session_id", "left")
-    t = t.withColumn("stride", F.when(F.col("_all") <= most_chars, 1).otherwise(F.col("stride")).cast("int"))
-    kept = (F.col("_all") <= most_chars) | F.col("_edge") | F.coalesce(F.col("_j") % F.col("stride") == 0, F.lit(False))
+    later = middle.where("_j > 0").select(F.col("session_id").alias("_s"), F.explode(_divisors(F.col("_j").cast("long"), F.col("_most"))).alias("_d"), "_len").groupBy("_s", "_d").agg(F.sum(F.col("_len") + 2).alias("more"))
+    fits = first.join(later, F.col("session_id").eqNullSafe(F.col("_s")) & (F.col("d") == F.col("_d")), "left").where(F.col("first") + F.coalesce("more", F.lit(0)) <= F.col("_room"))
+    strides = fits.groupBy(F.col("session_id").alias("_s")).agg(F.min("d").alias("stride"))
+    per = stage(per.join(strides, F.col("session_id").eqNullSafe(F.col("_s")), "left").drop("_s"))
+    t = same_place(t, per, key).withColumn("stride", F.when(F.col("_all") <= most_chars, 1).otherwise(F.col("stride")).cast("int"))
+    kept = (F.col("_all") <= most_chars) | head | tail | F.coalesce(j % F.col("stride") == 0, F.lit(False))
     return t.where(kept).select(*turns.columns, "stride")

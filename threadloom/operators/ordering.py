@@ -35,6 +35,23 @@ def numbered(frame: DataFrame, order: list[Column], name: str = "rank", first: i
     return x.select(*frame.columns, (F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + first).alias(name))
 
 
+def numbered_within(frame: DataFrame, keys: list[str], order: list[Column], name: str = "rank", first: int = 1) -> DataFrame:
+    """frame with its rows' place within their key, from `first` on, and _part, their range. A key of any size is many ranges;
+    what a range adds is told by a row a range and key."""
+    x = sorted_parts(frame, [*[F.col(k) for k in keys], *order]).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    per = x.groupBy("_part", *keys).agg(F.count("*").alias("_n"), F.min("_at").alias("_from"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    per = per.select("_part", *keys, (before - F.col("_from") + first).alias("_add"))
+    return same_place(x, per, keys).select(*frame.columns, "_part", (F.col("_at") + F.col("_add")).alias(name))
+
+
+def same_place(rows: DataFrame, per: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with what a frame of a row a range and key says of theirs; null keys are equal."""
+    p = per.withColumnsRenamed({"_part": "_p"} | {k: f"_k_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys), F.col("_part") == F.col("_p"))
+    return rows.join(p, on).drop("_p", *[f"_k_{k}" for k in keys])
+
+
 def with_previous(frame: DataFrame, keys: list[str], order: list[Column], values: list[str]) -> DataFrame:
     """frame with previous_<value>: each row's values in the row before it of its key, null for the key's first.
 

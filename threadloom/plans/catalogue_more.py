@@ -283,13 +283,13 @@ g as (select session_id, min(d) as stride from fit group by 1)
 select session_id, index, len as chars, case when whole <= 240000 then 1 else stride end::int as stride from f join s using (session_id) left join g using (session_id)
 where whole <= 240000 or head or tail or j % stride = 0""")
 def sampled_long_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations strung together into three sessions, two of them far over the budget."""
-    from pyspark.sql import Window
+    """Conversations strung together into three sessions, two of them far over the budget; each is many tasks' work."""
+    from ..operators.ordering import numbered_within
 
-    k = F.col("conv_id") % 3
     t = views.table(spark, sf_dir, "conversations").where(F.length("text") > 0)
-    t = t.select(F.concat(F.lit("s"), k.cast("string")).alias("session_id"), F.row_number().over(Window.partitionBy(k).orderBy("conv_id", "turn")).alias("index"), F.expr("repeat(text, case conv_id % 3 when 0 then 1 when 1 then 12 else 40 end)").alias("text"))
-    return text.sample_turns(t).select("session_id", "index", F.length("text").alias("chars"), "stride")
+    t = t.select("conv_id", "turn", F.concat(F.lit("s"), (F.col("conv_id") % 3).cast("string")).alias("session_id"), F.length(F.expr("repeat(text, case conv_id % 3 when 0 then 1 when 1 then 12 else 40 end)")).alias("chars"))
+    t = numbered_within(t, ["session_id"], [F.col("conv_id"), F.col("turn")], "index").select("session_id", F.col("index").cast("int").alias("index"), "chars")
+    return text.sample_turns(t, size=F.col("chars")).select("session_id", "index", "chars", "stride")
 
 
 @query("open_per_provider", f"with {D_SQL.strip()} select provider, count(*) filter (status = 'proposed') as open, count(*) as decisions from d0 group by 1")
