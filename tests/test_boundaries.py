@@ -289,3 +289,11 @@ def test_tumbling_is_exact_in_a_stream(spark, sf, tmp_path):
     q = incremental.tumbling(stream).writeStream.format("memory").queryName("tumbled").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(map(str, spark.table("tumbled").collect())) == sorted(map(str, incremental.tumbling(e).collect()))
+
+
+def test_decisions_of_given_sessions(spark, sf):
+    from threadloom.plans import views
+
+    few = spark.createDataFrame([("1",), ("7",), ("7",), (None,), ("none",)], "session_id string")
+    got, want = views.decisions(spark, sf, few), views.decisions(spark, sf).where("session_id in ('1', '7')")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns and want.count()

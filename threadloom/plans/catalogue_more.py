@@ -49,7 +49,7 @@ select target_id, session_id, line, place from (select *, row_number() over (par
 def vault_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions of brands in customers' sessions against the decisions of the same session that relate to them."""
     e = views.mention_events(spark, sf_dir).select("seq", F.lit("").alias("ts_raw"), F.concat(F.lit("brand#"), (F.col("seq") % 25 + 11).cast("string")).alias("target_id"), (F.col("seq") % 1500).cast("string").alias("session_id"))
-    return vault.decisions_of(e, views.decisions(spark, sf_dir))
+    return vault.decisions_of(e, views.decisions(spark, sf_dir, e))
 
 
 @query("vault_rules", f"""with {R_SQL.strip()},

@@ -47,9 +47,13 @@ m as (select event_id as seq, ts, user_id || '-' || strftime(ts, '%Y%m%d') as se
 """
 
 
-def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """View D: one decision an order; related_entities are the distinct lower-case brands of its lines."""
+def decisions(spark: SparkSession, sf_dir: str, sessions: DataFrame | None = None) -> DataFrame:
+    """View D: one decision an order; related_entities are the distinct lower-case brands of its lines. Where sessions
+    (session_id) are given, the decisions of those alone, whose lines are told apart before their brands are gathered."""
     o, li, p = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "part"))
+    if sessions is not None:
+        o = o.join(sessions.select("session_id").distinct(), F.col("o_custkey").cast("string") == F.col("session_id"), "left_semi")
+        li = li.join(o.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
     brands = li.select("l_orderkey", "l_partkey").join(p.select("p_partkey", F.lower("p_brand").alias("brand")), F.col("l_partkey") == F.col("p_partkey"))
     brands = brands.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("brand")).alias("related_entities"))
     status = F.when(F.col("o_orderstatus") == "P", "proposed").when(F.col("o_orderstatus") == "O", "locked").when(F.col("o_orderstatus") == "F", "reverted").otherwise(F.col("o_orderstatus"))
