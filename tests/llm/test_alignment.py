@@ -131,3 +131,35 @@ def test_large_groups(monkeypatch, seed):
         row, pair, times = rows.links(9)
         assert dict(zip(zip(row.tolist(), pair.tolist(), strict=True), times.tolist(), strict=True)) == want
         assert len(row) == len(want)
+
+
+def test_words_are_joined(monkeypatch):
+    """New words are encoded many in a text, and their ids are those of each alone; known words are not encoded again."""
+    asked, encode = Counter(), {c: c.encode for c in (alignment.ByteLevel, alignment.Pieces)}
+    for c in encode:
+        monkeypatch.setattr(c, "encode", lambda self, texts, c=c: (asked.update({c: len(texts)}), encode[c](self, texts))[1])
+    pair, rng = alignment.Pair(A, B), random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzé中.,'", k=rng.randint(3, 9))) for _ in range(20_000)] + ["x" * 999, "q" * 70]
+    texts = pa.array([" ".join(words[i : i + 100]) for i in range(0, len(words), 100)])
+    first = pair.encode(texts)
+    assert max(asked.values()) < 1000
+    asked.clear()
+    again = pair.encode(texts)
+    assert max(asked.values()) < 10  # one whole text to compare, and words too long to be remembered
+    pair.by_word = False
+    for x, y, z in zip(first, again, pair.encode(texts), strict=True):
+        assert np.array_equal(x[0], z[0]) and np.array_equal(x[1], z[1]) and np.array_equal(y[0], z[0]) and np.array_equal(y[1], z[1])
+
+
+@pytest.mark.parametrize("memo", [0, 50, 100_000])
+def test_odd_words(monkeypatch, memo):
+    """Words whose tokens are not their bytes, and words that a memo of any size forgets, get the ids of each alone."""
+    monkeypatch.setattr(alignment, "MEMO", memo)
+    pair, rng = alignment.Pair(A, B), random.Random(7)
+    letters = [*"abz'.9\n\t▁é中", *map(chr, (0, 0x85, 0xA0, 0x200B, 0x301, 0xFB01, 0xFEFF, 0x1F600))]
+    words = ["a" + "".join(rng.choices(letters, k=rng.randint(0, 6))) + "b" for _ in range(300)]
+    words = list(dict.fromkeys(words))
+    for _ in range(4):
+        some = rng.sample(words, 150)
+        for got, want in zip(pair._words(pa.array(some), np.ones(len(some), bool)), zip(*pair._encode(some), strict=True), strict=True):
+            assert got.to_pylist() == list(want)

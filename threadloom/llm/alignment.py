@@ -8,10 +8,12 @@ summed, and come back to the slices that hold them.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import large_rows, stage
 
-#: Bytes of text and texts of a slice, words that a worker remembers, the longest word that it does, links that are made at once.
-SLICE_BYTES, SLICE_ROWS, MEMO, LONG, LINKS = 3 << 20, 4096, 150_000, 64, 1 << 21
+#: Bytes of text and texts of a slice, words that a worker remembers, bytes of the longest that it does, words encoded in one text,
+#: links that are made at once.
+SLICE_BYTES, SLICE_ROWS, MEMO, LONG, JOINED, LINKS = 3 << 20, 4096, 300_000, 64, 32, 1 << 21
 #: What stands at the edge of a word that isn't cut off there: nothing, every blank of any tokenizer, and the
 #: letter that stands for a space in pieces.
 BLANK = {"", *map(chr, (0x180E, 0x200B, 0x2060, 0x2581, 0xFEFF)), *(chr(c) for c in range(0x3001) if chr(c).isspace())}
@@ -87,6 +90,23 @@ def width(size: int) -> np.dtype:
     return np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
 
 
+def cut_at(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The rows of data up to each end, as binary."""
+    places = np.concatenate(([0], ends)).astype(np.int64) * data.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+
+
+def listed(strings: pa.Array) -> list[str]:
+    """The strings as a list, several times as fast as to_pylist()."""
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
+def edge(words: pa.Array, *cut: int) -> np.ndarray:
+    """Whether the letter of each word that the slice cuts out is there and no blank."""
+    letters = pc.utf8_slice_codeunits(words, *cut).dictionary_encode()
+    return np.array([c not in BLANK for c in letters.dictionary.to_pylist()], bool)[letters.indices.to_numpy()]
+
+
 class Pair:
     """Both tokenizers. Where neither joins anything across a single space between two words (a byte-level pattern starts
     anew at such a space; no piece has a space after another character), a text is cut there, its words are encoded once
@@ -99,23 +119,71 @@ class Pair:
         self.bytes = [pa.array(s.table, pa.binary()) for s in self.sides]
         self.lengths = [np.array([len(x) for x in s.table], np.int64) for s in self.sides]
         self.by_word = all(s.by_word for s in self.sides)
-        self.memo: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.memo: dict[str, int] = {}
+        self.held = [pa.array([], pa.binary())] * 2
+        self.older: tuple[dict[str, int], list[pa.Array]] = ({}, self.held)
         self.turn = 0.0
 
     def _encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         each = ([np.array(x, t).tobytes() for x in s.encode(texts)] for s, t in zip(self.sides, self.types, strict=True))
         return zip(*each, strict=True)
 
-    def _words(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+    def _learn(self, words: pa.Array) -> list[pa.Array]:
+        """Either side's ids of words without blanks at their edges, JOINED of them in one text: at the single spaces between
+        them both start anew. Words of a text whose tokens are not its bytes, or span such a space, are encoded one by one."""
+        starts = np.arange(0, len(words), JOINED)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(words)).astype(np.int32)), words)
+        lines, ends = listed(pc.binary_join(lists, " ")), np.cumsum(pc.binary_length(words).to_numpy() + 1, dtype=np.int64)
+        out = []
+        for side, t, lengths in zip(self.sides, self.types, self.lengths, strict=True):
+            found = [np.array(x, t) for x in side.encode(lines)]
+            sizes = np.cumsum(lengths[np.concatenate(found)])
+            last = np.cumsum([len(x) for x in found])
+            held = np.searchsorted(sizes, ends)
+            right = sizes[np.minimum(held, len(sizes) - 1)] == ends
+            if right.all() and held[-1] + 1 == last[-1]:
+                out.append(cut_at(np.concatenate(found), held + 1))
+                continue
+            single: list[np.ndarray] = []
+            for line, ids in zip(lists, found, strict=True):
+                each = pc.binary_length(line.values).to_numpy() + 1
+                sizes, ends_here = np.cumsum(lengths[ids]), np.cumsum(each)
+                held = np.searchsorted(sizes, ends_here)
+                if held[-1] + 1 == len(sizes) and np.array_equal(sizes[held], ends_here):
+                    single += np.split(ids, held[:-1] + 1)
+                else:
+                    single += [np.array(x, t) for x in side.encode(listed(line.values))]
+            out.append(cut_at(np.concatenate(single), np.cumsum([len(x) for x in single])))
+        return out
+
+    def _words(self, words: pa.Array, plain: np.ndarray) -> list[pa.Array]:
+        """Either side's ids of the words, as binary. plain: without blanks at their edges. The memo is a word's place in two
+        arrays; what is not asked while it fills goes."""
         if len(self.memo) > MEMO:
-            self.older, self.memo = self.memo, {}
-        memo, older = self.memo, self.older
-        memo.update((w, older[w]) for w in words if w not in memo and w in older)
-        new = [w for w in words if w not in memo]
-        fresh = dict(zip(new, self._encode(new), strict=True))
-        memo.update((w, x) for w, x in fresh.items() if len(w) <= LONG)
-        return [fresh[w] if w in fresh else memo[w] for w in words]
+            self.older, self.memo = (self.memo, self.held), {}
+            self.held = [x.slice(0, 0) for x in self.held]
+        names = listed(words)
+        place = np.fromiter(map(self.memo.get, names, repeat(-1)), np.int64, len(names))
+        miss = np.flatnonzero(place < 0)
+        before = np.fromiter((self.older[0].get(names[i], -1) for i in miss.tolist()), np.int64, len(miss))
+        new = miss[before < 0]
+        brief = pc.binary_length(words.take(pa.array(new))).to_numpy() <= LONG
+        kinds = [new[plain[new] & brief], new[~plain[new] & brief], new[~brief]]  # words over LONG come last, and aren't remembered
+        parts = [[held, old.take(pa.array(before[before >= 0]))] for held, old in zip(self.held, self.older[1], strict=True)]
+        for k, which in enumerate(kinds):
+            if len(which):
+                own = words.take(pa.array(which))
+                found = self._learn(own) if k == 0 else [pa.array(x, pa.binary()) for x in zip(*self._encode(listed(own)), strict=True)]
+                for part, x in zip(parts, found, strict=True):
+                    part.append(x)
+        order = np.concatenate([miss[before >= 0], *kinds])
+        size = len(self.memo)
+        place[order] = np.arange(size, size + len(order))
+        kept = len(order) - len(kinds[-1])
+        self.memo.update(zip([names[i] for i in order[:kept].tolist()], range(size, size + kept), strict=True))
+        whole = [pa.concat_arrays(part) for part in parts]
+        self.held = [x.slice(0, size + kept) for x in whole]
+        return [x.take(pa.array(place)) for x in whole]
 
     def encode(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """(ids of all texts, end of each text's) for either side."""
@@ -124,29 +192,32 @@ class Pair:
             return [(np.frombuffer(b"".join(x), t), np.cumsum([len(y) // t.itemsize for y in x])) for x, t in zip(each, self.types, strict=True)]
         lists = pc.split_pattern(texts, " ")
         flat = lists.flatten().dictionary_encode()
-        words, at, ends = flat.dictionary.to_pylist(), flat.indices.to_numpy(), np.asarray(lists.offsets)
-        opens = np.array([w[:1] not in BLANK for w in words])
-        closes = np.array([w[-1:] not in BLANK for w in words])
+        words, at, ends = flat.dictionary, flat.indices.to_numpy(), np.asarray(lists.offsets)
+        opens, closes = edge(words, 0, 1), edge(words, -1)
         cut = np.ones(len(at), bool)
         cut[1:] = closes[at[:-1]] & opens[at[1:]]
         cut[ends[:-1]] = True
         begin = np.flatnonzero(cut)
         size = np.diff(np.append(begin, len(at)))
-        unit = at[begin].copy()
-        joined: dict[str, int] = {}
-        for i in np.flatnonzero(size > 1).tolist():  # words with more than one space, or other blanks at an edge
-            text = " ".join([words[k] for k in at[begin[i] : begin[i] + size[i]].tolist()])
-            unit[i] = joined.setdefault(text, len(words) + len(joined))
-        used = np.zeros(len(words) + len(joined), bool)
+        unit = at[begin].astype(np.int64)
+        plain = opens & closes
+        if len(more := np.flatnonzero(size > 1)):  # words with more than one space, or other blanks at an edge
+            first = np.cumsum(size[more]) - size[more]
+            inner = np.repeat(begin[more] - first, size[more]) + np.arange(int(size[more].sum()))
+            runs = pa.ListArray.from_arrays(pa.array(np.append(first, len(inner)).astype(np.int32)), words.take(pa.array(at[inner])))
+            joined = pc.binary_join(runs, " ").dictionary_encode()
+            unit[more] = joined.indices.to_numpy().astype(np.int64) + len(words)
+            plain = np.concatenate((plain, edge(joined.dictionary, 0, 1) & edge(joined.dictionary, -1)))
+            words = pa.concat_arrays([words, joined.dictionary])
+        used = np.zeros(len(words), bool)
         used[unit] = True
-        every = [*words, *joined]
         pick = np.flatnonzero(used)
         place = np.cumsum(used) - 1
-        found = self._words([every[i] for i in pick.tolist()])
+        found = self._words(words.take(pa.array(pick)), plain[pick])
         last = np.searchsorted(begin, ends[1:])
         out = []
         for k, t in enumerate(self.types):
-            ids = pa.array([x[k] for x in found], pa.binary()).take(pa.array(place[unit]))
+            ids = found[k].take(pa.array(place[unit]))
             offsets = np.frombuffer(ids.buffers()[1], np.int32)[: len(ids) + 1]
             data = np.frombuffer(ids.buffers()[2] or b"", t, count=int(offsets[-1]) // t.itemsize)
             out.append((data, offsets[last] // t.itemsize))
@@ -209,12 +280,6 @@ def unpack_sizes(data: np.ndarray) -> np.ndarray:
     return np.diff(total)
 
 
-def cut_at(data: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The rows of data up to each end, as binary."""
-    places = np.concatenate(([0], ends)).astype(np.int64) * data.itemsize
-    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
-
-
 #: One pair a worker process and files: its memo serves all tasks that the process runs.
 PAIRS: dict[tuple[str, str], Pair] = {}
 
@@ -297,34 +362,46 @@ class Rows:
         n = self.na * self.nb
         small = np.flatnonzero(n <= LINKS)
         cuts = np.searchsorted(np.cumsum(n[small]), np.arange(LINKS, int(n[small].sum()) + LINKS, LINKS), "right")
-        found: list[tuple[np.ndarray, ...]] = []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        span = (int(self.a.max(initial=0)) + 1) * b_size  # a row and a pair are one number, so they are sorted as such
 
-        def add(row: np.ndarray, pair: np.ndarray, times: np.ndarray | None) -> None:
-            order = np.lexsort((pair, row))
-            row, pair = row[order], pair[order]
-            first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (pair[1:] != pair[:-1])))) if len(row) else np.array([], np.int64)
-            times = np.diff(np.append(first, len(row))) if times is None else np.add.reduceat(times[order], first) if len(first) else times
-            found.append((row[first], pair[first], times))
+        def add(key: np.ndarray, times: np.ndarray | None) -> None:
+            if times is None:
+                key = np.sort(key)
+            else:
+                order = np.argsort(key, kind="stable")
+                key, times = key[order], times[order]
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.array([], np.int64)
+            times = np.diff(np.append(first, len(key))) if times is None else np.add.reduceat(times, first) if len(first) else times
+            found.append((key[first], times))
 
         for part in np.split(small, np.unique(cuts)):
             if not len(part):
                 continue
-            m = n[part]
-            g = np.repeat(part, m)
-            k = np.arange(len(g)) - np.repeat(np.cumsum(m) - m, m)
-            add(self.row[g], self.a[a0[g] + k // self.nb[g]].astype(np.int64) * b_size + self.b[b0[g] + k % self.nb[g]], None)
+            g = np.repeat(part, self.na[part])  # the group of each A token, which meets all of the group's B tokens
+            token = np.arange(len(g)) + np.repeat(a0[part] - (np.cumsum(self.na[part]) - self.na[part]), self.na[part])
+            m = self.nb[g]
+            total = np.cumsum(m)
+            at = np.repeat(b0[g] - (total - m), m)
+            at += np.arange(len(at))
+            key = np.repeat(self.row[g] * span + self.a[token].astype(np.int64) * b_size, m)
+            key += self.b[at]
+            add(key, None)
         for g in np.flatnonzero(n > LINKS).tolist():
             xs, cx = np.unique(self.a[a0[g] : a0[g] + self.na[g]], return_counts=True)
             ys, cy = np.unique(self.b[b0[g] : b0[g] + self.nb[g]], return_counts=True)
             step = max(1, LINKS // len(ys))
             for i in range(0, len(xs), step):
                 pair = (xs[i : i + step, None].astype(np.int64) * b_size + ys[None]).ravel()
-                add(np.full(len(pair), self.row[g]), pair, (cx[i : i + step, None] * cy[None]).ravel())
+                add(int(self.row[g]) * span + pair, (cx[i : i + step, None] * cy[None]).ravel())
         if len(found) > 1:
             whole = [np.concatenate(c) for c in zip(*found, strict=True)]
             found = []
             add(*whole)
-        return found[0] if found else (np.array([], np.int64),) * 3
+        key, times = found[0] if found else (np.array([], np.int64),) * 2
+        row = key // span
+        return row, key - row * span, times
 
     def texts(self, tables: list[pa.Array]) -> tuple[memoryview, np.ndarray]:
         """The groups as `a1,a2|b1;a3|b2,b3;`, all rows in one buffer, and each row's end in it. tables: an A id and a comma,
@@ -343,6 +420,7 @@ class Rows:
         return memoryview(whole.buffers()[2] or b""), offsets[np.cumsum(self.n_a + self.n_b)]
 
 
+@functools.cache
 def written(sizes: tuple[int, int]) -> list[pa.Array]:
     return [pa.array([f"{i}{mark}" for i in range(n)]) for n, marks in zip(sizes, (",|", ",;"), strict=True) for mark in marks]
 
