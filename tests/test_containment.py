@@ -10,7 +10,7 @@ from compare import same
 from pyspark.sql import functions as F
 
 from threadloom.operators import containment, dedup, drafts, reliability
-from threadloom.plans import catalogue
+from threadloom.plans import catalogue, views
 
 
 @pytest.mark.parametrize("piece", [2, 5])
@@ -118,3 +118,30 @@ def test_texts_and_what_they_hold_are_not_shuffled(spark, duck, sf, tmp_path, na
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan and "HashAggregate" not in plan
     same(found, own.execute(catalogue.SQL[name]))
+
+
+@pytest.mark.parametrize("domain", [True, False])
+def test_rules_in_place_are_the_rules(spark, duck, sf, tmp_path, domain):
+    repeated(duck, tmp_path)
+    rows = [(0, 0), (0, 1), (1, 0), (1, 1), (2, 0), (0, 2), (None, 0), (0, None), (None, None)]
+    labels = spark.createDataFrame([(i, q, t) for i, (q, t) in enumerate(rows)] + [(1, 0, 0), (2, 0, 1), (0, 0, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
+    texts = spark.createDataFrame([(i, f"text {i}", None, "s") for i in [*range(14), 3, 0, None]], "doc_id long, text string, lang string, source string")
+    texts.coalesce(2).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/odd/labels.parquet")
+    for folder in (f"{tmp_path}/odd", str(tmp_path)):
+        want = views.rules(spark, folder)
+        want = (want.where("bucket = 'project_domain'") if domain else want).drop("bucket")
+        got = views.rules_in_place(spark, folder, domain)
+        assert got.columns == want.columns and got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("name", ["rules_naming"])
+def test_texts_are_not_shuffled_for_labels_of_any_size(spark, sf, name):
+    folder = f"{sf}/../sf0.01"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3k")
+    try:
+        assert "SortMergeJoin" in views.rules(spark, folder)._jdf.queryExecution().executedPlan().toString()
+        plan = catalogue.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import stage
+
 #: The day that pages and ages are told from.
 NOW = "2024-03-01"
 #: Kinds of target by k % 7, mention types by event type.
@@ -87,6 +89,29 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(lab, F.col("doc_id") == F.col("l_doc_id"), "left").select(F.col("doc_id").alias("seq"), F.col("text").alias("rule_text"), F.col("lang").alias("provider"), F.col("source").alias("level"), bucket.alias("bucket"))
 
 
+def rule_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as rules without a bucket, and each one's place: its file and its row there."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").alias("seq"), F.col("text").alias("rule_text"), F.col("lang").alias("provider"), F.col("source").alias("level"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+
+
+def rules_in_place(spark: SparkSession, sf_dir: str, domain: bool = False) -> DataFrame:
+    """The rows of rules() without the bucket; `domain`: of bucket project_domain alone. Texts are not shuffled: labels meet
+    keys and places alone, and texts meet a bit a document (which are left out) and the few places that labels repeat."""
+    r = rule_texts(spark, sf_dir)
+    other = (F.col("quality").isin(0, 1) & F.col("toxic").isin(0, 1) & ~((F.col("quality") == 0) & (F.col("toxic") == 0))) if domain else F.lit(False)
+    n = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("seq")).agg(F.count(F.when(other, None).otherwise(1)).alias("_n")).where("_n <> 1")
+    odd = stage(r.select("seq", "_file", "_at").join(n, "seq").select("_file", "_at", "_n"))
+    many = stage(odd.where("_n > 1"))
+    place = F.col("_at") + 1
+    bit = F.bitmap_bit_position(place)
+    gone = stage(odd.where("_n = 0").groupBy("_file", F.bitmap_bucket_number(place).alias("_block")).agg(F.bitmap_construct_agg(bit).alias("_bits")))
+    byte = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    left = r.withColumn("_block", F.bitmap_bucket_number(place)).join(F.broadcast(gone), ["_file", "_block"], "left")  # a bit a document
+    left = left.where(F.coalesce(F.getbit(byte, (bit % 8).cast("int")), F.lit(0)) == 0).join(many, ["_file", "_at"], "left")
+    return left.select("seq", "rule_text", "provider", "level", F.explode(F.array_repeat(F.lit(0), F.coalesce("_n", F.lit(1)).cast("int")))).drop("col")
+
+
 R_SQL = """
 r as (select d.doc_id as seq, text as rule_text, lang as provider, source as level,
         case when quality = 1 and toxic = 0 then 'meta_user' when quality = 1 and toxic = 1 then 'meta_assistant' when quality = 0 and toxic = 1 then 'debugging_recipe' else 'project_domain' end as bucket
